@@ -91,16 +91,14 @@ def cookie_int_invalid(pairs: Column, key: str) -> Column:
 # ---------------------------------------------------------------------------
 # inet and uuid, as PostgreSQL stores them
 # ---------------------------------------------------------------------------
-_IPV4 = "^([0-9]{1,3})\\.([0-9]{1,3})\\.([0-9]{1,3})\\.([0-9]{1,3})$"
+_IPV4 = "^[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}$"
 
 
 def inet_text(ip: Column) -> Column:
     """Canonical IPv4 text, or NULL when an inet column would refuse it."""
-    octets = [F.regexp_extract(ip, _IPV4, i).try_cast("int") for i in range(1, 5)]
-    valid = ip.rlike(_IPV4)
-    for o in octets:
-        valid = valid & (o <= 255)
-    return F.when(valid, F.concat_ws(".", *[o.cast("string") for o in octets]))
+    octets = F.transform(F.split(ip, "\\."), lambda o: o.try_cast("int"))
+    valid = ip.rlike(_IPV4) & F.forall(octets, lambda o: o <= 255)
+    return F.when(valid, F.array_join(F.transform(octets, lambda o: o.cast("string")), "."))
 
 
 _UUID = "^(\\{[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7}\\}|[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7})$"

@@ -26,6 +26,9 @@ PY_NOT_SPACE = r"[^\s\x1C-\x1F]"
 # Flags that make java.util.regex read a pattern the way Python's re does.
 PY_FLAGS = "(?dU)"
 
+# Every character str.isspace() accepts, derived from the running Python.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
 _NAMED_GROUP = re.compile(r"\(\?P<([A-Za-z_][A-Za-z0-9_]*)>")
 
 
@@ -51,8 +54,8 @@ def java_pattern(py_pattern: str) -> tuple[str, list[str]]:
 
 
 def py_strip(col: Column) -> Column:
-    """``str.strip()`` with no argument: remove Unicode whitespace at both ends."""
-    return F.regexp_replace(col, PY_FLAGS + "^" + PY_SPACE + "+|" + PY_SPACE + "+$", "")
+    """``str.strip()`` with no argument: remove Unicode whitespace at both ends (no regex)."""
+    return F.trim(col, F.lit(PY_WHITESPACE))
 
 
 def has_nul(col: Column) -> Column:

@@ -253,7 +253,18 @@ def _run(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read a test table; spread it when its scan plans to fewer tasks than there are cores.
+
+    The test tables are single small files (often one row group, hence one
+    scan task); a round-robin repartition of the scanned columns lets the
+    derivations that follow use every core. At scale a scan already yields far
+    more splits than cores and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def page_log(spark: SparkSession, events: DataFrame) -> DataFrame:
