@@ -398,6 +398,24 @@ def q_ingest_files_roundtrip(spark, sf):
     return parse.good_rows(parse.parse_lines(lines))
 
 
+@register("file_quality_roundtrip", f"""
+WITH o AS (SELECT filename, {_case_outcome(1)} AS outcome FROM {LINES} l)
+SELECT filename, count(*) + 1 AS file_line_count,
+       count(*) FILTER (WHERE outcome = 'bad') + 1 AS file_bad_lines,
+       count(*) FILTER (WHERE outcome = 'regex_failed') AS file_regex_failed
+FROM o GROUP BY filename""")
+def q_file_quality_roundtrip(spark, sf):
+    """Per-file counts after a trip through real files: each written file ends
+    with a newline, so it reads back with one extra, empty (bad) last line."""
+    root = logfiles.write_log_files(spark, _lines(spark, sf))
+    lines = logfiles.read_log_lines(spark, root, layout=logfiles.SPARK_LAYOUT)
+    q = quality.file_quality(parse.parse_lines(lines))
+    source_name = F.regexp_replace(
+        F.regexp_extract("filename", r"y=(\d{4})/m=(\d{2})/d=(\d{2})/h=(\d{2})/f=([^/]+)/", 0),
+        r"y=(\d{4})/m=(\d{2})/d=(\d{2})/h=(\d{2})/f=([^/]+)/", "logs/$1/$2/$3/$4/$5")
+    return q.select(source_name.alias("filename"), "file_line_count", "file_bad_lines", "file_regex_failed")
+
+
 @register("ingest_stream_available_now", _expected_raw(_GOOD_HOURLY))
 def q_ingest_stream_available_now(spark, sf):
     root = logfiles.write_log_files(spark, _lines(spark, sf))

@@ -57,8 +57,9 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
             .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("path")))).alias("value"))
         files = checked
     else:
-        files = (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
-                 .option("recursiveFileLookup", "true").text(path)
+        # format("text").load(): DataFrameReader.text() would reset wholetext to its own default
+        files = (spark.read.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", "true").load(path)
                  .select(F.col("_metadata.file_path").alias("filename"), "value"))
     return lines_of_files(files)
 
