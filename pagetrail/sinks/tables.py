@@ -31,13 +31,16 @@ def _hour_path(root: str, hour: datetime, date_col: str, hour_col: str) -> str:
     return f"{root}/{date_col}={hour:%Y-%m-%d}/{hour_col}={hour.hour}"
 
 
-def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour: int | None = None) -> str:
+def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour: int | None = None,
+                      sort_by: str | None = "time_received") -> str:
     """SNK1 / SNK8: replace the rows loaded from one ingest hour's files."""
     path = _hour_path(root, hour, "ingest_date", "ingest_hour")
     out = rows.withColumn("row_added", F.localtimestamp())
     if files_per_hour:
         out = out.repartition(files_per_hour)
-    out.sortWithinPartitions("time_received").write.mode("overwrite").parquet(path)
+    if sort_by:
+        out = out.sortWithinPartitions(sort_by)
+    out.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -92,13 +95,34 @@ def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:
     return path
 
 
-def read_table(spark: SparkSession, root: str, partition_schema: str) -> DataFrame:
+# Stored schemas (without partition columns), used to read tables that have no files yet.
+RAW_LOGS_DDL = ("pid INT, ip STRING, num_request_variables INT, packet_size INT, time_received TIMESTAMP_NTZ, "
+                "http_method STRING, uri STRING, response_size INT, http_status INT, num_headers INT, "
+                "header_size INT, switches INT, core INT, referrer STRING, user_agent STRING, has_wallet BOOLEAN, "
+                "session_id STRING, user_id INT, user_id_uuid STRING, ga_ga STRING, ga_gid STRING, "
+                "row_added TIMESTAMP_NTZ")
+PAGE_LOG_DDL = ("time_received TIMESTAMP_NTZ, uri STRING, referrer STRING, user_agent STRING, has_wallet BOOLEAN, "
+                "ip STRING, session_id STRING, user_id INT, user_id_uuid STRING, ga_ga STRING, ga_gid STRING, "
+                "row_added TIMESTAMP_NTZ")
+VIEW_LOG_DDL = ("time_received TIMESTAMP_NTZ, bounty_id INT, user_agent STRING, has_wallet BOOLEAN, ip STRING, "
+                "session_id STRING, user_id INT, user_id_uuid STRING, ga_ga STRING, ga_gid STRING, "
+                "row_added TIMESTAMP_NTZ")
+
+
+def read_table(spark: SparkSession, root: str, partition_schema: str, schema: str | None = None) -> DataFrame:
     """Read a partitioned table with its partition columns typed as given.
 
     ``partition_schema`` e.g. ``"event_date DATE, event_hour INT"``: stated
     explicitly because inference would turn ``07`` into an INT and a date into
-    a DATE only by luck.
+    a DATE only by luck. With ``schema`` (the stored columns) a table that has
+    no files yet reads as empty instead of failing.
     """
+    if schema is not None:
+        full = f"{schema}, {partition_schema}"
+        try:
+            return spark.read.schema(full).option("basePath", root).parquet(root)
+        except Exception:  # the folder does not exist yet
+            return spark.createDataFrame([], full)
     df = spark.read.option("basePath", root).parquet(root)
     for field in partition_schema.split(","):
         name, typ = field.strip().split()
@@ -106,18 +130,20 @@ def read_table(spark: SparkSession, root: str, partition_schema: str) -> DataFra
     return df
 
 
-def read_window(spark: SparkSession, root: str, start: datetime, end: datetime | None = None,
-                date_col: str = "event_date", hour_col: str = "event_hour") -> DataFrame:
-    """SRC5: rows of an event-partitioned table in ``[start, end)``.
+def read_window(spark: SparkSession, root: str, start: datetime | None, end: datetime | None = None,
+                date_col: str = "event_date", hour_col: str = "event_hour", schema: str | None = None) -> DataFrame:
+    """SRC5: rows of an event-partitioned table in ``[start, end)`` (``None``: unbounded).
 
     Both the partition predicate (prunes directories) and the row predicate
     (pushed into the Parquet scan) are applied.
     """
-    df = read_table(spark, root, f"{date_col} DATE, {hour_col} INT")
-    cond = F.col(date_col) >= F.lit(start.date())
+    df = read_table(spark, root, f"{date_col} DATE, {hour_col} INT", schema)
+    ts = F.col("time_received")
+    if start is not None:
+        df = df.filter(F.col(date_col) >= F.lit(start.date())).filter(ts >= F.lit(start).cast("timestamp_ntz"))
     if end is not None:
-        cond = cond & (F.col(date_col) <= F.lit(end.date()))
-    return df.filter(cond).filter(in_window(F.col("time_received"), start, end)).drop(date_col, hour_col)
+        df = df.filter(F.col(date_col) <= F.lit(end.date())).filter(ts < F.lit(end).cast("timestamp_ntz"))
+    return df.drop(date_col, hour_col)
 
 
 def read_ingested(spark: SparkSession, root: str, start: datetime, end: datetime | None = None,
@@ -128,7 +154,7 @@ def read_ingested(spark: SparkSession, root: str, start: datetime, end: datetime
     still skip row groups). With it, only ingest hours within ``max_skew`` of the
     window are listed, which is exact only if no file carries rows further off.
     """
-    df = read_table(spark, root, "ingest_date DATE, ingest_hour INT")
+    df = read_table(spark, root, "ingest_date DATE, ingest_hour INT", RAW_LOGS_DDL)
     if max_skew is not None:
         lo = (start - max_skew).date()
         cond = F.col("ingest_date") >= F.lit(lo)
