@@ -223,6 +223,27 @@ def q_user_page_log_empty_blacklist(spark, sf):
     return pages.user_page_log(_page_log(spark, sf), _empty_blacklist(spark, sf), _M0, _M1)
 
 
+@register("visitor_previous_visit_from_history", _visitor_sql(VISIT_DAY))
+def q_visitor_previous_visit_from_history(spark, sf):
+    """Past visits taken from a visitor-day table instead of every page view."""
+    pl = _page_log(spark, sf)
+    history = (pl.groupBy("user_id_uuid", "user_id", F.to_date("time_received").alias("ymd"))
+               .agg(F.count(F.lit(1)).alias("pageviews")))
+    return visitors.visitor_previous_visit(pl, VISIT_DAY, history=history)
+
+
+@register("page_log_from_raw_lines", f"""
+SELECT time_received, uri, referrer, user_agent, has_wallet, ip, session_id, user_id, user_id_uuid, ga_ga, ga_gid
+FROM ({_expected_raw(_GOOD_HOURLY)}) e
+WHERE (NOT regexp_matches(uri, '^/notification/'))
+  AND time_received >= {_lit_ts(_D0)} AND time_received < {_lit_ts(_D1)}
+  AND user_agent NOT IN (SELECT DISTINCT user_agent FROM ({fx.agent_blacklist_sql('nation')}) bl)""")
+def q_page_log_from_raw_lines(spark, sf):
+    """The whole chain from raw text: parse, keep good rows, derive a day's page log."""
+    raw = parse.good_rows(_parsed(spark, sf))
+    return pages.user_page_log(raw, fx.agent_blacklist(spark, fx.load(spark, sf, "nation")), _D0, _D1)
+
+
 # --- bounty views (FIL6-7, PRJ1) and snapshot (PRJ2-3) -------------------------
 
 _VIEWS_SQL = f"""
@@ -276,6 +297,13 @@ def q_parse_outcomes_backfill(spark, sf):
     return _parsed(spark, sf, "backfill").select("filename", "line_number", "outcome")
 
 
+@register("parse_outcomes_exact_literals",
+          f"SELECT filename, line_number, {_case_outcome(1)} AS outcome FROM {LINES} l")
+def q_parse_outcomes_exact_literals(spark, sf):
+    """Outcomes with the envelope decided by Python's literal parser (Arrow batches)."""
+    return parse.parse_lines(_lines(spark, sf), exact_literals=True).select("filename", "line_number", "outcome")
+
+
 @register("cookie_fields", f"""
 SELECT session_id, user_id, user_id_uuid, ga_ga, ga_gid FROM ({_expected_raw(_GOOD_HOURLY)}) e""")
 def q_cookie_fields(spark, sf):

@@ -94,6 +94,12 @@ def blacklist_sql(nation: str = "nation", with_null: bool = False) -> str:
     return f"SELECT 'UA-' || CAST(n_nationkey % 11 AS STRING) AS user_agent FROM {nation} WHERE n_regionkey = 1"
 
 
+def agent_blacklist_sql(nation: str = "nation") -> str:
+    """The same nations' agents, spelt as the raw-line adapter writes user agents."""
+    return (f"SELECT 'Mozilla/5.0 (agent ' || CAST(n_nationkey % 11 AS STRING) || ')' AS user_agent "
+            f"FROM {nation} WHERE n_regionkey = 1")
+
+
 def bounties_sql(orders: str = "orders") -> str:
     """The bounty table (source column names, incl. ``bountyStage``) from orders."""
     return f"""
@@ -275,6 +281,10 @@ def blacklist(spark: SparkSession, nation: DataFrame, with_null: bool = False) -
     return _run(spark, blacklist_sql("@nation@", with_null), nation=nation)
 
 
+def agent_blacklist(spark: SparkSession, nation: DataFrame) -> DataFrame:
+    return _run(spark, agent_blacklist_sql("@nation@"), nation=nation)
+
+
 def bounties(spark: SparkSession, orders: DataFrame) -> DataFrame:
     return _run(spark, bounties_sql("@orders@"), orders=orders)
 
