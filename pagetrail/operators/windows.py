@@ -18,15 +18,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _ts(value: datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz")
+def ntz(value: datetime) -> Column:
+    """A zone-less timestamp literal (independent of the session time zone)."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
+
+
+def truncate_hour(ts: Column) -> Column:
+    """The hour of a TIMESTAMP_NTZ, computed from its fields (no time-zone round trip)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
 
 
 def in_window(ts: Column, start: datetime, end: datetime | None = None) -> Column:
     """``ts >= start and ts < end`` (``end=None``: no upper bound)."""
-    cond = ts >= _ts(start)
+    cond = ts >= ntz(start)
     if end is not None:
-        cond = cond & (ts < _ts(end))
+        cond = cond & (ts < ntz(end))
     return cond
 
 
@@ -80,5 +86,5 @@ def straddling_rows(parsed_good: DataFrame, path_hour_col: str = "path_hour") ->
 
 def hourly_slices(df: DataFrame, ts_col: str = "time_received") -> DataFrame:
     """INC2: rows per half-open hour slice (``slice_start``, ``n_rows``)."""
-    return (df.groupBy(F.date_trunc("hour", F.col(ts_col)).cast("timestamp_ntz").alias("slice_start"))
+    return (df.groupBy(truncate_hour(F.col(ts_col)).alias("slice_start"))
             .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -25,13 +25,21 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
+# The parse builds large generated methods; HotSpot leaves methods over 8 KB of
+# bytecode interpreted unless told otherwise. Applied only when the deployment
+# has not set JVM options of its own.
+JIT_OPTION = "-XX:-DontCompileHugeMethods"
+
 
 def get_session(master: str | None = None, app_name: str = "pagetrail", **conf) -> SparkSession:
     """Build (or reuse) a session with the library's settings; ``conf`` overrides them."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **conf}.items():
+    settings = {**DEFAULT_CONF, **conf}
+    for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+        settings.setdefault(key, JIT_OPTION)
+    for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

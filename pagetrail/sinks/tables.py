@@ -24,7 +24,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import in_window
+from ..operators.windows import in_window, ntz
 
 
 def _hour_path(root: str, hour: datetime, date_col: str, hour_col: str) -> str:
@@ -140,9 +140,9 @@ def read_window(spark: SparkSession, root: str, start: datetime | None, end: dat
     df = read_table(spark, root, f"{date_col} DATE, {hour_col} INT", schema)
     ts = F.col("time_received")
     if start is not None:
-        df = df.filter(F.col(date_col) >= F.lit(start.date())).filter(ts >= F.lit(start).cast("timestamp_ntz"))
+        df = df.filter(F.col(date_col) >= F.lit(start.date())).filter(ts >= ntz(start))
     if end is not None:
-        df = df.filter(F.col(date_col) <= F.lit(end.date())).filter(ts < F.lit(end).cast("timestamp_ntz"))
+        df = df.filter(F.col(date_col) <= F.lit(end.date())).filter(ts < ntz(end))
     return df.drop(date_col, hour_col)
 
 
