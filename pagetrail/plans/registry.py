@@ -438,9 +438,8 @@ def q_file_quality_roundtrip(spark, sf):
     root = logfiles.write_log_files(spark, _lines(spark, sf))
     lines = logfiles.read_log_lines(spark, root, layout=logfiles.SPARK_LAYOUT)
     q = quality.file_quality(parse.parse_lines(lines))
-    source_name = F.regexp_replace(
-        F.regexp_extract("filename", r"y=(\d{4})/m=(\d{2})/d=(\d{2})/h=(\d{2})/f=([^/]+)/", 0),
-        r"y=(\d{4})/m=(\d{2})/d=(\d{2})/h=(\d{2})/f=([^/]+)/", "logs/$1/$2/$3/$4/$5")
+    name_re = r"hour=(\d{4})-(\d{2})-(\d{2})-(\d{2})/file=([^/]+)/"
+    source_name = F.regexp_replace(F.regexp_extract("filename", name_re, 0), name_re, "logs/$1/$2/$3/$4/$5")
     return q.select(source_name.alias("filename"), "file_line_count", "file_bad_lines", "file_regex_failed")
 
 

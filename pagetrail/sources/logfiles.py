@@ -24,7 +24,7 @@ from ..session import scratch_path
 # Directory layouts, filled with strftime-style fields of the hour.
 SOURCE_LAYOUT = "{Y}/{m}/{d}/{H}"
 # what ``write_log_files`` produces (Spark's partition-directory naming)
-SPARK_LAYOUT = "y={Y}/m={m}/d={d}/h={H}"
+SPARK_LAYOUT = "hour={Y}-{m}-{d}-{H}"
 
 
 def _hour_dir(layout: str, ts: datetime | date, hour: bool) -> str:
@@ -87,12 +87,9 @@ def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = No
     files = (lines.groupBy("filename")
              .agg(F.sort_array(F.collect_list(F.struct("line_number", "line"))).alias("_ls"))
              .select(
-                 F.regexp_extract("filename", path_re, 1).alias("y"),
-                 F.regexp_extract("filename", path_re, 2).alias("m"),
-                 F.regexp_extract("filename", path_re, 3).alias("d"),
-                 F.regexp_extract("filename", path_re, 4).alias("h"),
-                 F.regexp_extract("filename", path_re, 5).alias("f"),
+                 F.regexp_replace(F.regexp_extract("filename", path_re, 0), path_re, "$1-$2-$3-$4").alias("hour"),
+                 F.regexp_extract("filename", path_re, 5).alias("file"),
                  F.array_join(F.transform("_ls", lambda x: x.getField("line")), "\n").alias("value")))
-    (files.repartition("y", "m", "d", "h", "f")
-     .write.mode("overwrite").partitionBy("y", "m", "d", "h", "f").text(root))
+    (files.repartition("hour", "file")
+     .write.mode("overwrite").partitionBy("hour", "file").text(root))
     return root
