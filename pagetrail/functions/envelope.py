@@ -36,12 +36,11 @@ def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
     """Return (env_ok, log_is_str, log) for a raw line column."""
     wrapped = F.concat(F.lit("["), line, F.lit("]"))
     strict = F.try_parse_json(wrapped)
-    first = F.variant_get(strict, "$[0]", "variant")
-    single = first.isNotNull() & F.variant_get(strict, "$[1]", "variant").isNull()
-    literal = ~F.coalesce(F.schema_of_variant(strict).rlike(_NON_LITERAL_TYPE), F.lit(False))
-    is_obj = F.schema_of_variant(first).startswith("OBJECT<")
+    # a value at "$[0].log" means the first element is an object holding "log"
     log_variant = F.variant_get(strict, "$[0].log", "variant")
-    strict_ok = single & literal & is_obj & log_variant.isNotNull()
+    single = F.variant_get(strict, "$[1]", "variant").isNull()
+    literal = ~F.coalesce(F.schema_of_variant(strict).rlike(_NON_LITERAL_TYPE), F.lit(False))
+    strict_ok = log_variant.isNotNull() & single & literal
     strict_is_str = F.schema_of_variant(log_variant) == F.lit("STRING")
     strict_log = F.variant_get(strict, "$[0].log", "string")
 

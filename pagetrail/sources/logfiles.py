@@ -1,22 +1,35 @@
 """SRC1-4: read time-partitioned log files as (filename, line_number, line).
 
 Layout: ``root/<hour path>/*.log`` with the hour path ``YYYY/MM/DD/HH`` by
-default. Each file is read whole (``wholetext``) so that its lines can be
-numbered from 1 and the empty piece after a final newline is kept and counted,
-as the source pipeline did (``text.split("\\n")``). Spark's line reader would
-drop that piece. One file is one row, so a file must fit in one task; files
-are independent, so many files spread over all executors without a shuffle.
-
-Strict UTF-8 (SRC4): the source failed the run on undecodable bytes. Reading
-as ``binaryFile`` and checking ``is_valid_utf8`` gives the same behaviour with
-``strict_utf8=True``; the default text reader substitutes U+FFFD instead.
+default. The result follows the source pipeline's ``text.split("\\n")``: lines
+are numbered from 1 per file, and a file that ends with a newline (or is
+empty) has one more, empty, last line.
+
+Two readers give the same rows:
+
+* split mode (default, for any file size): Spark's line reader with
+  ``lineSep="\\n"`` reads every file in splits of ``maxPartitionBytes``, so a
+  file holding a third of all lines is spread over many tasks. A line's number
+  is the number of lines in earlier splits of its file plus its position in its
+  own split; per-split counts are a small aggregate (one row per split) joined
+  back to the lines, never a shuffle of the lines. Whether a file ends with a
+  newline follows from its size: the bytes of its lines plus one separator each
+  equal the file size exactly then.
+* whole-file mode (``whole_files=True``): each file is one row, split in
+  memory; simpler, but a file must fit in one task.
+
+File scans skip zero-length files; those are found from the scan's file listing
+and contribute their single empty line.
+
+Strict UTF-8 (SRC4): the source failed the run on undecodable bytes;
+``strict_utf8=True`` does the same (whole-file check with ``is_valid_utf8``).
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -34,7 +47,8 @@ def _hour_dir(layout: str, ts: datetime | date, hour: bool) -> str:
 
 
 def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None, day: date | None = None,
-                   layout: str = SOURCE_LAYOUT, glob: str | None = None, strict_utf8: bool = False) -> DataFrame:
+                   layout: str = SOURCE_LAYOUT, glob: str | None = None, strict_utf8: bool = False,
+                   whole_files: bool = False) -> DataFrame:
     """(filename, line_number, line) for every line of the files of one hour, one day, or all.
 
     ``glob`` filters file names (default ``*.log`` for the source layout,
@@ -55,13 +69,80 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
             F.col("path").alias("filename"),
             F.when(F.is_valid_utf8(F.col("content")), F.col("content").cast("string"))
             .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("path")))).alias("value"))
-        files = checked
-    else:
+        return lines_of_files(checked)
+    if whole_files:
         # format("text").load(): DataFrameReader.text() would reset wholetext to its own default
-        files = (spark.read.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
-                 .option("recursiveFileLookup", "true").load(path)
-                 .select(F.col("_metadata.file_path").alias("filename"), "value"))
-    return lines_of_files(files)
+        text = (spark.read.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
+                .option("recursiveFileLookup", "true").load(path))
+        lines = lines_of_files(text.select(F.col("_metadata.file_path").alias("filename"), "value"))
+        seen = lines.filter(F.col("line_number") == 1).select("filename")
+    else:
+        text = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
+                .option("recursiveFileLookup", "true").load(path))
+        lines, seen = _split_lines(text)
+    return lines.unionByName(_empty_files(spark, text, seen))
+
+
+def _normal_path(col):
+    return F.regexp_replace(col, "^file:///", "file:/")
+
+
+def _empty_files(spark: SparkSession, text: DataFrame, seen: DataFrame) -> DataFrame:
+    """One empty line 1 for each listed file that yields no lines (a zero-length file).
+
+    File scans skip zero-length files, so they are found by comparing the
+    scan's file listing (names only, as planned by Spark) with the files seen.
+    """
+    listed = spark.createDataFrame([(p,) for p in text.inputFiles()], "filename string") \
+        .select(_normal_path(F.col("filename")).alias("filename"))
+    seen = seen.select(_normal_path(F.col("filename")).alias("filename"))
+    return (listed.join(seen, "filename", "left_anti")
+            .select("filename", F.lit(1).alias("line_number"), F.lit("").alias("line")))
+
+
+def split_columns(text: DataFrame) -> DataFrame:
+    """(filename, _split, _size, line) of a line-reader scan, from its file metadata."""
+    return text.select(
+        F.col("_metadata.file_path").alias("filename"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("value").alias("line"),
+    )
+
+
+def _split_lines(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return number_split_lines(split_columns(text))
+
+
+def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Number (filename, _split, _size, line) rows as whole-file ``split("\\n")`` would.
+
+    Returns (numbered lines incl. the empty tail piece, names of the files seen).
+    """
+    # rows of one split are read in order by one task: their ids are consecutive
+    rows = rows.select("filename", "_split", "_size", F.monotonically_increasing_id().alias("_seq"), "line")
+    per_split = rows.groupBy("filename", "_split").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_seq").alias("_first"),
+        F.sum(F.octet_length("line") + 1).alias("_bytes"),
+        F.max("_size").alias("_size"),
+    )
+    in_file = Window.partitionBy("filename")
+    earlier = in_file.orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = per_split.select(
+        "filename", "_split", "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(in_file).alias("_lines"),
+        F.sum("_bytes").over(in_file).alias("_file_bytes"),
+        "_size",
+    )
+    numbered = rows.join(splits.select("filename", "_split", "_first", "_before"), ["filename", "_split"]).select(
+        "filename", (F.col("_before") + F.col("_seq") - F.col("_first") + 1).cast("int").alias("line_number"),
+        "line")
+    # a file ending with "\n": its lines and their separators fill it exactly
+    tails = (splits.filter((F.col("_split") == 0) & (F.col("_file_bytes") == F.col("_size")))
+             .select("filename", (F.col("_lines") + 1).cast("int").alias("line_number"), F.lit("").alias("line")))
+    return numbered.unionByName(tails), splits.filter(F.col("_split") == 0).select("filename")
 
 
 def lines_of_files(files: DataFrame, name_col: str = "filename", text_col: str = "value") -> DataFrame:

@@ -3,8 +3,10 @@
 The source waited for ``*.log`` keys under the hour's prefix and then parsed
 them. Here a Structured Streaming file source discovers new files (it keeps a
 log of files already seen in the checkpoint), ``Trigger.AvailableNow`` processes
-everything present and stops, and ``foreachBatch`` runs the batch parser on
-each micro-batch. Every micro-batch writes its own output folder
+everything present and stops, and ``foreachBatch`` numbers and parses each
+micro-batch's lines exactly like the batch reader (files are read in splits,
+so a large file is spread over many tasks). Zero-length files never reach a
+file stream; only the batch reader counts their single empty line. Every micro-batch writes its own output folder
 (``batch=<id>``) with overwrite, so a batch replayed after an executor or driver
 failure replaces its own partial output instead of duplicating rows.
 """
@@ -18,7 +20,7 @@ from ..functions.fixed import HOURLY, RAW_COLUMNS
 from ..operators.parse import good_rows, parse_lines
 from ..operators.quality import failure_samples, file_quality
 from ..session import scratch_path
-from ..sources.logfiles import SOURCE_LAYOUT, lines_of_files
+from ..sources.logfiles import SOURCE_LAYOUT, number_split_lines, split_columns
 
 
 def ingest_available(spark: SparkSession, root: str, out: str | None = None, checkpoint: str | None = None,
@@ -33,14 +35,15 @@ def ingest_available(spark: SparkSession, root: str, out: str | None = None, che
     checkpoint = checkpoint or f"{out}/_checkpoint"
     if glob is None:
         glob = "*.log" if layout == SOURCE_LAYOUT else "*.txt"
-    reader = (spark.readStream.format("text").option("wholetext", "true")
+    reader = (spark.readStream.format("text").option("lineSep", "\n")
               .option("pathGlobFilter", glob).option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(root).select(F.col("_metadata.file_path").alias("filename"), "value")
+    files = split_columns(reader.load(root))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_lines(lines_of_files(batch), mode).persist()
+        lines, _ = number_split_lines(batch)
+        parsed = parse_lines(lines, mode).persist()
         try:
             good_rows(parsed).select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
             failure_samples(parsed).write.mode("overwrite").parquet(f"{out}/samples/batch={batch_id}")
