@@ -48,11 +48,14 @@ def _hour_dir(layout: str, ts: datetime | date, hour: bool) -> str:
 
 def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None, day: date | None = None,
                    layout: str = SOURCE_LAYOUT, glob: str | None = None, strict_utf8: bool = False,
-                   whole_files: bool = False) -> DataFrame:
+                   whole_files: bool | None = None) -> DataFrame:
     """(filename, line_number, line) for every line of the files of one hour, one day, or all.
 
     ``glob`` filters file names (default ``*.log`` for the source layout,
-    ``*.txt`` for files written by :func:`write_log_files`).
+    ``*.txt`` for files written by :func:`write_log_files`). ``whole_files``
+    ``None`` (default) reads whole files when the largest one fits in a single
+    split (``spark.sql.files.maxPartitionBytes``), which is one pass and bounded
+    per task, and reads in splits otherwise.
     """
     if glob is None:
         glob = "*.log" if layout == SOURCE_LAYOUT else "*.txt"
@@ -70,33 +73,44 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
             F.when(F.is_valid_utf8(F.col("content")), F.col("content").cast("string"))
             .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("path")))).alias("value"))
         return lines_of_files(checked)
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+               .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    if whole_files is None:
+        whole_files = int(listing.agg(F.max("length")).first()[0] or 0) <= _split_bytes(spark)
     if whole_files:
         # format("text").load(): DataFrameReader.text() would reset wholetext to its own default
         text = (spark.read.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
                 .option("recursiveFileLookup", "true").load(path))
         lines = lines_of_files(text.select(F.col("_metadata.file_path").alias("filename"), "value"))
-        seen = lines.filter(F.col("line_number") == 1).select("filename")
     else:
         text = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
                 .option("recursiveFileLookup", "true").load(path))
-        lines, seen = _split_lines(text)
-    return lines.unionByName(_empty_files(spark, text, seen))
+        lines = _split_lines(text)
+    return lines.unionByName(_empty_files(spark, text, listing))
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    value = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    value = value[:-1] if value.endswith("b") else value
+    return int(value[:-1]) * units[value[-1]] if value[-1] in units else int(value)
 
 
 def _normal_path(col):
     return F.regexp_replace(col, "^file:///", "file:/")
 
 
-def _empty_files(spark: SparkSession, text: DataFrame, seen: DataFrame) -> DataFrame:
-    """One empty line 1 for each listed file that yields no lines (a zero-length file).
+def _empty_files(spark: SparkSession, text: DataFrame, listing: DataFrame) -> DataFrame:
+    """One empty line 1 for each zero-length file.
 
-    File scans skip zero-length files, so they are found by comparing the
-    scan's file listing (names only, as planned by Spark) with the files seen.
+    File scans skip zero-length files, so they are the files of the scan's
+    listing (names only, as planned by Spark) that a metadata-only scan of the
+    same path does not return.
     """
     listed = spark.createDataFrame([(p,) for p in text.inputFiles()], "filename string") \
         .select(_normal_path(F.col("filename")).alias("filename"))
-    seen = seen.select(_normal_path(F.col("filename")).alias("filename"))
-    return (listed.join(seen, "filename", "left_anti")
+    nonempty = listing.select(_normal_path(F.col("path")).alias("filename"))
+    return (listed.join(nonempty, "filename", "left_anti")
             .select("filename", F.lit(1).alias("line_number"), F.lit("").alias("line")))
 
 
@@ -110,8 +124,8 @@ def split_columns(text: DataFrame) -> DataFrame:
     )
 
 
-def _split_lines(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return number_split_lines(split_columns(text))
+def _split_lines(text: DataFrame) -> DataFrame:
+    return number_split_lines(split_columns(text))[0]
 
 
 def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -136,7 +136,9 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")    # many splits per big file
     try:
-        split = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
+        split = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0), whole_files=False)
+        auto = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
+        auto_rows = {(os.path.basename(r.filename), r.line_number): r.line for r in auto.collect()}
         got = {(os.path.basename(r.filename), r.line_number): r.line for r in split.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -146,4 +148,5 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
         for i, piece in enumerate(text.split("\n")):
             want[(os.path.basename(rel), i + 1)] = piece
     assert got == want
+    assert auto_rows == want
     assert {(os.path.basename(r.filename), r.line_number): r.line for r in whole.collect()} == want
