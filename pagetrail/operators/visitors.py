@@ -33,9 +33,21 @@ def _day_of(ts_col: str = "time_received"):
     return F.to_date(F.col(ts_col))
 
 
+# Partition column of an event-partitioned page log (always the date of time_received).
+PARTITION_DATE = "event_date"
+
+
+def _on_day(page_log: DataFrame, cond_on_date) -> DataFrame:
+    """Filter by a condition on the event date; also on the partition column when present (pruning)."""
+    out = page_log.filter(cond_on_date(_day_of()))
+    if PARTITION_DATE in page_log.columns:
+        out = out.filter(cond_on_date(F.col(PARTITION_DATE)))
+    return out
+
+
 def daily_pageviews(page_log: DataFrame, day: date) -> DataFrame:
     """AGG1: (user_id_uuid, user_id, has_wallet, pageviews) for one day."""
-    return (page_log.filter(_day_of() == F.lit(day))
+    return (_on_day(page_log, lambda d: d == F.lit(day))
             .groupBy("user_id_uuid", "user_id")
             .agg(F.bool_or(F.col("has_wallet")).alias("has_wallet"),
                  F.count(F.lit(1)).alias("pageviews")))
@@ -51,7 +63,8 @@ def last_past_visit(page_log: DataFrame, day: date, history: DataFrame | None =
     if history is not None:
         visits = history.select("user_id_uuid", "user_id", F.col("ymd").alias("_d"))
     else:
-        visits = page_log.select("user_id_uuid", "user_id", _day_of().alias("_d"))
+        visits = _on_day(page_log, lambda d: d <= F.lit(cutoff)).select("user_id_uuid", "user_id",
+                                                                      _day_of().alias("_d"))
     return (visits.filter(F.col("_d") <= F.lit(cutoff))
             .groupBy("user_id_uuid", "user_id")
             .agg(F.max("_d").alias("ymd")))

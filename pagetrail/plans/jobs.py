@@ -91,7 +91,9 @@ def visitor_run(spark: SparkSession, warehouse: str, day: date, use_history: boo
     table (one row per visitor and day) instead of rescanning every page view;
     it gives the same result once every earlier day has been run.
     """
-    page_log = page_log_window(spark, warehouse, None, datetime(day.year, day.month, day.day) + timedelta(days=1))
+    # keep the event_date partition column: the operator prunes partitions with it
+    page_log = tables.read_table(spark, f"{warehouse}/user_page_log", "event_date DATE, event_hour INT",
+                                 tables.PAGE_LOG_DDL).drop("row_added", "event_hour")
     history = None
     if use_history:
         history = tables.read_table(spark, f"{warehouse}/agg_visitor_previous_visit", "ymd DATE") \
