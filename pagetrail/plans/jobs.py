@@ -20,10 +20,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed import HOURLY, RAW_COLUMNS
+from ..functions.fixed import BAD, GOOD, HOURLY, RAW_COLUMNS, REGEX_FAILED, REJECTED
 from ..operators import pages, parse, quality, snapshot, views, visitors, windows
 from ..sinks import tables
-from ..sources.logfiles import SOURCE_LAYOUT, read_log_lines
+from ..sources.logfiles import SOURCE_LAYOUT, path_hour, read_log_lines
 
 
 def ingest_hour(spark: SparkSession, logs_root: str, warehouse: str, hour: datetime, mode: str = HOURLY,
@@ -53,11 +53,35 @@ def ingest_hour(spark: SparkSession, logs_root: str, warehouse: str, hour: datet
         parsed.unpersist()
 
 
-def ingest_day(spark: SparkSession, logs_root: str, warehouse: str, day: date, layout: str = SOURCE_LAYOUT):
-    """The one-off daily backfill: every hour of ``day`` in backfill mode."""
+def ingest_day(spark: SparkSession, logs_root: str, warehouse: str, day: date, mode: str = "backfill",
+               layout: str = SOURCE_LAYOUT) -> DataFrame:
+    """The one-off daily backfill: all files under ``day`` in one job.
+
+    Each row keeps the ingest hour of its file's path, so the day lands in the
+    same (ingest_date, ingest_hour) partitions the hourly run writes; the day's
+    24 hours are replaced together. The backfill kept no failure samples.
+    """
     start = datetime(day.year, day.month, day.day)
-    return [ingest_hour(spark, logs_root, warehouse, start + timedelta(hours=h), "backfill", layout=layout)
-            for h in range(24)]
+    hours = [start + timedelta(hours=h) for h in range(24)]
+    lines = read_log_lines(spark, logs_root, day=day, layout=layout)
+    parsed = (parse.parse_lines(lines, mode)
+              .withColumn("_ingest_hour", path_hour(F.col("filename"), layout))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        tables.write_ingest_hours(parsed.filter(F.col("outcome") == GOOD).select(*RAW_COLUMNS, "_ingest_hour"),
+                                  f"{warehouse}/raw_logs", hours)
+        tables.write_ingest_hours(parsed.filter(F.col("outcome") == REJECTED)
+                                  .select("filename", "line_number", "line", "_ingest_hour"),
+                                  f"{warehouse}/rejected_lines", hours, sort_by=None)
+        per_file = parsed.groupBy("filename", "_ingest_hour").agg(
+            F.count(F.lit(1)).alias("file_line_count"),
+            F.count_if(F.col("outcome") == BAD).alias("file_bad_lines"),
+            F.count_if(F.col("outcome") == REGEX_FAILED).alias("file_regex_failed"))
+        tables.write_ingest_hours(per_file, f"{warehouse}/files_processed", hours, sort_by=None)
+        return (tables.read_table(spark, f"{warehouse}/files_processed", "ingest_date DATE, ingest_hour INT")
+                .filter(F.col("ingest_date") == F.lit(day)).drop("row_added"))
+    finally:
+        parsed.unpersist()
 
 
 def raw_window(spark: SparkSession, warehouse: str, start: datetime, end: datetime | None = None,

@@ -44,6 +44,29 @@ def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour
     return path
 
 
+def write_ingest_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str = "_ingest_hour",
+                       sort_by: str | None = "time_received") -> None:
+    """SNK1 / SNK9: replace several ingest hours in one job.
+
+    ``rows`` carries each row's ingest hour in ``hour_col``. The listed hours'
+    existing partitions are cleared first, then one job appends every row into
+    its (ingest_date, ingest_hour) partition without a shuffle.
+    """
+    spark = rows.sparkSession
+    keys = {(f"{h:%Y-%m-%d}", h.hour) for h in hours}
+    existing = _existing_hours(spark, root, sorted({h.date() for h in hours}), "ingest_date", "ingest_hour")
+    out = (rows.withColumn("row_added", F.localtimestamp())
+           .withColumn("ingest_date", F.to_date(F.col(hour_col)))
+           .withColumn("ingest_hour", F.hour(F.col(hour_col)))
+           .drop(hour_col))
+    empty = out.limit(0).drop("ingest_date", "ingest_hour")
+    for d, h in sorted(existing & keys):
+        empty.write.mode("overwrite").parquet(f"{root}/ingest_date={d}/ingest_hour={h}")
+    if sort_by:
+        out = out.sortWithinPartitions("ingest_date", "ingest_hour", sort_by)
+    out.write.mode("append").partitionBy("ingest_date", "ingest_hour").parquet(root)
+
+
 def _existing_hours(spark: SparkSession, root: str, days: list[date], date_col: str, hour_col: str) -> set:
     """(date, hour) partitions present under ``root`` for ``days``, from the file listing only."""
     glob = f"{root}/{date_col}={{{','.join(f'{d:%Y-%m-%d}' for d in days)}}}/*"

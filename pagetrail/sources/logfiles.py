@@ -89,6 +89,14 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
     return lines.unionByName(_empty_files(spark, text, listing))
 
 
+def path_hour(filename, layout: str = SOURCE_LAYOUT):
+    """TIMESTAMP_NTZ of the hour a file is filed under, read from its path by ``layout``."""
+    pattern = (layout.replace("{Y}", r"(\d{4})").replace("{m}", r"(\d{2})").replace("{d}", r"(\d{2})")
+               .replace("{H}", r"(\d{2})")) + "/"
+    parts = [F.regexp_extract(filename, pattern, i).cast("int") for i in range(1, 5)]
+    return F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0))
+
+
 def _split_bytes(spark: SparkSession) -> int:
     value = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).strip().lower()
     units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}

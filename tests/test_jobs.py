@@ -63,3 +63,20 @@ def test_daily_chain_is_repeatable(spark, tmp_dir):
     jobs.snapshot_run(spark, wh, bounties, day)
     jobs.snapshot_run(spark, wh, bounties, day)
     assert spark.read.parquet(f"{wh}/agg_bounty_snapshot").count() == bounties.count()
+
+
+def test_backfill_day_in_one_job_equals_hourly_backfill(spark, tmp_dir):
+    logs = os.path.join(tmp_dir, "logs")
+    names = _write_source_files(spark, logs)
+    day = date(2024, 1, 1)
+    wh_day, wh_hours = os.path.join(tmp_dir, "a"), os.path.join(tmp_dir, "b")
+    files_seen = jobs.ingest_day(spark, logs, wh_day, day).count()
+    jobs.ingest_day(spark, logs, wh_day, day)                                  # rerun: same table
+    hours = sorted({datetime.strptime(n.split("/", 1)[1][:13], "%Y/%m/%d/%H") for n in names})
+    for h in hours:
+        jobs.ingest_hour(spark, logs, wh_hours, h, mode="backfill")
+    a = spark.read.parquet(f"{wh_day}/raw_logs").drop("row_added")
+    b = spark.read.parquet(f"{wh_hours}/raw_logs").drop("row_added")
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert a.count() > 0
+    assert files_seen == len(names)
