@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from .text import PY_FLAGS, PY_SPACE, py_strip
 
-INT32_MIN = -(2 ** 31)
-INT32_MAX = 2 ** 31 - 1
-
 # ---------------------------------------------------------------------------
 # %c timestamps (C locale: "%a %b %d %H:%M:%S %Y", matched case-insensitively,
 # whitespace runs allowed, the whole text consumed, weekday not checked)
@@ -50,11 +47,6 @@ def parse_ctime(text: Column) -> Column:
 _PY_INT = "(?U)^[+-]?\\d+(_\\d+)*$"
 
 
-def is_py_int(text: Column) -> Column:
-    """Would ``int(text.strip())`` succeed."""
-    return py_strip(text).rlike(_PY_INT)
-
-
 def py_int_value(text: Column) -> Column:
     """INT value of a Python int literal; NULL when it does not fit 32 bits."""
     return F.regexp_replace(py_strip(text), "_", "").try_cast("int")

@@ -16,8 +16,6 @@ from pagetrail.functions.fixed import (ACCESS_PATTERN_BACKFILL, ACCESS_PATTERN_H
                                        NOT_FOUND_PREFIXES)
 
 _PATTERNS = {"hourly": re.compile(ACCESS_PATTERN_HOURLY), "backfill": re.compile(ACCESS_PATTERN_BACKFILL)}
-_COOKIE_KEYS = {"session_id": "session_id", "user_id": "user_id", "uuid": "user_id_uuid",
-                "_ga": "ga_ga", "_gid": "ga_gid"}
 _UUID = re.compile(r"\{[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7}\}|[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7}")
 
 
@@ -36,18 +34,17 @@ def _log_of(line: str):
 
 
 def _cookies(text: str) -> dict:
-    found = {}
-    for item in text.split(";"):
-        pieces = item.split("=")
-        if len(pieces) < 2:
-            continue
-        key, val = pieces[0].strip(), pieces[1].strip()
-        if key == "user_id":
-            try:
-                val = int(val)
-            except ValueError:
-                raise Bad
-        found[key] = val
+    """Rules PRS6-8: ';'-separated items, each cut on '='; items 0 and 1 stripped,
+    items without '=' ignored, the last duplicate wins, any non-int user_id is bad."""
+    cut = [item.split("=") for item in text.split(";")]
+    pairs = [(p[0].strip(), p[1].strip()) for p in cut if len(p) >= 2]
+    try:
+        ids = [int(v) for k, v in pairs if k == "user_id"]
+    except ValueError:
+        raise Bad
+    found = dict(pairs)
+    if ids:
+        found["user_id"] = ids[-1]
     return found
 
 
