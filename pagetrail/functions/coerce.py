@@ -6,11 +6,26 @@ whole parse stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import PY_FLAGS, PY_SPACE, py_strip
 
+# ---------------------------------------------------------------------------
+# digits: Python's int() (and strptime) take any Unicode decimal digit; Spark's
+# casts take ASCII only, so digits are mapped to ASCII first. The table is
+# derived from the running Python's Unicode database.
+# ---------------------------------------------------------------------------
+_OTHER_DIGITS = "".join(chr(c) for c in range(0x80, 0x110000) if unicodedata.decimal(chr(c), None) is not None)
+_THEIR_VALUES = "".join(str(unicodedata.decimal(ch)) for ch in _OTHER_DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    return F.translate(text, _OTHER_DIGITS, _THEIR_VALUES)
+
+
 # ---------------------------------------------------------------------------
 # %c timestamps (C locale: "%a %b %d %H:%M:%S %Y", matched case-insensitively,
 # whitespace runs allowed, the whole text consumed, weekday not checked)
@@ -28,7 +43,7 @@ _CTIME = (
 def parse_ctime(text: Column) -> Column:
     """``datetime.strptime(text, "%c")`` as TIMESTAMP_NTZ; NULL where Python raises."""
     packed = F.regexp_replace(F.concat(F.lit("\n"), text), F.lit(_CTIME), F.lit("\u0001$2,$3,$4,$5,$6,$7"))
-    parts = F.split(F.substring(packed, 2, 64), ",")
+    parts = F.split(ascii_digits(F.substring(packed, 2, 64)), ",")
     month = ((F.instr(F.lit(_MONTHS), F.lower(parts.getItem(0))) + 2) / 3).cast("int")
     day = F.trim(parts.getItem(1)).try_cast("int")
     hour = parts.getItem(2).try_cast("int")
@@ -49,12 +64,12 @@ _PY_INT = "(?U)^[+-]?\\d+(_\\d+)*$"
 
 def py_int_value(text: Column) -> Column:
     """INT value of a Python int literal; NULL when it does not fit 32 bits."""
-    return F.regexp_replace(py_strip(text), "_", "").try_cast("int")
+    return F.regexp_replace(ascii_digits(py_strip(text)), "_", "").try_cast("int")
 
 
 def digits_value(text: Column) -> Column:
     """INT value of a ``\\d*`` capture; NULL when empty or out of the INT range."""
-    return text.try_cast("int")
+    return ascii_digits(text).try_cast("int")
 
 
 # ---------------------------------------------------------------------------

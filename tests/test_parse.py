@@ -151,3 +151,21 @@ def test_quality_counts_invariant(spark):
     samples = failure_samples(parsed).collect()
     assert len(samples) == sum(q[n].file_regex_failed for n in q)
     assert rejected_rows(parsed).count() == sum(o.count("rejected") for o in by_file.values())
+
+
+def test_unicode_digits_follow_python_int(spark):
+    arabic = str.maketrans("0123456789", "٠١٢٣٤٥٦٧٨٩")
+    lines = [
+        env(ACCESS.replace("[pid: 12|", "[pid: " + "12".translate(arabic) + "|") + "\n"),
+        env(ACCESS.replace("user_id=5", "user_id=" + "57".translate(arabic)) + "\n"),
+        env(ACCESS.replace("00:00:01 2019", "00:00:01 " + "2019".translate(arabic)) + "\n"),
+        env(ACCESS.replace("1.2.3.4", "1.2.3." + "4".translate(arabic)) + "\n"),     # inet needs ASCII
+    ]
+    got = {r.line_number: r.asDict() for r in parse_lines(_frame(spark, lines)).collect()}
+    for i, line in enumerate(lines):
+        outcome, values = expected(line)
+        assert got[i + 1]["outcome"] == outcome, line
+        if outcome == "good":
+            assert all(got[i + 1][k] == v for k, v in values.items()), (line, values)
+    assert [got[k]["outcome"] for k in (1, 2, 3, 4)] == ["good", "good", "good", "rejected"]
+    assert got[1]["pid"] == 12 and got[2]["user_id"] == 57
