@@ -7,7 +7,6 @@ did), adaptive execution with partition coalescing and skew-join splitting.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,22 +52,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     and registered, so lineage cuts and derived files always land in the folder
     every executor can reach.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no SparkContext on this client: the configured folder or a private one
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pagetrail-ckpt-")
+    current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             sc.setCheckpointDir(current)
         else:
-            current = tempfile.mkdtemp(prefix="pagetrail-ckpt-")
-            sc.setCheckpointDir(current)
-            current = sc.getCheckpointDir() or current
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="pagetrail-ckpt-"))
+        current = sc.getCheckpointDir() or current
     return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

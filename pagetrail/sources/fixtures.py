@@ -267,10 +267,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     more splits than cores and nothing is added.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (e.g. Spark Connect): keep the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def page_log(spark: SparkSession, events: DataFrame) -> DataFrame:
