@@ -30,7 +30,7 @@ def ingest_hour(spark: SparkSession, logs_root: str, warehouse: str, hour: datet
                 strict: bool = False, layout: str = SOURCE_LAYOUT) -> DataFrame:
     """Parse the files filed under ``hour`` and replace that ingest hour in the raw table.
 
-    Writes ``raw_logs`` (partitioned by ingest hour), ``files_processed`` and
+    Writes ``raw_logs`` (by event date and ingest hour), ``files_processed`` and
     ``raw_regex_failure_lines`` (hourly mode; the backfill kept no samples) and
     ``rejected_lines``. Returns the per-file quality rows.
     """
@@ -41,7 +41,7 @@ def ingest_hour(spark: SparkSession, logs_root: str, warehouse: str, hour: datet
     parsed = parse.parse_lines(lines, mode).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = parse.good_rows(parsed, strict=strict)
-        tables.write_ingest_hour(good, f"{warehouse}/raw_logs", hour)
+        tables.write_raw_hours(good, f"{warehouse}/raw_logs", [hour])
         tables.write_ingest_hour(parse.rejected_rows(parsed), f"{warehouse}/rejected_lines", hour, sort_by=None)
         if mode == HOURLY:
             tables.write_ingest_hour(quality.failure_samples(parsed), f"{warehouse}/raw_regex_failure_lines", hour,
@@ -68,8 +68,8 @@ def ingest_day(spark: SparkSession, logs_root: str, warehouse: str, day: date, m
               .withColumn("_ingest_hour", path_hour(F.col("filename"), layout))
               .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        tables.write_ingest_hours(parsed.filter(F.col("outcome") == GOOD).select(*RAW_COLUMNS, "_ingest_hour"),
-                                  f"{warehouse}/raw_logs", hours)
+        tables.write_raw_hours(parsed.filter(F.col("outcome") == GOOD).select(*RAW_COLUMNS, "_ingest_hour"),
+                               f"{warehouse}/raw_logs", hours, hour_col="_ingest_hour")
         tables.write_ingest_hours(parsed.filter(F.col("outcome") == REJECTED)
                                   .select("filename", "line_number", "line", "_ingest_hour"),
                                   f"{warehouse}/rejected_lines", hours, sort_by=None)
@@ -84,9 +84,8 @@ def ingest_day(spark: SparkSession, logs_root: str, warehouse: str, day: date, m
         parsed.unpersist()
 
 
-def raw_window(spark: SparkSession, warehouse: str, start: datetime, end: datetime | None = None,
-               max_skew: timedelta | None = None) -> DataFrame:
-    return tables.read_ingested(spark, f"{warehouse}/raw_logs", start, end, max_skew).select(*RAW_COLUMNS)
+def raw_window(spark: SparkSession, warehouse: str, start: datetime | None, end: datetime | None = None) -> DataFrame:
+    return tables.read_ingested(spark, f"{warehouse}/raw_logs", start, end).select(*RAW_COLUMNS)
 
 
 def page_log_run(spark: SparkSession, warehouse: str, blacklist: DataFrame, start: datetime,

@@ -2,10 +2,11 @@
 
 Layout decisions (the source's PostgreSQL child tables are re-aimed):
 
-* raw log: partitioned by the **ingest** hour (``ingest_date``, ``ingest_hour``,
-  from the file path). Re-running an hour overwrites exactly that hour's files'
-  rows, whatever times they carry, so rows that straddle hours are neither lost
-  nor loaded twice; readers filter on ``time_received`` (pushed to Parquet).
+* raw log: partitioned by event date, then by the **ingest** hour
+  (``event_date``/``ingest_date``/``ingest_hour``, the latter from the file
+  path). Re-running an hour replaces exactly that hour's files' rows, whatever
+  times they carry, so rows that straddle hours are neither lost nor loaded
+  twice; readers of a time window list only its event dates.
 * derived tables (page log, views): partitioned by the **event** date and hour,
   so "delete window then insert" is a static overwrite of those partitions.
 * daily aggregates / snapshots: partitioned by ``ymd``.
@@ -44,6 +45,44 @@ def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour
     return path
 
 
+def _existing_dirs(spark: SparkSession, pattern: str) -> list[str]:
+    """Leaf directories matching a glob, from the file listing only."""
+    try:
+        files = spark.read.parquet(pattern).inputFiles()
+    except Exception:  # nothing matches yet
+        return []
+    return sorted({f.rsplit("/", 1)[0] for f in files})
+
+
+def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None) -> None:
+    """SNK1 / SNK8-9 for the raw log: replace what the files of ``hours`` loaded.
+
+    Layout ``event_date=E/ingest_date=D/ingest_hour=H``: readers of a time
+    window list only its event dates (exact, since ``event_date`` is the date of
+    the row's own time), while a re-run of an ingest hour clears that hour under
+    every event date its earlier rows went to (one glob over the event-date
+    level), then appends its rows in one job without a shuffle. ``hour_col``
+    names a TIMESTAMP_NTZ column with each row's ingest hour; without it all
+    rows belong to the single hour in ``hours``.
+    """
+    spark = rows.sparkSession
+    for h in hours:
+        for d in _existing_dirs(spark, f"{root}/event_date=*/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}"):
+            rows.limit(0).select(*[c for c in rows.columns if c != hour_col]) \
+                .withColumn("row_added", F.localtimestamp()).write.mode("overwrite").parquet(d)
+    if hour_col is None:
+        (h,) = hours
+        rows = rows.withColumn("_ingest_hour", ntz(h))
+        hour_col = "_ingest_hour"
+    out = (rows.withColumn("row_added", F.localtimestamp())
+           .withColumn("event_date", F.to_date(F.col("time_received")))
+           .withColumn("ingest_date", F.to_date(F.col(hour_col)))
+           .withColumn("ingest_hour", F.hour(F.col(hour_col)))
+           .drop(hour_col))
+    (out.sortWithinPartitions("event_date", "ingest_date", "ingest_hour", "time_received")
+     .write.mode("append").partitionBy("event_date", "ingest_date", "ingest_hour").parquet(root))
+
+
 def write_ingest_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str = "_ingest_hour",
                        sort_by: str | None = "time_received") -> None:
     """SNK1 / SNK9: replace several ingest hours in one job.
@@ -169,19 +208,28 @@ def read_window(spark: SparkSession, root: str, start: datetime | None, end: dat
     return df.drop(date_col, hour_col)
 
 
-def read_ingested(spark: SparkSession, root: str, start: datetime, end: datetime | None = None,
-                  max_skew: timedelta | None = None) -> DataFrame:
-    """Rows of the ingest-hour partitioned raw table in ``[start, end)``.
+def read_ingested(spark: SparkSession, root: str, start: datetime | None, end: datetime | None = None) -> DataFrame:
+    """Raw-log rows in ``[start, end)`` (``None``: unbounded).
 
-    Without ``max_skew`` every ingest partition is scanned (Parquet statistics
-    still skip row groups). With it, only ingest hours within ``max_skew`` of the
-    window are listed, which is exact only if no file carries rows further off.
+    Only the event-date directories of the window are listed and read; the row
+    predicate is pushed into the Parquet scan.
     """
-    df = read_table(spark, root, "ingest_date DATE, ingest_hour INT", RAW_LOGS_DDL)
-    if max_skew is not None:
-        lo = (start - max_skew).date()
-        cond = F.col("ingest_date") >= F.lit(lo)
+    parts = "event_date DATE, ingest_date DATE, ingest_hour INT"
+    full = f"{RAW_LOGS_DDL}, {parts}"
+    if start is not None and end is not None:
+        last = (end - timedelta(microseconds=1)).date()
+        days = [start.date() + timedelta(days=i) for i in range((last - start.date()).days + 1)]
+        paths = [p for p in (f"{root}/event_date={d:%Y-%m-%d}" for d in days)
+                 if _existing_dirs(spark, f"{p}/*/*")]
+        if not paths:
+            return spark.createDataFrame([], full).drop("event_date", "ingest_date", "ingest_hour")
+        df = spark.read.schema(full).option("basePath", root).parquet(*paths)
+    else:
+        df = read_table(spark, root, parts, RAW_LOGS_DDL)
+        if start is not None:
+            df = df.filter(F.col("event_date") >= F.lit(start.date()))
         if end is not None:
-            cond = cond & (F.col("ingest_date") <= F.lit((end + max_skew).date()))
-        df = df.filter(cond)
-    return df.filter(in_window(F.col("time_received"), start, end)).drop("ingest_date", "ingest_hour")
+            df = df.filter(F.col("event_date") <= F.lit(end.date()))
+    return (df.filter(in_window(F.col("time_received"), start, end) if start is not None
+                      else F.col("time_received") < ntz(end) if end is not None else F.lit(True))
+            .drop("event_date", "ingest_date", "ingest_hour"))

@@ -88,8 +88,8 @@ def test_write_slice_and_ingest_hour(spark, tmp_dir):
     lines = spark.createDataFrame([("f", 1, LINE)], "filename string, line_number int, line string")
     good = good_rows(parse_lines(lines))
     hour = datetime(2019, 1, 21, 1)
-    tables.write_ingest_hour(good, raw_root, hour)
-    tables.write_ingest_hour(good, raw_root, hour)
+    tables.write_raw_hours(good, raw_root, [hour])
+    tables.write_raw_hours(good, raw_root, [hour])
     # the row's own time (00:00:01) lies outside its ingest hour; a time filter still finds it
     got = tables.read_ingested(spark, raw_root, datetime(2019, 1, 21), datetime(2019, 1, 21, 1))
     assert got.count() == 1
@@ -150,3 +150,21 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
     assert got == want
     assert auto_rows == want
     assert {(os.path.basename(r.filename), r.line_number): r.line for r in whole.collect()} == want
+
+
+def test_raw_hour_rerun_clears_rows_of_other_event_dates(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "raw")
+    hour = datetime(2019, 2, 1, 0)
+    lines = spark.createDataFrame(
+        [("f", 1, env(ACCESS.replace("Mon Jan 21 00:00:01 2019", "Thu Jan 31 23:59:59 2019") + "\n")),
+         ("f", 2, env(ACCESS.replace("Mon Jan 21 00:00:01 2019", "Fri Feb  1 00:10:00 2019") + "\n"))],
+        "filename string, line_number int, line string")
+    tables.write_raw_hours(good_rows(parse_lines(lines)), root, [hour])
+    both = tables.read_ingested(spark, root, datetime(2019, 1, 31), datetime(2019, 2, 2))
+    assert both.count() == 2
+    # the file of that hour now holds only the February row: the January row must go
+    tables.write_raw_hours(good_rows(parse_lines(lines.filter("line_number = 2"))), root, [hour])
+    left = tables.read_ingested(spark, root, datetime(2019, 1, 31), datetime(2019, 2, 2)).collect()
+    assert [r.time_received for r in left] == [datetime(2019, 2, 1, 0, 10)]
+    # a window read only lists its own event dates
+    assert tables.read_ingested(spark, root, datetime(2019, 1, 31), datetime(2019, 2, 1)).count() == 0
