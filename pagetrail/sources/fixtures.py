@@ -231,13 +231,14 @@ def raw_lines_sql(d: Dialect, events: str = "events") -> str:
       WHEN c = 17 THEN '{{''log'': ''' || access || {nl} || ''', ''stream'': ''stderr''}}'
       WHEN c = 20 THEN '{{"log":"' || access || '","stream":"stderr"}}'
       ELSE '{{"log":"' || access || {nl} || '","stream":"stderr"}}' END"""
+    # lines are numbered on the narrow per-event columns, before their text is built
     sql = f"""
 WITH base AS ({line_base_sql(d, events)}),
-accessed AS (SELECT *, {access} AS access FROM base),
-lined AS (SELECT filename, event_id, c, {line} AS line FROM accessed)
-SELECT filename,
-       CAST(row_number() OVER (PARTITION BY filename ORDER BY event_id) AS INT) AS line_number,
-       line, event_id, c
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY filename ORDER BY event_id) AS INT) AS line_number
+             FROM base),
+accessed AS (SELECT *, {access} AS access FROM numbered),
+lined AS (SELECT filename, line_number, event_id, c, {line} AS line FROM accessed)
+SELECT filename, line_number, line, event_id, c
 FROM lined"""
     return sql
 
