@@ -14,7 +14,6 @@ failure replaces its own partial output instead of duplicating rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.fixed import HOURLY, RAW_COLUMNS
 from ..operators.parse import good_rows, parse_lines
