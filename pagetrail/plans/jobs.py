@@ -136,3 +136,35 @@ def hourly_runs(start: datetime, end: datetime):
     while h < end:
         yield h, h + timedelta(hours=1)
         h += timedelta(hours=1)
+
+
+def reprocess(spark: SparkSession, logs_root: str, warehouse: str, blacklist: DataFrame, bounties: DataFrame | None,
+              start: datetime, end: datetime, layout: str = SOURCE_LAYOUT, through: date | None = None) -> None:
+    """INC6: pick up late or corrected files for ``[start, end)`` (whole hours).
+
+    Re-runs, in dependency order, the ingest of every hour, the page log and
+    views of every hour, and every visitor-aggregate day whose inputs changed:
+    the touched days themselves (their daily views) and every day from two days
+    after the first touched day on (their past visits), up to ``through``
+    (default: the latest day already in the output table). Snapshots are
+    re-stamped for the touched days if ``bounties`` is given. Each step replaces
+    only its own partitions, so the call can be repeated.
+    """
+    hours = list(hourly_runs(start, end))
+    for lo, _ in hours:
+        ingest_hour(spark, logs_root, warehouse, lo, layout=layout)
+    page_log_run(spark, warehouse, blacklist, hours[0][0], hours[-1][1])
+    bounty_view_run(spark, warehouse, hours[0][0], hours[-1][1])
+    touched = sorted({lo.date() for lo, _ in hours})
+    if through is None:
+        done = tables.read_table(spark, f"{warehouse}/agg_visitor_previous_visit", "ymd DATE",
+                                 "user_id_uuid STRING, user_id INT, has_wallet BOOLEAN, pageviews BIGINT, "
+                                 "last_visit DATE").agg(F.max("ymd")).first()[0]
+        through = max(done or touched[-1], touched[-1])
+    first_past = touched[0] + timedelta(days=2)
+    later = [first_past + timedelta(days=i) for i in range(max(0, (through - first_past).days + 1))]
+    for day in sorted(set(touched) | set(later)):
+        visitor_run(spark, warehouse, day)
+    if bounties is not None:
+        for day in touched:
+            snapshot_run(spark, warehouse, bounties, day)

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,8 +74,14 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
             F.when(F.is_valid_utf8(F.col("content")), F.col("content").cast("string"))
             .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("path")))).alias("value"))
         return lines_of_files(checked)
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    try:
+        listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                   .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        # no folder for this hour or day: no files, no lines
+        return spark.createDataFrame([], "filename string, line_number int, line string")
     if whole_files is None:
         whole_files = int(listing.agg(F.max("length")).first()[0] or 0) <= _split_bytes(spark)
     if whole_files:

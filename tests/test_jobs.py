@@ -80,3 +80,25 @@ def test_backfill_day_in_one_job_equals_hourly_backfill(spark, tmp_dir):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     assert a.count() > 0
     assert files_seen == len(names)
+
+
+def test_reprocess_picks_up_a_late_file(spark, tmp_dir):
+    logs, wh = os.path.join(tmp_dir, "logs"), os.path.join(tmp_dir, "wh")
+    names = sorted(_write_source_files(spark, logs))
+    late = os.path.join(logs, names[-1][len("logs/"):])
+    held_back = late + ".hold"
+    os.rename(late, held_back)                         # the last file arrives late
+    blacklist = fx.blacklist(spark, fx.load(spark, SF_SMALL, "nation"))
+    start, end = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    for lo, hi in jobs.hourly_runs(start, end):
+        jobs.ingest_hour(spark, logs, wh, lo)
+    jobs.page_log_run(spark, wh, blacklist, start, end)
+    jobs.visitor_run(spark, wh, date(2024, 1, 1))
+    before = jobs.page_log_window(spark, wh, start, end).count()
+    os.rename(held_back, late)
+    late_hour = datetime.strptime(names[-1].split("/", 1)[1][:13], "%Y/%m/%d/%H")
+    jobs.reprocess(spark, logs, wh, blacklist, None, late_hour, late_hour + timedelta(hours=1))
+    after = jobs.page_log_window(spark, wh, start, end)
+    expected = pages.user_page_log(jobs.raw_window(spark, wh, start, end), blacklist, start, end)
+    assert sorted(map(str, after.collect())) == sorted(map(str, expected.collect()))
+    assert after.count() >= before
