@@ -59,7 +59,9 @@ def parse_ctime(text: Column) -> Column:
 # integers
 # ---------------------------------------------------------------------------
 # int() of a stripped string: optional sign, digits, single underscores between
-_PY_INT = "(?U)^[+-]?\\d+(_\\d+)*$"
+# digits. Written without a repeated group (java.util.regex would recurse once
+# per repetition): a digit first and last, digits and '_' between, no "__".
+_PY_INT_CHARS = "(?U)^[+-]?\\d([\\d_]*\\d)?$"
 
 
 def py_int_value(text: Column) -> Column:
@@ -90,9 +92,14 @@ def cookie_value(pairs: Column, key: str) -> Column:
     return F.try_element_at(F.filter(pairs, lambda p: p.getField("k") == F.lit(key)), F.lit(-1)).getField("v")
 
 
+def is_int_literal(text: Column) -> Column:
+    """Would ``int(text)`` accept this already stripped text."""
+    return text.rlike(_PY_INT_CHARS) & ~text.contains("__")
+
+
 def cookie_int_invalid(pairs: Column, key: str) -> Column:
     """True when any item named ``key`` is not an int literal (the whole line is bad)."""
-    return F.exists(pairs, lambda p: (p.getField("k") == F.lit(key)) & ~p.getField("v").rlike(_PY_INT))
+    return F.exists(pairs, lambda p: (p.getField("k") == F.lit(key)) & ~is_int_literal(p.getField("v")))
 
 
 # ---------------------------------------------------------------------------

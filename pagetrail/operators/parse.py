@@ -40,6 +40,13 @@ from ..functions.text import has_nul
 
 _PATTERNS = {HOURLY: AccessPattern(ACCESS_PATTERN_HOURLY), BACKFILL: AccessPattern(ACCESS_PATTERN_BACKFILL)}
 _STORED_INTS = [f for f in INT_FIELDS if f != "response_time"]
+
+# Java's regex engine recurses once per repetition of the IP-list group; with
+# the library's 32 MB thread stacks about 10,000 forwarded IPs still match. Log
+# values longer than this bound (far beyond any HTTP server's header limit) are
+# not matched, and count as regex_failed, instead of risking a stack overflow
+# that would take the executor down.
+MAX_MATCH_CHARS = 65536
 _TEXT_COLUMNS = ("ip", "http_method", "uri", "referrer", "user_agent", "session_id",
                  "user_id_uuid", "ga_ga", "ga_gid")
 
@@ -63,7 +70,8 @@ def parse_lines(lines: DataFrame, mode: str = HOURLY, exact_literals: bool = Fal
                        F.coalesce(F.col("log").startswith(NOT_FOUND_PREFIXES[0])
                                   | F.col("log").startswith(NOT_FOUND_PREFIXES[1]),
                                   F.lit(False)).alias("not_found"),
-                       pattern.packed(F.col("log")).alias("_packed"))
+                       F.when(F.length("log") <= MAX_MATCH_CHARS, pattern.packed(F.col("log")))
+                       .otherwise(F.lit("")).alias("_packed"))
     step2 = step1.select(*keep, "env_ok", "log_is_str", "not_found",
                          AccessPattern.matched(F.col("_packed")).alias("matched"),
                          pattern.parts(F.col("_packed")).alias("_parts"))

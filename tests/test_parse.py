@@ -169,3 +169,15 @@ def test_unicode_digits_follow_python_int(spark):
             assert all(got[i + 1][k] == v for k, v in values.items()), (line, values)
     assert [got[k]["outcome"] for k in (1, 2, 3, 4)] == ["good", "good", "good", "rejected"]
     assert got[1]["pid"] == 12 and got[2]["user_id"] == 57
+
+
+def test_long_forwarded_ip_lists_do_not_overflow(spark):
+    from pagetrail.operators.parse import MAX_MATCH_CHARS
+    many = ", ".join(f"10.0.{i % 256}.{i % 200}" for i in range(2000))
+    huge = ", ".join(f"10.0.{i % 256}.{i % 200}" for i in range(MAX_MATCH_CHARS // 8))
+    lines = [env(ACCESS.replace("1.2.3.4", many) + "\n"), env(ACCESS.replace("1.2.3.4", huge) + "\n"),
+             env(ACCESS.replace("user_id=5", "user_id=" + "1_" * 20000 + "1") + "\n")]
+    got = {r.line_number: r for r in parse_lines(_frame(spark, lines)).collect()}
+    assert got[1].outcome == expected(lines[0])[0] == "good" and got[1].ip == "10.0.0.0"
+    assert got[2].outcome == "regex_failed"          # beyond the matching bound, by design
+    assert got[3].outcome == "rejected"              # a valid int literal that does not fit INT
