@@ -256,7 +256,11 @@ def _run(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
         names[key] = view
     for key, view in names.items():
         sql = sql.replace(f"@{key}@", view)
-    return spark.sql(sql)
+    try:
+        return spark.sql(sql)          # analysed now: the views can go afterwards
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
