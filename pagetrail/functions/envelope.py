@@ -46,7 +46,8 @@ def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
 
     lenient = F.from_json(
         wrapped, T.ArrayType(T.StructType([T.StructField("log", T.StringType())])),
-        {"mode": "PERMISSIVE"},
+        # as Python literals: no NaN/Infinity tokens, raw control characters allowed in strings
+        {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false", "allowUnquotedControlChars": "true"},
     )
     lenient_log = F.when(F.size(lenient) == 1, lenient.getItem(0).getField("log"))
 

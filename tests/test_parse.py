@@ -181,3 +181,12 @@ def test_long_forwarded_ip_lists_do_not_overflow(spark):
     assert got[1].outcome == expected(lines[0])[0] == "good" and got[1].ip == "10.0.0.0"
     assert got[2].outcome == "regex_failed"          # beyond the matching bound, by design
     assert got[3].outcome == "rejected"              # a valid int literal that does not fit INT
+
+
+def test_lenient_fallback_follows_python_literals(spark):
+    lines = [
+        '{"log":"' + ACCESS + '\\n","n":NaN}',                          # NaN is not a Python literal
+        '{"log":"' + ACCESS.replace("Test Agent", "Test\tAgent") + '\\n"}',  # raw tab inside a string
+    ]
+    got = {r.line_number: r.outcome for r in parse_lines(_frame(spark, lines)).collect()}
+    assert [got[1], got[2]] == [expected(lines[0])[0], expected(lines[1])[0]] == ["bad", "good"]
