@@ -32,9 +32,19 @@ from pyspark.sql import types as T
 _NON_LITERAL_TYPE = r"(^|<|: )(VOID|BOOLEAN)(>|,|$)"
 
 
+# "\/" escapes a slash in JSON; a Python literal keeps both characters. An
+# unescaped backslash (odd run) before "/" is doubled so JSON keeps it too.
+_SLASH_ESCAPE = r"(?<!\\)((?:\\\\)*)\\/"
+
+
+def _python_escapes(line: Column) -> Column:
+    return F.when(F.instr(line, "\\/") > 0,
+                  F.regexp_replace(line, _SLASH_ESCAPE, "$1\\\\\\\\/")).otherwise(line)
+
+
 def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
     """Return (env_ok, log_is_str, log) for a raw line column."""
-    wrapped = F.concat(F.lit("["), line, F.lit("]"))
+    wrapped = F.concat(F.lit("["), _python_escapes(line), F.lit("]"))
     strict = F.try_parse_json(wrapped)
     # a value at "$[0].log" means the first element is an object holding "log"
     log_variant = F.variant_get(strict, "$[0].log", "variant")

@@ -190,3 +190,18 @@ def test_lenient_fallback_follows_python_literals(spark):
     ]
     got = {r.line_number: r.outcome for r in parse_lines(_frame(spark, lines)).collect()}
     assert [got[1], got[2]] == [expected(lines[0])[0], expected(lines[1])[0]] == ["bad", "good"]
+
+
+def test_escaped_slashes_keep_their_backslash_as_in_python(spark):
+    lines = [
+        env(ACCESS.replace("/analytics/ping/", "\\\\/analytics\\\\/ping\\\\/") + "\n"),
+        env(ACCESS.replace("https://x.example/bounty/7/", "https:\\\\/\\\\/x.example\\\\/bounty\\\\/7\\\\/") + "\n"),
+        env(ACCESS.replace("Test Agent", "A\\\\\\\\/B \\\\\\\\\\\\/C") + "\n"),
+    ]
+    got = {r.line_number: r for r in parse_lines(_frame(spark, lines)).collect()}
+    for i, line in enumerate(lines):
+        outcome, values = expected(line)
+        assert got[i + 1].outcome == outcome, line
+        if outcome == "good":
+            assert got[i + 1].referrer == values["referrer"] and got[i + 1].user_agent == values["user_agent"]
+    assert [got[k].outcome for k in (1, 2, 3)] == ["regex_failed", "good", "good"]
