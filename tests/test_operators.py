@@ -165,3 +165,25 @@ def test_readiness(spark):
     assert readiness.window_ready(pl, datetime(2024, 1, 1)).collect()[0].ready is True
     assert readiness.day_closed(pl, date(2024, 1, 14)).collect()[0].ready is True
     assert readiness.day_closed(pl, date(2024, 1, 15)).collect()[0].ready is False
+
+
+def test_replace_window_property(spark):
+    """Random rows and windows: the result equals the SQL meaning, and a second
+    replacement with the same rows changes nothing."""
+    import random
+    rng = random.Random(5)
+    base = datetime(2024, 1, 5)
+    for _ in range(5):
+        times = [None if rng.random() < 0.1 else base + timedelta(minutes=rng.randint(0, 600)) for _ in range(40)]
+        existing = frame(spark, [row(t, agent="old") for t in times])
+        lo = base + timedelta(hours=rng.randint(0, 8))
+        hi = lo + timedelta(hours=rng.randint(1, 3))
+        new_times = [lo + timedelta(minutes=rng.randint(0, int((hi - lo).total_seconds() // 60) - 1))
+                     for _ in range(rng.randint(0, 5))]
+        new = frame(spark, [row(t, agent="new") for t in new_times])
+        once = windows.replace_window(existing, new, "time_received", lo, hi)
+        keep = [t for t in times if t is None or not (lo <= t < hi)]
+        assert sorted(map(str, ((r.time_received, r.user_agent) for r in once.collect()))) == sorted(
+            map(str, [(t, "old") for t in keep] + [(t, "new") for t in new_times]))
+        twice = windows.replace_window(once, new, "time_received", lo, hi)
+        assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))

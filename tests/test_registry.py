@@ -44,3 +44,17 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["user_id_uuid", "user_id", "ymd", "has_wallet", "pageviews", "last_visit"]
     assert df.count() >= 0
+
+
+@pytest.mark.parametrize("name", ["user_page_log_hour", "visitor_previous_visit", "hourly_windows",
+                                  "straddling_rows", "parse_access_log"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        df = entry.queries()[name](spark, SF_SMALL)
+        got = rows_of([tuple(r) for r in df.collect()], df.columns)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(entry.oracle_sql()[name])
+    assert got == rows_of(res.fetchall(), [d[0] for d in res.description])
