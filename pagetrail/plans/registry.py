@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import RAW_COLUMNS
 from ..operators import pages, parse, quality, readiness, snapshot, views, visitors, windows
+from ..session import scratch_path
+from ..sinks import tables
 from ..sources import fixtures as fx
 from ..sources import logfiles
 from ..streaming import ingest as stream_ingest
@@ -264,6 +266,17 @@ def q_bounty_view_log_hour(spark, sf):
     return views.bounty_views(_page_log(spark, sf), _H0, _H1)
 
 
+@register("bounty_view_log_via_tables", _VIEWS_SQL + f"""
+  AND time_received >= {_lit_ts(_D0)} AND time_received < {_lit_ts(_D1)}""")
+def q_bounty_view_log_via_tables(spark, sf):
+    """Through the table layer: write the month's page log by event hour, read one
+    day back (partition-pruned), derive that day's views."""
+    root = scratch_path(spark, "user_page_log")
+    tables.write_window(_page_log(spark, sf), root, _M0, _M1)
+    page_log = tables.read_window(spark, root, _D0, _D1, schema=tables.PAGE_LOG_DDL).drop("row_added")
+    return views.bounty_views(page_log, _D0, _D1)
+
+
 @register("bounty_snapshot", f"""
 SELECT bounty_id, title, description, bountyStage AS bounty_stage, usd_price, user_id, deadline, created,
        {_lit_date(SNAPSHOT_DS)} AS ymd

@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
-SLOW = {"ingest_files_roundtrip", "ingest_stream_available_now", "file_quality_roundtrip"}
+SLOW = {"ingest_files_roundtrip", "ingest_stream_available_now", "file_quality_roundtrip",
+        "bounty_view_log_via_tables"}
 
 
 @pytest.fixture(scope="module")
