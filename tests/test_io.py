@@ -168,3 +168,19 @@ def test_raw_hour_rerun_clears_rows_of_other_event_dates(spark, tmp_dir):
     assert [r.time_received for r in left] == [datetime(2019, 2, 1, 0, 10)]
     # a window read only lists its own event dates
     assert tables.read_ingested(spark, root, datetime(2019, 1, 31), datetime(2019, 2, 1)).count() == 0
+
+
+def test_open_ended_window_reads(spark, tmp_dir):
+    from pagetrail.plans.jobs import hourly_runs
+    root = os.path.join(tmp_dir, "pl")
+    times = [datetime(2024, 1, 5, h, 30) for h in (8, 9, 10, 23)] + [datetime(2024, 1, 6, 0, 5)]
+    tables.write_window(pl_rows(spark, times), root, datetime(2024, 1, 5), datetime(2024, 1, 7))
+    read = lambda lo, hi: sorted(r.time_received for r in tables.read_window(
+        spark, root, lo, hi, schema=tables.PAGE_LOG_DDL).collect())
+    assert read(None, datetime(2024, 1, 5, 10)) == times[:2]
+    assert read(datetime(2024, 1, 5, 23), None) == times[3:]
+    assert read(None, None) == times
+    slices = list(hourly_runs(datetime(2024, 1, 5, 22, 15), datetime(2024, 1, 6, 1)))
+    assert slices == [(datetime(2024, 1, 5, 22), datetime(2024, 1, 5, 23)),
+                      (datetime(2024, 1, 5, 23), datetime(2024, 1, 6, 0)),
+                      (datetime(2024, 1, 6, 0), datetime(2024, 1, 6, 1))]
