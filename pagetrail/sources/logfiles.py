@@ -165,11 +165,21 @@ def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.sum("_bytes").over(in_file).alias("_file_bytes"),
         "_size",
     )
-    numbered = rows.join(splits.select("filename", "_split", "_first", "_before"), ["filename", "_split"]).select(
-        "filename", (F.col("_before") + F.col("_seq") - F.col("_first") + 1).cast("int").alias("line_number"),
-        "line")
-    # a file ending with "\n": its lines and their separators fill it exactly
-    tails = (splits.filter((F.col("_split") == 0) & (F.col("_file_bytes") == F.col("_size")))
+    # The line reader drops a UTF-8 byte-order mark (3 bytes) at the start of a
+    # file, which Python's decode keeps. Lines plus one separator each add up to
+    # the file size when it ends with "\n" (one more byte when it does not);
+    # 3 bytes less in either case reveal a dropped mark, which is put back.
+    bom = F.col("_file_bytes") - F.col("_size")
+    splits = splits.withColumn("_bom", bom.isin(-3, -2)).withColumn("_ends_nl", bom.isin(0, -3))
+    numbered = (rows.join(splits.select("filename", "_split", "_first", "_before", "_bom"), ["filename", "_split"])
+                .select("filename",
+                        (F.col("_before") + F.col("_seq") - F.col("_first") + 1).cast("int").alias("line_number"),
+                        "line", "_bom"))
+    numbered = numbered.select(
+        "filename", "line_number",
+        F.when(F.col("_bom") & (F.col("line_number") == 1), F.concat(F.lit("\ufeff"), F.col("line")))
+        .otherwise(F.col("line")).alias("line"))
+    tails = (splits.filter((F.col("_split") == 0) & F.col("_ends_nl"))
              .select("filename", (F.col("_lines") + 1).cast("int").alias("line_number"), F.lit("").alias("line")))
     return numbered.unionByName(tails), splits.filter(F.col("_split") == 0).select("filename")
 

@@ -127,6 +127,8 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
         "2019/01/21/00/only_nl.log": "\n",
         "2019/01/21/00/crlf.log": "x\r\ny\r\n",
         "2019/01/21/00/utf8.log": "café\n中文\nlast",
+        "2019/01/21/00/bom.log": "\ufeffa\nb\n",         # byte-order mark kept, as decode("utf-8") does
+        "2019/01/21/00/bom_no_nl.log": "\ufeffa\nb",
     }
     for i in range(3):
         body = "\n".join(LINE if rng.random() < 0.7 else "x" * rng.randint(0, 300) for _ in range(rng.randint(50, 200)))
