@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagetrail.llm import jaccard_join
+from pagetrail.llm import byte_bpe, decontaminate, jaccard_join, substring_dedup
 from pagetrail.llm.common import documents
 
 
@@ -14,8 +16,35 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(documents(spark, sf_dir), k=3, percent=90)
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(documents(spark, sf_dir))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Number and digest of each document's token ids, digest of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLES: dict[str, str] = {}
