@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +41,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def only(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns of ``df``, dropping any extra ones before work begins."""
     return df.select(*[F.col(c) for c in columns])
+
+
+class Shared:
+    """A broadcast value of a class of this package, which executors may not be able to import."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self._pickled = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return cloudpickle.loads(self._pickled.value)

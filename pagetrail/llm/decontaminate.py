@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm import textvec as tv
+from pagetrail.llm.common import Shared
 
 REPEATS = 4
 STEPS = 20
@@ -170,7 +171,7 @@ _LEAK = ["doc_id", "item_id", "end_word", "edits", "item_words"]
 
 def _leaks(docs: DataFrame, items: list, similarity: float) -> DataFrame:
     index = Index([r["item_id"] for r in items], [r["text"] for r in items], similarity)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = Shared(docs.sparkSession, index)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm import byte_bpe, decontaminate, jaccard_join, substring_dedup
+from pagetrail.llm import byte_bpe, decontaminate, fingerprint, html_text, jaccard_join, licences, preferences, sharding, substring_dedup, toxicity
 from pagetrail.llm.common import documents
 
 
@@ -16,10 +16,23 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(documents(spark, sf_dir), k=3, percent=90)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(documents(spark, sf_dir), 16)
+    return placed.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.passages(documents(spark, sf_dir))
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -40,11 +53,33 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = preferences.format_pairs(turns, preferences.neighbouring_pairs(turns))
+    spans = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws("-", x["start"], x["stop"])))
+    return pairs.withColumn("chosen_mask", spans("chosen_mask")).withColumn("rejected_mask", spans("rejected_mask"))
+
+
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.neighbours(documents(spark, sf_dir))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_sharding": op2_sharding,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_licence_scan": op4_licence_scan,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_document_fingerprints": op9_document_fingerprints,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
