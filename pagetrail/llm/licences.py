@@ -4,10 +4,10 @@ Units of a document are its whole text, its paragraphs (cut at blank lines) and
 lines. A unit is normalised to lower-case words of letters and digits, and its set of
 word bigrams is compared with each template's: 2 |A and B| / (|A| + |B|). For a
 threshold t only templates with |B| between |A| t / (2 - t) and |A| (2 - t) / t can
-reach it, so units without a template in these bounds are dropped before any bigram
-is built, and the others meet only those templates. A unit's best licence counts
-(ties: the first name). Everything is one map-only pass of built-in functions; the
-templates are literals.
+reach it: a unit meets only those. The same bounds limit how many words a unit may
+have that no template has, which drops nearly all units before any bigram is built.
+A unit's best licence counts (ties: the first name). Everything is one map-only pass
+of built-in functions; the templates are literals.
 
 Null and empty texts have no units. Rows with null or repeated ids are scanned like
 any other. A unit of one word has no bigrams and matches nothing.
@@ -58,41 +58,54 @@ def bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:], strict=False)})
 
 
-def _words(unit: Column) -> Column:
-    return F.filter(F.split(F.lower(unit), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _once(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once per row."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def _own_bigrams(words: Column) -> Column:
+    size = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), size), F.slice(words, F.lit(2), size), lambda x, y: F.concat_ws(" ", x, y)))
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, unit, unit_no, licence, dice) of every unit of ``docs`` that reaches the threshold.
 
-    ``unit`` is line, paragraph or text, ``unit_no`` counts from 1 within the document.
+    ``unit`` is line, paragraph (of several lines) or text (of several paragraphs), ``unit_no``
+    counts from 1 within the document.
     """
     known = [(name, b) for name, texts in sorted(templates.items()) for b in map(bigrams, texts) if b]
-    sizes = sorted({len(b) for _, b in known})
+    vocabulary = sorted({w for _, b in known for x in b for w in x.split(" ")})
     most = (2 - threshold) / threshold
+    longest = most * max(len(b) for _, b in known)
     text = F.col("text").cast("string")
     cut = lambda kind, pattern: F.transform(F.split(text, pattern), lambda x, i: F.struct(F.lit(kind).alias("unit"), (i + 1).alias("unit_no"), x.alias("part")))
     lines, paragraphs = cut("line", r"\r\n|\r|\n"), cut("paragraph", r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)\s*")
     # a paragraph of one line is that line, a text of one paragraph that paragraph
-    several = F.filter(paragraphs, lambda p: p["part"].rlike("[\r\n]"))
-    whole = F.when(F.size(paragraphs) > 1, F.array(F.struct(F.lit("text").alias("unit"), F.lit(1).alias("unit_no"), text.alias("part")))).otherwise(F.filter(lines, lambda x: F.lit(False)))
-    units = docs.where(text.isNotNull()).select("doc_id", F.explode(F.concat(lines, several, whole)).alias("u")).select("doc_id", "u.*")
-    units = units.withColumn("words", _words(F.col("part"))).drop("part")
-    # size bounds: at most one bigram a word, so a unit too short or (by distinct bigrams) too long for every template goes
-    units = units.where(F.size("words") - 1 >= sizes[0] / most)
-    all_but_one = F.greatest(F.size("words") - 1, F.lit(0))
-    pairs = F.zip_with(F.slice("words", F.lit(1), all_but_one), F.slice("words", F.lit(2), all_but_one), lambda x, y: F.concat_ws(" ", x, y))
-    units = units.withColumn("own", F.array_distinct(pairs)).drop("words")
-    n = F.size("own")
-    best = []
-    for name, b in known:
-        fits = (n >= len(b) / most) & (n <= len(b) * most)
-        both = F.size(F.array_intersect("own", F.array(*[F.lit(x) for x in b])))
-        best.append(F.when(fits, F.struct((2.0 * both / (n + len(b))).alias("dice"), F.lit(name).alias("licence"))))
-    found = units.where(" or ".join(f"size(own) between {s / most} and {s * most}" for s in sizes)).select("doc_id", "unit", "unit_no", F.array(*best).alias("best"))
+    units = _once(
+        paragraphs,
+        lambda all_: F.concat(
+            lines,
+            F.filter(all_, lambda p: p["part"].rlike("[\r\n]")),
+            F.filter(F.array(F.struct(F.lit("text").alias("unit"), F.lit(1).alias("unit_no"), text.alias("part"))), lambda x: F.size(all_) > 1),
+        ),
+    )
+    units = docs.where(text.isNotNull()).select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
+    # At least t / (2 - t) of a matching unit's bigrams are the template's, and it has at most one bigram a word
+    # and (2 - t) / t times the longest template's; so other words than the templates' are at most this many.
+    words = F.filter(F.split(F.lower("part"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    strange = lambda w: F.size(F.array_distinct(F.filter(w, lambda x: ~x.isin(vocabulary))))
+    may = lambda w: (F.size(w) > 1) & (strange(w) - 1 <= F.least(F.size(w) - 1, F.lit(longest)) * (1 - 1 / most))
+    # explode keeps later filters from repeating the split
+    units = units.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(words), may)).alias("words"))
+    units = units.select("doc_id", "unit", "unit_no", F.explode(F.array(_own_bigrams(F.col("words")))).alias("own"))
+    listed = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, b)).alias("b")) for name, b in known])
+    fits = lambda t: (F.size("own") >= F.size(t["b"]) / most) & (F.size("own") <= F.size(t["b"]) * most)
+    dice = lambda t: F.struct((2.0 * F.size(F.array_intersect("own", t["b"])) / (F.size("own") + F.size(t["b"]))).alias("dice"), t["licence"].alias("licence"))
     top = F.aggregate(
-        F.filter("best", lambda x: x.isNotNull()),
+        F.transform(F.filter(listed, fits), dice),
         F.struct(F.lit(-1.0).alias("dice"), F.lit("").alias("licence")),
         lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a),
     )
-    return found.select("doc_id", "unit", "unit_no", top.alias("top")).select("doc_id", "unit", "unit_no", "top.licence", "top.dice").where(F.col("dice") >= threshold)
+    found = units.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(top), lambda x: x["dice"] >= threshold)).alias("top"))
+    return found.select("doc_id", "unit", "unit_no", "top.licence", "top.dice")

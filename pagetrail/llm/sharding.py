@@ -4,9 +4,9 @@ Documents with equal texts form one atomic group. Groups are ordered by text dig
 a shard is a contiguous run of groups, and the largest shard is as small as any such
 cut allows. Its capacity is found by search: a greedy pass that fills each shard up
 to a capacity tells whether the shards suffice, and the smallest capacity that does is
-the minimax. Each pass is a few maxima over the groups' running totals, and many
-capacities are tried in one pass, so the number of jobs depends on the shard count and
-the number of digits of the largest group, not on the number of documents.
+the minimax. The driver searches over a bounded summary of the groups' running totals
+(least, greatest and count per stretch), and has Spark detail only the stretches in
+which a cut may still fall; a few such jobs make the capacity and the cuts exact.
 
 Running totals come from totals per digest prefix, so no task sorts more than a
 prefix's groups. Slots within a group come from sub-groups of about the square root of
@@ -19,6 +19,8 @@ repeated ids are placed like any other. An empty table gives no rows.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +28,8 @@ from pagetrail.llm.common import materialize
 
 #: Groups per digest prefix, about.
 PREFIX_GROUPS = 4096
-#: Capacities tried per pass.
-TRIED = 48
+#: Stretches of running totals that the driver learns per job, about; a fixed bound.
+STRETCHES = 20_000
 
 
 def _groups(rows: DataFrame) -> DataFrame:
@@ -46,38 +48,84 @@ def _groups(rows: DataFrame) -> DataFrame:
     return materialize(out, "totals")
 
 
-def _fill(groups: DataFrame, capacities: list[int], shards: int, largest: int) -> list[list[int]]:
-    """Greedy cuts for each capacity: running totals at which its shards end."""
-    ends = [[0] for _ in capacities]
-    for _ in range(shards):
-        reach = [e[-1] + c for e, c in zip(ends, capacities, strict=True)]
-        # a shard's last group ends less than one group's size before the reach
-        near = groups.where((F.col("total") <= max(reach)) & (F.col("total") > min(reach) - largest))
-        got = near.agg(*[F.max(F.when(F.col("total") <= r, F.col("total"))).alias(f"c{i}") for i, r in enumerate(reach)]).first()
-        for e, end in zip(ends, got, strict=True):
-            e.append(max(e[-1], end or 0))
-    return ends
+class _Totals:
+    """What the driver knows of the groups' running totals: stretches of them as (least, most, count), a bounded number."""
+
+    def __init__(self, groups: DataFrame, total: int) -> None:
+        self.groups = groups
+        self.least, self.most, self.count = [], [], []
+        self.learn([(0, total)])
+
+    def learn(self, ranges: list[tuple[int, int]]) -> None:
+        """Replace what is known of the ranges (low, high] by finer stretches: one aggregation job."""
+        width = max(1, -(-sum(high - low for low, high in ranges) // STRETCHES))
+        stretch = F.coalesce(*[F.when((F.col("total") > low) & (F.col("total") <= high), F.struct(F.lit(i).alias("r"), F.floor((F.col("total") - low - 1) / width).alias("s"))) for i, (low, high) in enumerate(ranges)])
+        inside = " or ".join(f"(total > {low} and total <= {high})" for low, high in ranges)
+        found = self.groups.where(inside).groupBy(stretch.alias("at")).agg(F.min("total").alias("least"), F.max("total").alias("most"), F.count("*").alias("n")).collect()
+        kept = [x for x in zip(self.least, self.most, self.count, strict=True) if not any(low < x[1] <= high for low, high in ranges)]
+        kept = sorted(kept + [(r["least"], r["most"], r["n"]) for r in found])
+        self.least, self.most, self.count = ([x[i] for x in kept] for i in range(3))
+
+    def reach(self, x: int) -> tuple[int, int, tuple[int, int] | None]:
+        """Bounds of the greatest total that is at most x, and the range to learn if they differ."""
+        i = bisect_right(self.least, x) - 1
+        if i < 0:
+            return 0, 0, None
+        if self.most[i] <= x:
+            return self.most[i], self.most[i], None
+        if self.count[i] <= 2:
+            return self.least[i], self.least[i], None
+        return self.least[i], min(x, self.most[i] - 1), (self.least[i] - 1, self.most[i])
+
+    def between(self, high: int, low: int) -> bool:
+        """Whether a known stretch begins after ``high`` and up to ``low``."""
+        i = bisect_right(self.least, high)
+        return i < len(self.least) and self.least[i] <= low
+
+    def fill(self, capacity: int, shards: int, high: bool) -> list[int]:
+        """Where greedy shards of the capacity end, by the lower or the upper bounds."""
+        ends = [0]
+        for _ in range(shards):
+            ends.append(max(ends[-1], self.reach(ends[-1] + capacity)[high]))
+        return ends
 
 
 def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
-    """Running totals at which the shards of the smallest feasible capacity end."""
+    """Running totals at which the shards of the smallest feasible capacity end.
+
+    Greedy passes over the known stretches bound the capacity from both sides; the
+    stretches in which cuts of a capacity between the bounds may fall are learnt in more
+    detail, until the bounds and the cuts are exact.
+    """
     total, largest = groups.agg(F.max("total"), F.max("bytes")).first()
-    low, high = max(-(-total // shards), largest), -(-total // shards) + largest  # the upper one always suffices
-    best = None
-    while low < high:
-        step = max(1, (high - low) // (TRIED + 1))
-        tried = sorted({min(high - 1, low + step * i) for i in range(TRIED + 1)})
-        cuts = _fill(groups, tried, shards, largest)
-        enough = [i for i, c in enumerate(cuts) if c[-1] >= total]
-        if enough:
-            best = (tried[enough[0]], cuts[enough[0]])
-            high = tried[enough[0]]
-            low = tried[enough[0] - 1] + 1 if enough[0] else high
-        else:
-            low = tried[-1] + 1
-    if best is None or best[0] != high:
-        best = (high, _fill(groups, [high], shards, largest)[0])
-    return best[1][1:]
+    known = _Totals(groups, total)
+
+    def smallest(high: bool) -> int:
+        low, top = max(-(-total // shards), largest), -(-total // shards) + largest  # the upper one always suffices
+        while low < top:
+            middle = (low + top) // 2
+            if known.fill(middle, shards, high)[-1] >= total:
+                top = middle
+            else:
+                low = middle + 1
+        return low
+
+    while True:
+        low, high = smallest(True), smallest(False)
+        first, last = known.fill(low, shards, False), known.fill(high, shards, True)
+        vague = set()
+        for a, b in zip(first, last, strict=True):
+            i, j = bisect_right(known.least, a + low) - 1, bisect_right(known.least, b + high) - 1
+            vague |= {(known.least[k] - 1, known.most[k]) for k in range(max(i, 0), j + 1) if known.count[k] > 2}
+        if not vague:
+            return known.fill(high, shards, False)[1:]
+        ranges: list[tuple[int, int]] = []
+        for u, v in sorted(vague):  # neighbouring stretches become one range
+            if ranges and not known.between(ranges[-1][1], u):
+                ranges[-1] = (ranges[-1][0], v)
+            else:
+                ranges.append((u, v))
+        known.learn(ranges)
 
 
 def shard(docs: DataFrame, shards: int = 16) -> DataFrame:

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagetrail.llm import textvec as tv
 from pagetrail.llm.common import Shared
@@ -175,21 +176,22 @@ def _train(slots: np.ndarray, label: np.ndarray, term: list, count: list, seed:
     return Model(slots, bias, w, v)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``: probability of the toxic label."""
+def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every row of ``docs`` and ``score``, the probability of the toxic label."""
     shared = Shared(docs.sparkSession, (model, _lookup(model.slots)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, lookup = shared.value
         for batch in batches:
-            data, offsets = tv.text_bytes(batch.column(1))
+            data, offsets = tv.text_bytes(batch.column(batch.num_columns - 1))
             out = [np.zeros(0)]
             for a, b in tv.blocks(offsets):
                 doc, term, count = terms(data, offsets, a, b, lookup)
                 out.append(model.score(doc, term, np.log1p(count), b - a))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], [*batch.schema.names[:-1], "score"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(scored, "doc_id bigint, score double")
+    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    return rows.mapInArrow(scored, T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
 
 
 def held_out() -> Column:
@@ -199,5 +201,5 @@ def held_out() -> Column:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; held-out labels are not learnt from."""
-    scored = score(docs, fit(docs, labels, ~held_out()))
+    scored = score(docs, fit(docs, labels, ~held_out()), ["doc_id"])
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
