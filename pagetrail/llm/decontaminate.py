@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pagetrail.llm import textvec as tv
 from pagetrail.llm.common import Shared
 
-REPEATS = 4
+REPEATS = 6
 STEPS = 20
 SYMBOLS = 4
 HITS = 2
@@ -182,13 +182,15 @@ def _leaks(docs: DataFrame, items: list, similarity: float) -> DataFrame:
             for a, b in tv.blocks(offsets):
                 flat, begin = _padded(tv.Words(data, offsets, a, b, tv.NON_WORD), b - a)
                 at, item, offset = index.hits(flat)
+                if not len(at):
+                    continue
                 doc = np.searchsorted(begin, at, "right") - 1
                 window = at - offset - begin[doc]  # where the item would begin in its document
                 order = np.lexsort((window, item, doc))
                 doc, item, window = doc[order], item[order], window[order]
                 slack = index.allowed[item]
                 # hits of one document and item whose windows are within the allowed shift make one candidate
-                new = np.r_[True, (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(window) > slack[1:])] if len(doc) else np.zeros(0, bool)
+                new = np.r_[True, (np.diff(doc) != 0) | (np.diff(item) != 0) | (np.diff(window) > slack[1:])]
                 start = np.flatnonzero(new)
                 stop = np.r_[start[1:], len(doc)]
                 for s, e in zip(start.tolist(), stop.tolist(), strict=True):
