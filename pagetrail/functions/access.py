@@ -8,6 +8,9 @@ captures joined by ``\\n``:
 * the input is prefixed with ``\\n`` and the pattern with ``^\\n``, and the
   replacement starts with U+0001, so a result starting with U+0001 can only
   come from a match (an unmatched line comes back starting with ``\\n``);
+* a list of forwarded addresses is matched as one run of its characters, since
+  ``java.util.regex`` recurses once per repetition of a group; ``is_ip_list``
+  then checks the list's shape, so any number of addresses is read on any stack;
 * no capture can hold ``\\n`` (``.`` stops there under ``(?d)``, ``\\d``/``\\w``
   and ``[^\\s]`` exclude it) except ``ip``, whose ``,\\s`` may; ``ip`` is put
   last and the split is limited, so it keeps whatever it holds.
@@ -18,16 +21,44 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_FLAGS, java_pattern
+from .text import PY_FLAGS, PY_SPACE, java_pattern
 
 _MARK = "\u0001"
 
+# The group of one or more addresses, each with an optional ``,`` and space behind it.
+_IP_LIST = r"(?:\d+\.\d+\.\d+\.\d+(?:,\s)?)+"
+_IP_LIST_CHARS = r"[\d.,\s]+"
+
+
+def is_ip_list(ip: Column) -> Column:
+    """Whether the text is one or more ``n.n.n.n``, each optionally followed by a comma and one space.
+
+    Addresses may stand without a separator: of the numbers between dots every
+    third inner one then holds the end of one address and the start of the next,
+    so it needs two digits.
+    """
+    pieces = F.split(ip, "," + PY_SPACE, -1)
+
+    def run(piece: Column) -> Column:
+        numbers = F.split(piece, "\\.", -1)
+        return (
+            (F.size(numbers) > 3) & (F.size(numbers) % 3 == 1)
+            & F.forall(numbers, lambda n: n.rlike("(?U)^\\d+$"))
+            & F.forall(F.transform(numbers, lambda n, i: (i % 3 != 0) | (i == 0) | (i == F.size(numbers) - 1) | (F.length(n) > 1)),
+                       lambda ok: ok)
+        )
+
+    # a separator may end the list
+    listed = F.when((F.size(pieces) > 1) & (F.element_at(pieces, -1) == ""), F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
+    return F.forall(listed, run)
+
 
 class AccessPattern:
     """A compiled view of one access-line pattern for Spark."""
 
     def __init__(self, py_pattern: str, tail_group: str = "ip"):
-        body, names = java_pattern(py_pattern)
+        self.ip_list = _IP_LIST in py_pattern
+        body, names = java_pattern(py_pattern.replace(_IP_LIST, _IP_LIST_CHARS))
         self.names = names
         numbers = {n: i + 1 for i, n in enumerate(names)}
         self.order = [n for n in names if n != tail_group] + [tail_group]

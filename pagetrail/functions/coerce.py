@@ -43,7 +43,7 @@ _CTIME = (
 def parse_ctime(text: Column) -> Column:
     """``datetime.strptime(text, "%c")`` as TIMESTAMP_NTZ; NULL where Python raises."""
     packed = F.regexp_replace(F.concat(F.lit("\n"), text), F.lit(_CTIME), F.lit("\u0001$2,$3,$4,$5,$6,$7"))
-    parts = F.split(ascii_digits(F.substring(packed, 2, 64)), ",")
+    parts = F.split(ascii_digits(F.substring(packed, 2, 1 << 30)), ",")
     month = ((F.instr(F.lit(_MONTHS), F.lower(parts.getItem(0))) + 2) / 3).cast("int")
     day = F.trim(parts.getItem(1)).try_cast("int")
     hour = parts.getItem(2).try_cast("int")

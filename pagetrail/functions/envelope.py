@@ -8,25 +8,20 @@ as a Python literal, so this module has to tell three things apart:
 * ``log_is_str`` - that value is a string (anything else fails the pattern);
 * ``log``        - the string value.
 
-The native path uses Spark's strict JSON reader (variant): the line is wrapped
-in ``[...]`` so that trailing junk or a second value fail, ``null``, ``true``
-and ``false`` (not Python literals) are found in the inferred variant schema,
-and the type of ``log`` is read from the schema of that field. Lines that are
-not strict JSON (single quotes, duplicate keys) fall back to the lenient JSON
-reader, which takes the last duplicate like a Python dict does.
-
-``decode_envelope_exact`` evaluates each line with ``ast.literal_eval`` in a
-vectorised ``mapInPandas`` for inputs that use Python-only literal syntax.
+A line that Spark's strict JSON reader (variant) accepts is decided by it: the
+line is wrapped in ``[...]`` so that trailing junk or a second value fail,
+``null``, ``true`` and ``false`` (not Python literals) are found in the inferred
+variant schema, and the type of ``log`` is read from the schema of that field.
+Only the other lines (Python-only forms such as single quotes, ``None``, tuples,
+comments, duplicate keys; and broken lines) go, in Arrow batches, to Python's own
+literal parser, so every line follows the literal rule.
 """
 
 from __future__ import annotations
 
-import ast
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # a type token (not a key) in schema_of_variant output, e.g. "OBJECT<a: VOID>"
 _NON_LITERAL_TYPE = r"(^|<|: )(VOID|BOOLEAN)(>|,|$)"
@@ -34,7 +29,7 @@ _NON_LITERAL_TYPE = r"(^|<|: )(VOID|BOOLEAN)(>|,|$)"
 
 # "\/" escapes a slash in JSON; a Python literal keeps both characters. An
 # unescaped backslash (odd run) before "/" is doubled so JSON keeps it too.
-_SLASH_ESCAPE = r"(?<!\\)((?:\\\\)*)\\/"
+_SLASH_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\/"
 
 
 def _python_escapes(line: Column) -> Column:
@@ -54,18 +49,13 @@ def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
     strict_is_str = F.schema_of_variant(log_variant) == F.lit("STRING")
     strict_log = F.variant_get(strict, "$[0].log", "string")
 
-    lenient = F.from_json(
-        wrapped, T.ArrayType(T.StructType([T.StructField("log", T.StringType())])),
-        # as Python literals: no NaN/Infinity tokens, raw control characters allowed in strings
-        {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false", "allowUnquotedControlChars": "true"},
-    )
-    lenient_log = F.when(F.size(lenient) == 1, lenient.getItem(0).getField("log"))
+    undecided = _literal_envelope()(F.when(strict.isNull(), line))
+    by_literal = undecided.getField("env_ok"), undecided.getField("log_is_str"), undecided.getField("log")
 
-    env_ok = F.when(strict.isNotNull(), strict_ok).otherwise(lenient_log.isNotNull())
-    log_is_str = F.when(strict.isNotNull(), F.coalesce(strict_is_str, F.lit(False))).otherwise(
-        lenient_log.isNotNull())
-    log = F.when(strict.isNotNull(), F.when(strict_is_str, strict_log)).otherwise(lenient_log)
-    return env_ok, log_is_str, log
+    env_ok = F.when(strict.isNotNull(), strict_ok).otherwise(by_literal[0])
+    log_is_str = F.when(strict.isNotNull(), F.coalesce(strict_is_str, F.lit(False))).otherwise(by_literal[1])
+    log = F.when(strict.isNotNull(), F.when(strict_is_str, strict_log)).otherwise(by_literal[2])
+    return F.coalesce(env_ok, F.lit(False)), F.coalesce(log_is_str, F.lit(False)), log
 
 
 def with_envelope(lines: DataFrame, line_col: str = "line") -> DataFrame:
@@ -73,39 +63,35 @@ def with_envelope(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return lines.select("*", env_ok.alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"))
 
 
-def _literal_envelope(text):
-    """(env_ok, log_is_str, log) of one line under Python literal rules."""
-    try:
-        value = ast.literal_eval(text)
-    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-        return False, False, None
-    if not isinstance(value, dict) or "log" not in value:
-        return False, False, None
-    log = value["log"]
-    if isinstance(log, str):
-        return True, True, log
-    if isinstance(log, bytes):
-        # bytes.startswith(str) raises TypeError: counted like a malformed line
-        return False, False, None
-    return True, False, None
-
-
-def with_envelope_exact(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Same columns as :func:`with_envelope`, decided by ``ast.literal_eval``."""
-    out_schema = T.StructType(lines.schema.fields + [
-        T.StructField("env_ok", T.BooleanType()),
-        T.StructField("log_is_str", T.BooleanType()),
-        T.StructField("log", T.StringType()),
-    ])
-
-    def decode(batches):
-        for pdf in batches:
-            decoded = [_literal_envelope(t) if t is not None else (False, False, None)
-                       for t in pdf[line_col]]
-            pdf = pdf.copy()
-            pdf["env_ok"] = pd.Series([d[0] for d in decoded], dtype=bool, index=pdf.index)
-            pdf["log_is_str"] = pd.Series([d[1] for d in decoded], dtype=bool, index=pdf.index)
-            pdf["log"] = pd.Series([d[2] for d in decoded], dtype=object, index=pdf.index)
-            yield pdf
-
-    return lines.mapInPandas(decode, out_schema)
+def _literal_envelope():
+    """A pandas UDF giving (env_ok, log_is_str, log) of lines under Python's literal rule; null lines are skipped.
+
+    The function is nested so that it travels to the executors by value.
+    """
+
+    @F.pandas_udf("env_ok boolean, log_is_str boolean, log string")
+    def decode(lines: pd.Series) -> pd.DataFrame:
+        import ast
+        import warnings
+
+        def one(text):
+            if text is None:
+                return None, None, None
+            try:
+                with warnings.catch_warnings():
+                    warnings.simplefilter("ignore")  # unknown escapes are kept, as they were
+                    value = ast.literal_eval(text)
+            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+                return False, False, None
+            if not isinstance(value, dict) or "log" not in value:
+                return False, False, None
+            log = value["log"]
+            if isinstance(log, str):
+                # paired surrogate escapes are one character; a lone one can't be stored as UTF-8
+                return True, True, log.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+            # startswith(str) raises TypeError for bytes: counted like a malformed line
+            return not isinstance(log, bytes), False, None
+
+        return pd.DataFrame([one(t) for t in lines], columns=["env_ok", "log_is_str", "log"])
+
+    return decode

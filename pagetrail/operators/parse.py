@@ -30,8 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce
-from ..functions.access import AccessPattern
-from ..functions.envelope import with_envelope, with_envelope_exact
+from ..functions.access import AccessPattern, is_ip_list
+from ..functions.envelope import with_envelope
 from ..functions.fixed import (ACCESS_PATTERN_BACKFILL, ACCESS_PATTERN_HOURLY, BACKFILL, BAD,
                                COOKIE_COLUMNS, GOOD, HOURLY, INT_FIELDS, MAX_HTTP_METHOD_LEN,
                                NOT_FOUND_PREFIXES, RAW_COLUMNS, REGEX_FAILED, REJECTED, SKIPPED,
@@ -41,44 +41,38 @@ from ..functions.text import has_nul
 _PATTERNS = {HOURLY: AccessPattern(ACCESS_PATTERN_HOURLY), BACKFILL: AccessPattern(ACCESS_PATTERN_BACKFILL)}
 _STORED_INTS = [f for f in INT_FIELDS if f != "response_time"]
 
-# Java's regex engine recurses once per repetition of the IP-list group; with
-# the library's 32 MB thread stacks about 10,000 forwarded IPs still match. Log
-# values longer than this bound (far beyond any HTTP server's header limit) are
-# not matched, and count as regex_failed, instead of risking a stack overflow
-# that would take the executor down.
-MAX_MATCH_CHARS = 65536
 _TEXT_COLUMNS = ("ip", "http_method", "uri", "referrer", "user_agent", "session_id",
                  "user_id_uuid", "ga_ga", "ga_gid")
 
 
-def parse_lines(lines: DataFrame, mode: str = HOURLY, exact_literals: bool = False) -> DataFrame:
+def parse_lines(lines: DataFrame, mode: str = HOURLY) -> DataFrame:
     """Add ``outcome`` and the stored columns to ``(filename, line_number, line)`` rows.
 
-    ``mode`` is ``"hourly"`` or ``"backfill"``; ``exact_literals`` decides the
-    envelope with Python's literal parser (slower, Arrow batches) instead of
-    Spark's JSON readers.
+    ``mode`` is ``"hourly"`` or ``"backfill"``.
     """
     if mode not in _PATTERNS:
         raise ValueError(f"mode must be {HOURLY!r} or {BACKFILL!r}")
     pattern = _PATTERNS[mode]
     keep = [c for c in lines.columns]
 
-    env = with_envelope_exact(lines) if exact_literals else with_envelope(lines)
+    env = with_envelope(lines)
 
     # one evaluation of the access pattern per line
     step1 = env.select(*keep, "env_ok", "log_is_str",
                        F.coalesce(F.col("log").startswith(NOT_FOUND_PREFIXES[0])
                                   | F.col("log").startswith(NOT_FOUND_PREFIXES[1]),
                                   F.lit(False)).alias("not_found"),
-                       F.when(F.length("log") <= MAX_MATCH_CHARS, pattern.packed(F.col("log")))
-                       .otherwise(F.lit("")).alias("_packed"))
+                       pattern.packed(F.coalesce(F.col("log"), F.lit(""))).alias("_packed"))
     step2 = step1.select(*keep, "env_ok", "log_is_str", "not_found",
                          AccessPattern.matched(F.col("_packed")).alias("matched"),
                          pattern.parts(F.col("_packed")).alias("_parts"))
 
     cap = {n: pattern.field(F.col("_parts"), n) for n in pattern.names}
+    matched = F.col("matched")
+    if pattern.ip_list:
+        matched = matched & F.coalesce(is_ip_list(cap["ip"]), F.lit(False))
     step3 = step2.select(
-        *keep, "env_ok", "log_is_str", "not_found", "matched",
+        *keep, "env_ok", "log_is_str", "not_found", matched.alias("matched"),
         *[cap[n].alias("_c_" + n) for n in pattern.names],
         coerce.cookie_pairs(cap["cookies"]).alias("_cookies"),
     )

@@ -13,8 +13,7 @@ For day ``d``:
 Both aggregates are partial/final hash aggregates: each map task collapses its
 rows per key before the shuffle, so a hot key (e.g. a NULL uuid holding a third
 of all views) costs one row per task, not one per view. The past side reads the
-whole history, but only its three needed columns, and keeps only the uuids seen
-on the day (NULL uuids can never match) before aggregating. ``history`` lets a caller pass an
+whole history, but only its three needed columns. ``history`` lets a caller pass an
 already-aggregated daily visitor table instead of raw page views, which shrinks
 that scan from one row per view to one row per visitor-day.
 """
@@ -78,16 +77,9 @@ def visitor_previous_visit(page_log: DataFrame, day: date, join_keys=("user_id_u
     row multiplication of the source's uuid-only join.
     """
     daily = daily_pageviews(page_log, day)
-    # only past visits of uuids seen on ``day`` can match: restrict the history
-    # to them before aggregating (a semi join on the day's small uuid set,
-    # broadcast when AQE finds it small), so the history-wide aggregate and its
-    # shuffle scale with the day's visitors, not with every visitor ever seen
-    todays = daily.select("user_id_uuid").filter(F.col("user_id_uuid").isNotNull()).distinct()
-    if history is not None:
-        history = history.join(todays, "user_id_uuid", "left_semi")
-        past = last_past_visit(page_log, day, history)
-    else:
-        past = last_past_visit(page_log.join(todays, "user_id_uuid", "left_semi"), day)
+    # the history is aggregated before it meets the day: a partial aggregate stands below every
+    # exchange of page views, and the join then sees one row per visitor
+    past = last_past_visit(page_log, day, history)
     past = past.select(*[F.col(k).alias("_p_" + k) for k in join_keys], F.col("ymd").alias("_past"))
     cond = None
     for k in join_keys:

@@ -11,7 +11,7 @@ states the expected values straight from ``events``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,37 +121,50 @@ SELECT CAST(event_id % 32768 AS INT) AS pid, ip,
 FROM {LINE_BASE} b WHERE {where}"""
 
 
+def _not_listed(blacklist: str, agent: str = "p.user_agent") -> str:
+    """The agent is on no entry of the list: always for an empty list, never for a NULL agent or a list with a NULL."""
+    return f"""((SELECT count(*) FROM {blacklist} bl) = 0
+   OR (user_agent IS NOT NULL AND (SELECT count(*) FROM {blacklist} bl WHERE bl.user_agent IS NULL) = 0
+       AND (SELECT count(*) FROM {blacklist} bl WHERE bl.user_agent = {agent}) = 0))"""
+
+
 def _page_log_window_sql(lo: datetime, hi: datetime, blacklist: str = BLACKLIST) -> str:
     return f"""
 SELECT time_received, uri, referrer, user_agent, has_wallet, ip, session_id, user_id, user_id_uuid, ga_ga, ga_gid
 FROM {PAGE_LOG} p
 WHERE (NOT regexp_matches(uri, '^/notification/'))
   AND time_received >= {_lit_ts(lo)} AND time_received < {_lit_ts(hi)}
-  AND user_agent NOT IN (SELECT DISTINCT user_agent FROM {blacklist} bl)"""
+  AND {_not_listed(blacklist)}"""
 
 
 def _daily_sql(day: date) -> str:
+    """Page views of one calendar day per visitor."""
     return f"""
-SELECT user_id_uuid, user_id, CAST(max(CAST(has_wallet AS INT)) AS BOOLEAN) AS has_wallet, count(*) AS pageviews
-FROM {PAGE_LOG} p WHERE CAST(time_received AS DATE) = {_lit_date(day)}
-GROUP BY user_id_uuid, user_id"""
+SELECT user_id_uuid, user_id, bool_or(has_wallet) AS has_wallet, count(*) AS pageviews
+FROM {PAGE_LOG} p
+WHERE time_received >= TIMESTAMP '{day:%Y-%m-%d} 00:00:00'
+  AND time_received < TIMESTAMP '{day:%Y-%m-%d} 00:00:00' + INTERVAL 1 DAY
+GROUP BY 1, 2"""
 
 
 def _past_sql(day: date) -> str:
+    """Of each visitor's days up to the cut-off, the one that no later day follows."""
     return f"""
-SELECT user_id_uuid, user_id, max(CAST(time_received AS DATE)) AS ymd
-FROM {PAGE_LOG} p WHERE CAST(time_received AS DATE) <= {_lit_date(day)} - INTERVAL 2 DAY
-GROUP BY user_id_uuid, user_id"""
+SELECT user_id_uuid, user_id, visit_day AS ymd
+FROM (SELECT user_id_uuid, user_id, visit_day,
+             lead(visit_day) OVER (PARTITION BY user_id_uuid, user_id ORDER BY visit_day) AS later_day
+      FROM (SELECT DISTINCT user_id_uuid, user_id, CAST(date_trunc('day', time_received) AS DATE) AS visit_day
+            FROM {PAGE_LOG} p) visits
+      WHERE visit_day < {_lit_date(day)} - INTERVAL 1 DAY) ordered_visits
+WHERE later_day IS NULL"""
 
 
 def _visitor_sql(day: date, strict: bool = False) -> str:
-    on = "d.user_id_uuid = a.user_id_uuid" + (" AND d.user_id = a.user_id" if strict else "")
+    same = "past.user_id_uuid = seen.user_id_uuid" + (" AND past.user_id = seen.user_id" if strict else "")
     return f"""
-WITH daily_pageviews AS ({_daily_sql(day)}),
-     all_past_pageviews AS ({_past_sql(day)})
-SELECT d.user_id_uuid, d.user_id, {_lit_date(day)} AS ymd, d.has_wallet, d.pageviews,
-       coalesce(a.ymd, DATE '0001-01-01') AS last_visit
-FROM daily_pageviews d LEFT JOIN all_past_pageviews a ON {on}"""
+SELECT seen.user_id_uuid, seen.user_id, {_lit_date(day)} AS ymd, seen.has_wallet, seen.pageviews,
+       CASE WHEN past.ymd IS NULL THEN DATE '0001-01-01' ELSE past.ymd END AS last_visit
+FROM ({_daily_sql(day)}) seen LEFT JOIN ({_past_sql(day)}) past ON {same}"""
 
 
 # ---------------------------------------------------------------------------
@@ -239,7 +252,7 @@ SELECT time_received, uri, referrer, user_agent, has_wallet, ip, session_id, use
 FROM ({_expected_raw(_GOOD_HOURLY)}) e
 WHERE (NOT regexp_matches(uri, '^/notification/'))
   AND time_received >= {_lit_ts(_D0)} AND time_received < {_lit_ts(_D1)}
-  AND user_agent NOT IN (SELECT DISTINCT user_agent FROM ({fx.agent_blacklist_sql('nation')}) bl)""")
+  AND {_not_listed(f"({fx.agent_blacklist_sql('nation')})", "e.user_agent")}""")
 def q_page_log_from_raw_lines(spark, sf):
     """The whole chain from raw text: parse, keep good rows, derive a day's page log."""
     raw = parse.good_rows(_parsed(spark, sf))
@@ -313,8 +326,8 @@ def q_parse_outcomes_backfill(spark, sf):
 @register("parse_outcomes_exact_literals",
           f"SELECT filename, line_number, {_case_outcome(1)} AS outcome FROM {LINES} l")
 def q_parse_outcomes_exact_literals(spark, sf):
-    """Outcomes with the envelope decided by Python's literal parser (Arrow batches)."""
-    return parse.parse_lines(_lines(spark, sf), exact_literals=True).select("filename", "line_number", "outcome")
+    """Outcomes of the Python-only envelope forms among all lines, which Python's literal parser decides."""
+    return _parsed(spark, sf).select("filename", "line_number", "outcome")
 
 
 @register("cookie_fields", f"""
@@ -430,6 +443,39 @@ def q_day_closed(spark, sf):
     return readiness.day_closed(_page_log(spark, sf), PREV_DAY)
 
 
+# --- written tables, each written twice (SNK1, SNK4-11) ---------------------------
+
+@register("page_log_rewritten", f"SELECT {_PL_COLS} FROM {PAGE_LOG} p "
+          f"WHERE time_received >= {_lit_ts(_M0)} AND time_received < {_lit_ts(_M1)}")
+def q_page_log_rewritten(spark, sf):
+    """A month of page log, one of its days written twice, read back."""
+    root = scratch_path(spark, "user page log")
+    tables.write_window(_page_log(spark, sf), root, _M0, _M1)
+    tables.write_window(_page_log(spark, sf), root, _D0, _D1)
+    return tables.read_window(spark, root, _M0, _M1, schema=tables.PAGE_LOG_DDL).drop("row_added")
+
+
+@register("raw_log_rewritten", _expected_raw(_GOOD_HOURLY))
+def q_raw_log_rewritten(spark, sf):
+    """The raw log by ingest hour, written twice, read back."""
+    root = scratch_path(spark, "raw log")
+    good = _parsed(spark, sf).filter(F.col("outcome") == "good")
+    hour = F.to_timestamp_ntz(F.regexp_extract("filename", r"^logs/(\d{4}/\d{2}/\d{2}/\d{2})/", 1), F.lit("yyyy/MM/dd/HH"))
+    hours = [_M0 + timedelta(hours=h) for h in range(31 * 24)]
+    for _ in range(2):
+        tables.write_raw_hours(good.select(*RAW_COLUMNS, hour.alias("_ingest_hour")), root, hours, hour_col="_ingest_hour")
+    return tables.read_ingested(spark, root, None, None).select(*RAW_COLUMNS)
+
+
+@register("visitor_slice_rewritten", _visitor_sql(VISIT_DAY))
+def q_visitor_slice_rewritten(spark, sf):
+    root = scratch_path(spark, "visitors")
+    for strict in (True, False):
+        keys = ("user_id_uuid", "user_id") if strict else ("user_id_uuid",)
+        tables.write_slice(visitors.visitor_previous_visit(_page_log(spark, sf), VISIT_DAY, join_keys=keys), root, VISIT_DAY)
+    return tables.read_table(spark, root, "ymd DATE")
+
+
 # --- files and streams (SRC1-4, SRC9, SNK1, INC1) -------------------------------
 
 @register("ingest_files_roundtrip", _expected_raw(_GOOD_HOURLY))

@@ -24,12 +24,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
 }
 
-# JVM options applied only when the deployment has not set its own:
-# - the parse builds large generated methods, which HotSpot leaves interpreted
-#   (methods over 8 KB of bytecode) unless told otherwise;
-# - java.util.regex recurses once per repetition of a group, so a log line with
-#   thousands of forwarded IPs needs deeper thread stacks than the 1 MB default.
-JIT_OPTION = "-XX:-DontCompileHugeMethods -Xss32m"
+# JVM option applied only when the deployment has not set its own: the parse builds large
+# generated methods, which HotSpot leaves interpreted (over 8 KB of bytecode) unless told otherwise.
+JIT_OPTION = "-XX:-DontCompileHugeMethods"
 
 
 def get_session(master: str | None = None, app_name: str = "pagetrail", **conf) -> SparkSession:

@@ -11,9 +11,9 @@ Layout decisions (the source's PostgreSQL child tables are re-aimed):
   so "delete window then insert" is a static overwrite of those partitions.
 * daily aggregates / snapshots: partitioned by ``ymd``.
 
-Replacing is done per exact partition directory with a static overwrite, which
-also clears it when the new result is empty (a dynamic overwrite would leave
-the old files there). Rows are sorted by ``time_received`` within each file so Parquet
+Replacing a window is one dynamic partition overwrite, after which partitions of
+the window that got no rows are dropped; a slice or a single hour is a static
+overwrite of its directory. Rows are sorted by ``time_received`` within each file so Parquet
 row-group min/max statistics skip data for narrow windows (the role of the
 source's BRIN index). ``row_added`` is stamped at write time.
 """
@@ -45,13 +45,44 @@ def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour
     return path
 
 
+def _listing(spark: SparkSession, pattern: str) -> dict[str, tuple[str, ...]]:
+    """Directories that match a glob, each with its file names; none when nothing matches.
+
+    Asked from the table's own file system: names come back as they are, and a
+    listing that fails (denied, timed out) raises instead of reading as empty.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for status in fs.globStatus(path) or []:
+        if status.isDirectory():
+            found[status.getPath().toString()] = tuple(sorted(f.getPath().getName() for f in fs.listStatus(status.getPath()) if f.isFile()))
+    return found
+
+
 def _existing_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    """Leaf directories matching a glob, from the file listing only."""
-    try:
-        files = spark.read.parquet(pattern).inputFiles()
-    except Exception:  # nothing matches yet
-        return []
-    return sorted({f.rsplit("/", 1)[0] for f in files})
+    """Directories with files that match a glob."""
+    return sorted(d for d, files in _listing(spark, pattern).items() if files)
+
+
+def _replace(rows: DataFrame, root: str, keys: list[str], patterns: list[str]) -> None:
+    """Make the partitions that match ``patterns`` hold exactly ``rows``.
+
+    One job overwrites every partition it has rows for when it commits; then the
+    matching partitions that it did not touch (their files are the same as before)
+    are dropped. Until then a reader sees the old rows, never none, and a run that
+    fails in between can simply be repeated.
+    """
+    spark = rows.sparkSession
+    before = {d: files for p in patterns for d, files in _listing(spark, p).items()}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+    after = {d: files for p in patterns for d, files in _listing(spark, p).items()}
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for d in sorted(before):
+        if after.get(d) == before[d]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None) -> None:
@@ -59,17 +90,12 @@ def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col:
 
     Layout ``event_date=E/ingest_date=D/ingest_hour=H``: readers of a time
     window list only its event dates (exact, since ``event_date`` is the date of
-    the row's own time), while a re-run of an ingest hour clears that hour under
-    every event date its earlier rows went to (one glob over the event-date
-    level), then appends its rows in one job without a shuffle. ``hour_col``
+    the row's own time), while a re-run of an ingest hour replaces that hour under
+    every event date (one glob over the event-date level), in one job without a
+    shuffle. ``hour_col``
     names a TIMESTAMP_NTZ column with each row's ingest hour; without it all
     rows belong to the single hour in ``hours``.
     """
-    spark = rows.sparkSession
-    for h in hours:
-        for d in _existing_dirs(spark, f"{root}/event_date=*/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}"):
-            rows.limit(0).select(*[c for c in rows.columns if c != hour_col]) \
-                .withColumn("row_added", F.localtimestamp()).write.mode("overwrite").parquet(d)
     if hour_col is None:
         (h,) = hours
         rows = rows.withColumn("_ingest_hour", ntz(h))
@@ -79,75 +105,49 @@ def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col:
            .withColumn("ingest_date", F.to_date(F.col(hour_col)))
            .withColumn("ingest_hour", F.hour(F.col(hour_col)))
            .drop(hour_col))
-    (out.sortWithinPartitions("event_date", "ingest_date", "ingest_hour", "time_received")
-     .write.mode("append").partitionBy("event_date", "ingest_date", "ingest_hour").parquet(root))
+    _replace(out.sortWithinPartitions("event_date", "ingest_date", "ingest_hour", "time_received"), root,
+             ["event_date", "ingest_date", "ingest_hour"],
+             [f"{root}/event_date=*/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}" for h in hours])
 
 
 def write_ingest_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str = "_ingest_hour",
                        sort_by: str | None = "time_received") -> None:
     """SNK1 / SNK9: replace several ingest hours in one job.
 
-    ``rows`` carries each row's ingest hour in ``hour_col``. The listed hours'
-    existing partitions are cleared first, then one job appends every row into
-    its (ingest_date, ingest_hour) partition without a shuffle.
+    ``rows`` carries each row's ingest hour in ``hour_col``; the listed hours'
+    partitions are replaced without a shuffle.
     """
-    spark = rows.sparkSession
-    keys = {(f"{h:%Y-%m-%d}", h.hour) for h in hours}
-    existing = _existing_hours(spark, root, sorted({h.date() for h in hours}), "ingest_date", "ingest_hour")
     out = (rows.withColumn("row_added", F.localtimestamp())
            .withColumn("ingest_date", F.to_date(F.col(hour_col)))
            .withColumn("ingest_hour", F.hour(F.col(hour_col)))
            .drop(hour_col))
-    empty = out.limit(0).drop("ingest_date", "ingest_hour")
-    for d, h in sorted(existing & keys):
-        empty.write.mode("overwrite").parquet(f"{root}/ingest_date={d}/ingest_hour={h}")
     if sort_by:
         out = out.sortWithinPartitions("ingest_date", "ingest_hour", sort_by)
-    out.write.mode("append").partitionBy("ingest_date", "ingest_hour").parquet(root)
-
-
-def _existing_hours(spark: SparkSession, root: str, days: list[date], date_col: str, hour_col: str) -> set:
-    """(date, hour) partitions present under ``root`` for ``days``, from the file listing only."""
-    glob = f"{root}/{date_col}={{{','.join(f'{d:%Y-%m-%d}' for d in days)}}}/*"
-    try:
-        files = spark.read.option("basePath", root).parquet(glob).inputFiles()
-    except Exception:  # nothing written yet for these days
-        return set()
-    found = set()
-    for f in files:
-        d = f.split(f"{date_col}=", 1)[1].split("/", 1)[0]
-        h = f.split(f"{hour_col}=", 1)[1].split("/", 1)[0]
-        found.add((d, int(h)))
-    return found
+    _replace(out, root, ["ingest_date", "ingest_hour"],
+             [f"{root}/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}" for h in hours])
 
 
 def write_window(rows: DataFrame, root: str, start: datetime, end: datetime,
                  date_col: str = "event_date", hour_col: str = "event_hour") -> None:
     """SNK4-5 / SNK10: make the hour partitions of ``[start, end)`` hold exactly ``rows`` of that window.
 
-    First the window's hour partitions that already exist are cleared (a static
-    overwrite with no rows: on an hourly run that is at most one directory),
-    then one job appends the window's rows partitioned by event date and hour.
-    There is no shuffle: each task writes its own time-sorted files into every
-    hour it holds, so a hot hour is spread over many tasks. Re-running the same
-    window gives the same table.
+    One job overwrites the window's event hours. There is no shuffle: each task
+    writes its own time-sorted files into every hour it holds, so a hot hour is
+    spread over many tasks. Re-running the same window gives the same table.
     """
     if start.minute or start.second or end.minute or end.second:
         raise ValueError("write_window needs whole-hour bounds")
-    spark = rows.sparkSession
     ts = F.col("time_received")
     stamped = (rows.filter(in_window(ts, start, end))
                .withColumn("row_added", F.localtimestamp())
                .withColumn(date_col, F.to_date(ts))
                .withColumn(hour_col, F.hour(ts)))
     hours = [start + timedelta(hours=i) for i in range(int((end - start).total_seconds() // 3600))]
-    window_keys = {(f"{h:%Y-%m-%d}", h.hour) for h in hours}
-    existing = _existing_hours(spark, root, sorted({h.date() for h in hours}), date_col, hour_col)
-    empty = stamped.limit(0).drop(date_col, hour_col)
-    for d, h in sorted(existing & window_keys):
-        empty.write.mode("overwrite").parquet(f"{root}/{date_col}={d}/{hour_col}={h}")
-    (stamped.sortWithinPartitions(date_col, hour_col, "time_received")
-     .write.mode("append").partitionBy(date_col, hour_col).parquet(root))
+    days = sorted({h.date() for h in hours})
+    whole = [d for d in days if sum(h.date() == d for h in hours) == 24]
+    patterns = [f"{root}/{date_col}={d:%Y-%m-%d}/{hour_col}=*" for d in whole]
+    patterns += [_hour_path(root, h, date_col, hour_col) for h in hours if h.date() not in whole]
+    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], patterns)
 
 
 def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:
@@ -181,10 +181,9 @@ def read_table(spark: SparkSession, root: str, partition_schema: str, schema: st
     """
     if schema is not None:
         full = f"{schema}, {partition_schema}"
-        try:
-            return spark.read.schema(full).option("basePath", root).parquet(root)
-        except Exception:  # the folder does not exist yet
+        if not _listing(spark, root):  # the folder does not exist yet
             return spark.createDataFrame([], full)
+        return spark.read.schema(full).option("basePath", root).parquet(root)
     df = spark.read.option("basePath", root).parquet(root)
     for field in partition_schema.split(","):
         name, typ = field.strip().split()

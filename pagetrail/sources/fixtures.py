@@ -87,17 +87,14 @@ FROM {events}"""
 
 
 def blacklist_sql(nation: str = "nation", with_null: bool = False) -> str:
-    """User agents of the nations of region 1; ``with_null`` adds region 2 as NULLs."""
-    if with_null:
-        return (f"SELECT CASE WHEN n_regionkey = 1 THEN 'UA-' || CAST(n_nationkey % 11 AS STRING) END AS user_agent "
-                f"FROM {nation} WHERE n_regionkey IN (1, 2)")
-    return f"SELECT 'UA-' || CAST(n_nationkey % 11 AS STRING) AS user_agent FROM {nation} WHERE n_regionkey = 1"
+    """A user agent per nation (some of them seen in the page log); ``with_null`` turns region 2's into NULLs."""
+    agent = "'UA-' || CAST(n_nationkey * 5 AS STRING)"
+    return f"SELECT {f'CASE WHEN n_regionkey <> 2 THEN {agent} END' if with_null else agent} AS user_agent FROM {nation}"
 
 
 def agent_blacklist_sql(nation: str = "nation") -> str:
     """The same nations' agents, spelt as the raw-line adapter writes user agents."""
-    return (f"SELECT 'Mozilla/5.0 (agent ' || CAST(n_nationkey % 11 AS STRING) || ')' AS user_agent "
-            f"FROM {nation} WHERE n_regionkey = 1")
+    return f"SELECT 'Mozilla/5.0 (agent ' || CAST(n_nationkey * 5 AS STRING) || ')' AS user_agent FROM {nation}"
 
 
 def bounties_sql(orders: str = "orders") -> str:
@@ -149,8 +146,16 @@ LINE_CASES = {
     26: ("spaced, signed user_id cookie", "good", "good"),
     27: ("space-padded day", "good", "good"),
     28: ("escaped non-ASCII agent", "good", "good"),
+    29: ("None, True, a tuple and 0x1F beside log", "good", "good"),
+    30: ("trailing comma and comment", "good", "good"),
+    31: ("escape that JSON lacks", "good", "good"),
+    32: ("single quotes with a JSON true", "bad", "bad"),
+    33: ("None as log", "regex_failed", "regex_failed"),
+    34: ("leading zero", "bad", "bad"),
+    35: ("three hundred forwarded IPs", "good", "regex_failed"),
+    36: ("forwarded list that ends in a dot", "regex_failed", "regex_failed"),
 }
-N_CASES = 40  # cases 29..39 are plain good lines
+N_CASES = 40  # cases 37..39 are plain good lines
 
 
 def line_base_sql(d: Dialect, events: str = "events") -> str:
@@ -204,7 +209,9 @@ def raw_lines_sql(d: Dialect, events: str = "events") -> str:
     access = f"""'[pid: ' || CASE WHEN c = 10 THEN '' WHEN c = 15 THEN '99999999999'
                           ELSE CAST(event_id % 32768 AS STRING) END
   || '|app: -|req: -/-] '
-  || CASE WHEN c = 12 THEN ip || ', 172.16.0.' || CAST(event_id % 200 AS STRING) ELSE ip END
+  || CASE WHEN c = 12 THEN ip || ', 172.16.0.' || CAST(event_id % 200 AS STRING)
+          WHEN c = 35 THEN ip || repeat(', 172.16.0.1', 300)
+          WHEN c = 36 THEN ip || ', 172.16.0.' ELSE ip END
   || ' (-) {{' || CAST(10 + event_id % 40 AS STRING) || ' vars in ' || CAST(400 + event_id % 600 AS STRING)
   || ' bytes}} ['
   || CASE WHEN c = 9 THEN 'Fri Feb 30 10:00:00 2024'
@@ -229,6 +236,12 @@ def raw_lines_sql(d: Dialect, events: str = "events") -> str:
       WHEN c = 6 THEN '{{"log":"Not Found: ' || uri || {nl} || '","stream":"stderr"}}'
       WHEN c = 7 THEN '{{"log":"GET ' || uri || ' 200' || {nl} || '","stream":"stderr"}}'
       WHEN c = 17 THEN '{{''log'': ''' || access || {nl} || ''', ''stream'': ''stderr''}}'
+      WHEN c = 29 THEN '{{"log":"' || access || {nl} || '","a":None,"b":True,"c":(1, 2),"d":0x1F}}'
+      WHEN c = 30 THEN '{{"log":"' || access || {nl} || '","stream":"stderr",}} # end'
+      WHEN c = 31 THEN '{{"log":"' || {bs} || 'x5bpid' || substring(access, 5) || {nl} || '"}}'
+      WHEN c = 32 THEN '{{''log'': ''' || access || {nl} || ''', ''ok'': true}}'
+      WHEN c = 33 THEN '{{''log'': None}}'
+      WHEN c = 34 THEN '{{"log":"' || access || {nl} || '","n":01}}'
       WHEN c = 20 THEN '{{"log":"' || access || '","stream":"stderr"}}'
       ELSE '{{"log":"' || access || {nl} || '","stream":"stderr"}}' END"""
     # lines are numbered on the narrow per-event columns, before their text is built
@@ -264,20 +277,7 @@ def _run(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table; spread it when its scan plans to fewer tasks than there are cores.
-
-    The test tables are single small files (often one row group, hence one
-    scan task); a round-robin repartition of the scanned columns lets the
-    derivations that follow use every core. At scale a scan already yields far
-    more splits than cores and nothing is added.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a session without RDD access (e.g. Spark Connect): keep the scan as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def page_log(spark: SparkSession, events: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.fixed import HOURLY, RAW_COLUMNS
-from ..operators.parse import good_rows, parse_lines
+from ..operators.parse import good_rows, parse_lines, rejected_rows
 from ..operators.quality import failure_samples, file_quality
 from ..session import scratch_path
 from ..sources.logfiles import SOURCE_LAYOUT, number_split_lines, split_columns
@@ -27,8 +27,8 @@ def ingest_available(spark: SparkSession, root: str, out: str | None = None, che
                      max_files_per_trigger: int | None = None) -> str:
     """Parse every not-yet-seen file under ``root`` and return the output folder.
 
-    Output: ``out/rows/batch=<id>`` (stored columns), ``out/quality/batch=<id>``
-    and ``out/samples/batch=<id>``.
+    Output: ``out/rows/batch=<id>`` (stored columns), ``out/rejected/batch=<id>``,
+    ``out/quality/batch=<id>`` and ``out/samples/batch=<id>``.
     """
     out = out or scratch_path(spark, "ingest")
     checkpoint = checkpoint or f"{out}/_checkpoint"
@@ -45,6 +45,7 @@ def ingest_available(spark: SparkSession, root: str, out: str | None = None, che
         parsed = parse_lines(lines, mode).persist()
         try:
             good_rows(parsed).select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+            rejected_rows(parsed).write.mode("overwrite").parquet(f"{out}/rejected/batch={batch_id}")
             failure_samples(parsed).write.mode("overwrite").parquet(f"{out}/samples/batch={batch_id}")
             file_quality(parsed).write.mode("overwrite").parquet(f"{out}/quality/batch={batch_id}")
         finally:

@@ -154,6 +154,21 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
     assert {(os.path.basename(r.filename), r.line_number): r.line for r in whole.collect()} == want
 
 
+def test_rewriting_a_path_with_a_space_and_an_unreadable_file(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "raw log")
+    hour = datetime(2019, 1, 21, 0)
+    lines = spark.createDataFrame([("f", 1, env(ACCESS + "\n"))], "filename string, line_number int, line string")
+    for _ in range(2):
+        tables.write_raw_hours(good_rows(parse_lines(lines)), root, [hour])
+    assert tables.read_ingested(spark, root, None).count() == 1
+    broken = os.path.join(root, "event_date=2019-01-21", "ingest_date=2019-01-21", "ingest_hour=0", "part-broken.parquet")
+    write_file(os.path.dirname(broken), "part-broken.parquet", "not parquet")
+    with pytest.raises(Exception):
+        tables.read_ingested(spark, root, None).collect()
+    tables.write_raw_hours(good_rows(parse_lines(lines)), root, [hour])  # replaced, not appended to
+    assert tables.read_ingested(spark, root, None).count() == 1
+
+
 def test_raw_hour_rerun_clears_rows_of_other_event_dates(spark, tmp_dir):
     root = os.path.join(tmp_dir, "raw")
     hour = datetime(2019, 2, 1, 0)

@@ -121,16 +121,15 @@ def test_generated_lines_match_model(spark, mode):
     assert {"good", "bad", "regex_failed", "rejected"} <= outcomes
 
 
-def test_exact_literal_mode_agrees(spark):
+def test_python_only_envelopes_follow_the_literal_rule(spark):
     rng = random.Random(7)
+    good = '"log":"' + ACCESS + '\\n"'
     lines = [random_line(rng) for _ in range(200)] + ["{'log': None}", "(1, 2)", "{'log': b'x'}"]
-    native = {r.line_number: r.outcome for r in parse_lines(_frame(spark, lines)).collect()}
-    exact = {r.line_number: r.outcome for r in parse_lines(_frame(spark, lines), exact_literals=True).collect()}
+    lines += ["{" + good + extra + "}" for extra in (',"a":None', ',"a":True', ',"a":(1, 2)', ',"a":0x1F', ",", ',"a":01', ',"a":1_000')]
+    lines += ["{" + good + "} # comment", "{" + good.replace("[pid", "\\x5bpid") + "}", "{'a': true, " + good + "}", "{'a': null, " + good + "}"]
+    got = {r.line_number: r.outcome for r in parse_lines(_frame(spark, lines)).collect()}
     for i, line in enumerate(lines):
-        assert exact[i + 1] == expected(line)[0], line
-    # the native reader differs only on Python-only literal forms
-    differ = [lines[k - 1] for k in native if native[k] != exact[k]]
-    assert all("None" in x or "b'" in x for x in differ), differ
+        assert got[i + 1] == expected(line)[0], line
 
 
 def test_quality_counts_invariant(spark):
@@ -172,15 +171,18 @@ def test_unicode_digits_follow_python_int(spark):
 
 
 def test_long_forwarded_ip_lists_do_not_overflow(spark):
-    from pagetrail.operators.parse import MAX_MATCH_CHARS
-    many = ", ".join(f"10.0.{i % 256}.{i % 200}" for i in range(2000))
-    huge = ", ".join(f"10.0.{i % 256}.{i % 200}" for i in range(MAX_MATCH_CHARS // 8))
-    lines = [env(ACCESS.replace("1.2.3.4", many) + "\n"), env(ACCESS.replace("1.2.3.4", huge) + "\n"),
-             env(ACCESS.replace("user_id=5", "user_id=" + "1_" * 20000 + "1") + "\n")]
+    lists = [", ".join(f"10.0.{i % 256}.{i % 200}" for i in range(n)) for n in (2000, 20000)]
+    lists += ["1.2.3.45.6.7.8", "1.2.3.4.5.6.7", "1.2.3.4, ", "1.2.3.4,5.6.7.8", "1.2.3.4,  5.6.7.8", "1.2.3", ", 1.2.3.4", "1..2.3"]
+    lines = [env(ACCESS.replace("1.2.3.4", x) + "\n") for x in lists]
+    lines += [env(ACCESS.replace("user_id=5", "user_id=" + "1_" * 20000 + "1") + "\n"),
+              env(ACCESS.replace("Test Agent", "A " * 500_000) + "\n")]
     got = {r.line_number: r for r in parse_lines(_frame(spark, lines)).collect()}
-    assert got[1].outcome == expected(lines[0])[0] == "good" and got[1].ip == "10.0.0.0"
-    assert got[2].outcome == "regex_failed"          # beyond the matching bound, by design
-    assert got[3].outcome == "rejected"              # a valid int literal that does not fit INT
+    for i, line in enumerate(lines):
+        if i != len(lists):  # later Pythons refuse to convert this long an int
+            assert got[i + 1].outcome == expected(line)[0], line[:200]
+    assert got[1].ip == got[2].ip == "10.0.0.0"
+    assert got[len(lists) + 1].outcome == "rejected"          # a valid int literal that does not fit INT
+    assert got[len(lines)].outcome == "good" and len(got[len(lines)].user_agent) == 1_000_000
 
 
 def test_lenient_fallback_follows_python_literals(spark):

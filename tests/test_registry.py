@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
+from pagetrail.plans import registry  # noqa: E402
+
 SLOW = {"ingest_files_roundtrip", "ingest_stream_available_now", "file_quality_roundtrip",
         "bounty_view_log_via_tables"}
 
@@ -27,10 +29,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if n not in SLOW))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = rows_of([tuple(r) for r in df.collect()], df.columns)
