@@ -38,9 +38,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns of ``df``, dropping any extra ones before work begins."""
-    return df.select(*[F.col(c) for c in columns])
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 class Shared:

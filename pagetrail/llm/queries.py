@@ -37,20 +37,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    """Number and digest of each document's token ids, digest of what they decode to."""
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path)
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
-    )
-
-
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(documents(spark, sf_dir))
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    decoded = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN), path)
+    return decoded.select("doc_id", *byte_bpe.digests())
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrail.llm import textvec as tv
-from pagetrail.llm.common import Shared
+from pagetrail.llm.common import Shared, fresh
 
 #: Labelled rows to learn from, at most.
 SAMPLE = 16_000
@@ -176,8 +176,8 @@ def _train(slots: np.ndarray, label: np.ndarray, term: list, count: list, seed:
     return Model(slots, bias, w, v)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row of ``docs`` and ``score``, the probability of the toxic label."""
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` of every row of ``docs`` and, as ``name``, the probability of the toxic label."""
     shared = Shared(docs.sparkSession, (model, _lookup(model.slots)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,10 +188,10 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             for a, b in tv.blocks(offsets):
                 doc, term, count = terms(data, offsets, a, b, lookup)
                 out.append(model.score(doc, term, np.log1p(count), b - a))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], [*batch.schema.names[:-1], "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], [*batch.schema.names[:-1], name])
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    return rows.mapInArrow(scored, T.StructType([*rows.schema.fields[:-1], T.StructField("score", T.DoubleType())]))
+    rows = docs.select(*keep, F.col("text").cast("string").alias(fresh(docs, "text_")))
+    return rows.mapInArrow(scored, T.StructType([*rows.schema.fields[:-1], T.StructField(name, T.DoubleType())]))
 
 
 def held_out() -> Column:
