@@ -485,6 +485,20 @@ def q_ingest_files_roundtrip(spark, sf):
     return parse.good_rows(parse.parse_lines(lines))
 
 
+@register("ingest_hour_prefix", _expected_raw(f"{_GOOD_HOURLY} AND ts >= {_lit_ts(_H0)} AND ts < {_lit_ts(_H1)}"))
+def q_ingest_hour_prefix(spark, sf):
+    """Only the files under one hour's prefix."""
+    root = logfiles.write_log_files(spark, _lines(spark, sf))
+    return parse.good_rows(parse.parse_lines(logfiles.read_log_lines(spark, root, hour=HOUR, layout=logfiles.SPARK_LAYOUT)))
+
+
+@register("ingest_day_prefix", _expected_raw(f"{_GOOD_HOURLY} AND ts >= {_lit_ts(_D0)} AND ts < {_lit_ts(_D1)}"))
+def q_ingest_day_prefix(spark, sf):
+    """The files under every hour prefix of one day."""
+    root = logfiles.write_log_files(spark, _lines(spark, sf))
+    return parse.good_rows(parse.parse_lines(logfiles.read_log_lines(spark, root, day=DAY, layout=logfiles.SPARK_LAYOUT)))
+
+
 @register("file_quality_roundtrip", f"""
 WITH o AS (SELECT filename, {_case_outcome(1)} AS outcome FROM {LINES} l)
 SELECT filename, count(*) + 1 AS file_line_count,

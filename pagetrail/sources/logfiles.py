@@ -5,24 +5,21 @@ default. The result follows the source pipeline's ``text.split("\\n")``: lines
 are numbered from 1 per file, and a file that ends with a newline (or is
 empty) has one more, empty, last line.
 
-Two readers give the same rows:
-
-* split mode (default, for any file size): Spark's line reader with
-  ``lineSep="\\n"`` reads every file in splits of ``maxPartitionBytes``, so a
-  file holding a third of all lines is spread over many tasks. A line's number
-  is the number of lines in earlier splits of its file plus its position in its
-  own split; per-split counts are a small aggregate (one row per split) joined
-  back to the lines, never a shuffle of the lines. Whether a file ends with a
-  newline follows from its size: the bytes of its lines plus one separator each
-  equal the file size exactly then.
-* whole-file mode (``whole_files=True``): each file is one row, split in
-  memory; simpler, but a file must fit in one task.
+Spark's line reader with ``lineSep="\\n"`` reads every file in splits of
+``maxPartitionBytes``, whatever its size, so a file holding a third of all lines
+is spread over many tasks. A line's number is the number of lines in earlier
+splits of its file plus its position in its own split; per-split counts are a
+small aggregate (one row per split) joined back to the lines. Whether a file ends
+with a newline follows from its size: the bytes of its lines plus one separator
+each equal the file size exactly then.
 
 File scans skip zero-length files; those are found from the scan's file listing
-and contribute their single empty line.
+and contribute their single empty line. A file of nothing but a byte-order mark
+has no line for the reader; it contributes that mark as its single line.
 
-Strict UTF-8 (SRC4): the source failed the run on undecodable bytes;
-``strict_utf8=True`` does the same (whole-file check with ``is_valid_utf8``).
+Strict UTF-8 (SRC4): undecodable bytes fail the run, as they did in the source
+(a file is valid exactly when each of its lines is, since ``\\n`` is never part of
+another character); ``strict_utf8=False`` keeps such lines as they are.
 """
 
 from __future__ import annotations
@@ -48,15 +45,11 @@ def _hour_dir(layout: str, ts: datetime | date, hour: bool) -> str:
 
 
 def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None, day: date | None = None,
-                   layout: str = SOURCE_LAYOUT, glob: str | None = None, strict_utf8: bool = False,
-                   whole_files: bool | None = None) -> DataFrame:
+                   layout: str = SOURCE_LAYOUT, glob: str | None = None, strict_utf8: bool = True) -> DataFrame:
     """(filename, line_number, line) for every line of the files of one hour, one day, or all.
 
     ``glob`` filters file names (default ``*.log`` for the source layout,
-    ``*.txt`` for files written by :func:`write_log_files`). ``whole_files``
-    ``None`` (default) reads whole files when the largest one fits in a single
-    split (``spark.sql.files.maxPartitionBytes``), which is one pass and bounded
-    per task, and reads in splits otherwise.
+    ``*.txt`` for files written by :func:`write_log_files`).
     """
     if glob is None:
         glob = "*.log" if layout == SOURCE_LAYOUT else "*.txt"
@@ -66,14 +59,6 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
         path = f"{root}/{_hour_dir(layout, day, False)}"
     else:
         path = root
-    if strict_utf8:
-        raw = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-               .option("recursiveFileLookup", "true").load(path))
-        checked = raw.select(
-            F.col("path").alias("filename"),
-            F.when(F.is_valid_utf8(F.col("content")), F.col("content").cast("string"))
-            .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("path")))).alias("value"))
-        return lines_of_files(checked)
     try:
         listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                    .option("recursiveFileLookup", "true").load(path).select("path", "length"))
@@ -82,18 +67,16 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
             raise
         # no folder for this hour or day: no files, no lines
         return spark.createDataFrame([], "filename string, line_number int, line string")
-    if whole_files is None:
-        whole_files = int(listing.agg(F.max("length")).first()[0] or 0) <= _split_bytes(spark)
-    if whole_files:
-        # format("text").load(): DataFrameReader.text() would reset wholetext to its own default
-        text = (spark.read.format("text").option("wholetext", "true").option("pathGlobFilter", glob)
-                .option("recursiveFileLookup", "true").load(path))
-        lines = lines_of_files(text.select(F.col("_metadata.file_path").alias("filename"), "value"))
-    else:
-        text = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
-                .option("recursiveFileLookup", "true").load(path))
-        lines = _split_lines(text)
-    return lines.unionByName(_empty_files(spark, text, listing))
+    text = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(path))
+    lines, seen = number_split_lines(split_columns(text))
+    if strict_utf8:
+        lines = lines.withColumn("line", F.when(F.is_valid_utf8(F.col("line")), F.col("line"))
+                                 .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("filename")))))
+    marks = (listing.select(_normal_path(F.col("path")).alias("_file"))
+             .join(seen.select(_normal_path(F.col("filename")).alias("_file")), "_file", "left_anti")
+             .select(F.col("_file").alias("filename"), F.lit(1).alias("line_number"), F.lit("\ufeff").alias("line")))
+    return lines.unionByName(marks).unionByName(_empty_files(spark, text, listing))
 
 
 def path_hour(filename, layout: str = SOURCE_LAYOUT):
@@ -104,17 +87,15 @@ def path_hour(filename, layout: str = SOURCE_LAYOUT):
     return F.make_timestamp_ntz(*parts, F.lit(0), F.lit(0))
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    value = str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    value = value[:-1] if value.endswith("b") else value
-    return int(value[:-1]) * units[value[-1]] if value[-1] in units else int(value)
-
-
 def _normal_path(col):
     return F.regexp_replace(col, "^file:///", "file:/")
 
 
+def _plain_path(col):
+    """A file path as it is on disk, from the URI form in which scans give it (``%20`` for a space)."""
+    return F.url_decode(F.replace(col, F.lit("+"), F.lit("%2B")))
+
+
 def _empty_files(spark: SparkSession, text: DataFrame, listing: DataFrame) -> DataFrame:
     """One empty line 1 for each zero-length file.
 
@@ -123,7 +104,7 @@ def _empty_files(spark: SparkSession, text: DataFrame, listing: DataFrame) -> Da
     same path does not return.
     """
     listed = spark.createDataFrame([(p,) for p in text.inputFiles()], "filename string") \
-        .select(_normal_path(F.col("filename")).alias("filename"))
+        .select(_normal_path(_plain_path(F.col("filename"))).alias("filename"))
     nonempty = listing.select(_normal_path(F.col("path")).alias("filename"))
     return (listed.join(nonempty, "filename", "left_anti")
             .select("filename", F.lit(1).alias("line_number"), F.lit("").alias("line")))
@@ -132,17 +113,13 @@ def _empty_files(spark: SparkSession, text: DataFrame, listing: DataFrame) -> Da
 def split_columns(text: DataFrame) -> DataFrame:
     """(filename, _split, _size, line) of a line-reader scan, from its file metadata."""
     return text.select(
-        F.col("_metadata.file_path").alias("filename"),
+        _plain_path(F.col("_metadata.file_path")).alias("filename"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.col("_metadata.file_size").alias("_size"),
         F.col("value").alias("line"),
     )
 
 
-def _split_lines(text: DataFrame) -> DataFrame:
-    return number_split_lines(split_columns(text))[0]
-
-
 def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Number (filename, _split, _size, line) rows as whole-file ``split("\\n")`` would.
 
@@ -184,14 +161,6 @@ def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return numbered.unionByName(tails), splits.filter(F.col("_split") == 0).select("filename")
 
 
-def lines_of_files(files: DataFrame, name_col: str = "filename", text_col: str = "value") -> DataFrame:
-    """Split whole-file texts on ``\\n`` (keeping a trailing empty piece) and number the lines."""
-    return files.select(
-        F.col(name_col).alias("filename"),
-        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"),
-    ).select("filename", (F.col("pos") + 1).cast("int").alias("line_number"), "line")
-
-
 def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = None) -> str:
     """Write (filename, line_number, line) rows as one text file per ``filename``.
 

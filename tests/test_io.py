@@ -44,10 +44,10 @@ def test_read_hour_keeps_trailing_empty_line(spark, tmp_dir):
 
 def test_strict_utf8(spark, tmp_dir):
     write_file(tmp_dir, "2019/01/21/00/a.log", LINE.encode() + b"\n\xff\xfe\n", binary=True)
-    lenient = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
+    lenient = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0), strict_utf8=False)
     assert lenient.count() == 3
-    with pytest.raises(Exception):
-        read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0), strict_utf8=True).collect()
+    with pytest.raises(Exception, match="invalid UTF-8"):
+        read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0)).collect()
 
 
 def pl_rows(spark, times):
@@ -129,6 +129,9 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
         "2019/01/21/00/utf8.log": "café\n中文\nlast",
         "2019/01/21/00/bom.log": "\ufeffa\nb\n",         # byte-order mark kept, as decode("utf-8") does
         "2019/01/21/00/bom_no_nl.log": "\ufeffa\nb",
+        "2019/01/21/00/only_bom.log": "\ufeff",
+        "2019/01/21/00/a b+c%20d.log": "one\ntwo",
+        "2019/01/21/00/empty name.log": "",
     }
     for i in range(3):
         body = "\n".join(LINE if rng.random() < 0.7 else "x" * rng.randint(0, 300) for _ in range(rng.randint(50, 200)))
@@ -138,19 +141,17 @@ def test_split_reader_equals_python_split(spark, tmp_dir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")    # many splits per big file
     try:
-        split = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0), whole_files=False)
-        auto = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
-        auto_rows = {(os.path.basename(r.filename), r.line_number): r.line for r in auto.collect()}
+        split = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
         got = {(os.path.basename(r.filename), r.line_number): r.line for r in split.collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    whole = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0), whole_files=True)
+    whole = read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21, 0))
     want = {}
     for rel, text in contents.items():
         for i, piece in enumerate(text.split("\n")):
             want[(os.path.basename(rel), i + 1)] = piece
     assert got == want
-    assert auto_rows == want
+    assert len(split.select("filename", "line_number").distinct().collect()) == len(want)
     assert {(os.path.basename(r.filename), r.line_number): r.line for r in whole.collect()} == want
 
 
