@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrail.llm import textvec as tv
-from pagetrail.llm.common import Shared, fresh
+from pagetrail.llm.common import Shared, fresh, materialize
 
 #: Labelled rows to learn from, at most.
 SAMPLE = 16_000
@@ -114,17 +114,16 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, slot]), pa.array(np.r_[rows[1], total[1][slot]]), pa.array(np.r_[rows[0], total[0][slot]])], ["slot", "pos", "neg"])
 
     counted = rows.mapInArrow(counts, "slot bigint, pos bigint, neg bigint").groupBy("slot").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    table = counted.where("pos + neg > 2").toPandas()  # 2**HASH_BITS rows at most
-    base = table[table.slot < 0]
-    pos, neg = (int(base[c].iloc[0]) if len(base) else 0 for c in ("pos", "neg"))
+    counted = materialize(counted.where("slot < 0 or pos + neg > 2"), "terms")
+    base = counted.where("slot < 0").first()
+    pos, neg = (base["pos"], base["neg"]) if base else (0, 0)
     if not pos or not neg:
         rate = np.log((pos + 0.5) / (neg + 0.5)) if pos + neg else -10.0
         return Model(np.zeros(0, np.int64), float(rate), np.zeros(0), np.zeros((0, FACTORS)))
-    table = table[table.slot >= 0]
-    p, q = table.pos / pos, table.neg / neg
-    mean = (table.pos + table.neg) / (pos + neg)
-    strength = ((p - q) ** 2 / (mean * (1 - mean) + 1e-9)).to_numpy()
-    slots = np.sort(table.slot.to_numpy()[np.argsort(-strength, kind="stable")[:TERMS]])
+    mean = (F.col("pos") + F.col("neg")) / (pos + neg)
+    strength = F.pow(F.col("pos") / pos - F.col("neg") / neg, F.lit(2)) / (mean * (1 - mean) + 1e-9)
+    best = counted.where("slot >= 0").orderBy(F.desc(strength), "slot").limit(TERMS).select("slot").collect()
+    slots = np.sort(np.array([r["slot"] for r in best], np.int64))
     kept = docs.sparkSession.sparkContext.broadcast(_lookup(slots))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +137,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
                 out += [(label[a + i], term[u:v].astype(np.int32).tobytes(), count[u:v].astype(np.int32).tobytes()) for i, (u, v) in enumerate(zip(cut, cut[1:], strict=False))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], ["toxic", "terms", "counts"])
 
-    found = rows.mapInArrow(sparse, "toxic int, terms binary, counts binary").orderBy("terms", "counts", "toxic").toPandas()  # SAMPLE rows at most
-    term = [np.frombuffer(x, np.int32) for x in found.terms]
-    count = [np.frombuffer(x, np.int32) for x in found.counts]
-    return _train(slots, found.toxic.to_numpy() > 0, term, count)
+    found = sorted(rows.mapInArrow(sparse, "toxic int, terms binary, counts binary").collect())  # SAMPLE rows at most
+    term = [np.frombuffer(r["terms"], np.int32) for r in found]
+    count = [np.frombuffer(r["counts"], np.int32) for r in found]
+    return _train(slots, np.array([r["toxic"] > 0 for r in found]), term, count)
 
 
 def _train(slots: np.ndarray, label: np.ndarray, term: list, count: list, seed: int = 7) -> Model:
