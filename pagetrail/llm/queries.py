@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators and their DuckDB oracles."""
+"""Registered queries of the training-data operators; ``ORACLES`` has the DuckDB SQL of those it can express."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.llm import byte_bpe, decontaminate, fingerprint, html_text, jaccard_join, licences, preferences, sharding, substring_dedup, toxicity
 from pagetrail.llm.common import documents
+from pagetrail.llm.oracles import ORACLES
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +73,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
