@@ -90,3 +90,31 @@ def visitor_previous_visit(page_log: DataFrame, day: date, join_keys=("user_id_u
         "user_id_uuid", "user_id", F.lit(day).alias("ymd"), "has_wallet", "pageviews",
         F.coalesce(F.col("_past"), F.lit(NEVER_VISITED).cast("date")).alias("last_visit"),
     )
+
+
+def visitor_previous_visits(page_log: DataFrame, days: list[date], join_keys=("user_id_uuid",),
+                            history: DataFrame | None = None) -> DataFrame:
+    """:func:`visitor_previous_visit` of several days in one pass over the page log and its history."""
+    cutoffs = {d: d - timedelta(days=2) for d in sorted(set(days))}
+    daily = (_on_day(page_log, lambda d: d.isin([F.lit(x) for x in cutoffs]))
+             .groupBy("user_id_uuid", "user_id", _day_of().alias("ymd"))
+             .agg(F.bool_or(F.col("has_wallet")).alias("has_wallet"), F.count(F.lit(1)).alias("pageviews")))
+    last = max(cutoffs.values())
+    if history is not None:
+        visits = history.select("user_id_uuid", "user_id", F.col("ymd").alias("_d")).filter(F.col("_d") <= F.lit(last))
+    else:
+        visits = _on_day(page_log, lambda d: d <= F.lit(last)).select("user_id_uuid", "user_id", _day_of().alias("_d"))
+    # one aggregate over the history gives the latest visit before each day's cut-off
+    latest = [F.max(F.when(F.col("_d") <= F.lit(c), F.col("_d"))).alias(f"_past_{i}") for i, c in enumerate(cutoffs.values())]
+    per_day = F.array(*[F.struct(F.lit(d).alias("ymd"), F.col(f"_past_{i}").alias("past")) for i, d in enumerate(cutoffs)])
+    past = (visits.groupBy("user_id_uuid", "user_id").agg(*latest)
+            .select(*[F.col(k).alias("_p_" + k) for k in join_keys], F.explode(per_day).alias("_p"))
+            .select(*["_p_" + k for k in join_keys], F.col("_p.ymd").alias("_p_ymd"), F.col("_p.past").alias("_past"))
+            .filter(F.col("_past").isNotNull()))
+    cond = F.col("ymd") == F.col("_p_ymd")
+    for k in join_keys:
+        cond = cond & (F.col(k) == F.col("_p_" + k))
+    return daily.join(past, on=cond, how="left").select(
+        "user_id_uuid", "user_id", "ymd", "has_wallet", "pageviews",
+        F.coalesce(F.col("_past"), F.lit(NEVER_VISITED).cast("date")).alias("last_visit"),
+    )

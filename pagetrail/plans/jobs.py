@@ -43,9 +43,10 @@ def ingest_hour(spark: SparkSession, logs_root: str, warehouse: str, hour: datet
         good = parse.good_rows(parsed, strict=strict)
         tables.write_raw_hours(good, f"{warehouse}/raw_logs", [hour])
         tables.write_ingest_hour(parse.rejected_rows(parsed), f"{warehouse}/rejected_lines", hour, sort_by=None)
-        if mode == HOURLY:
-            tables.write_ingest_hour(quality.failure_samples(parsed), f"{warehouse}/raw_regex_failure_lines", hour,
-                                     sort_by=None)
+        samples = quality.failure_samples(parsed)
+        if mode != HOURLY:  # the backfill keeps none, and none of an earlier load may stay
+            samples = samples.limit(0)
+        tables.write_ingest_hour(samples, f"{warehouse}/raw_regex_failure_lines", hour, sort_by=None)
         path = tables.write_ingest_hour(quality.file_quality(parsed), f"{warehouse}/files_processed", hour,
                                         sort_by=None)
         return spark.read.parquet(path).drop("row_added")
@@ -73,6 +74,8 @@ def ingest_day(spark: SparkSession, logs_root: str, warehouse: str, day: date, m
         tables.write_ingest_hours(parsed.filter(F.col("outcome") == REJECTED)
                                   .select("filename", "line_number", "line", "_ingest_hour"),
                                   f"{warehouse}/rejected_lines", hours, sort_by=None)
+        none = quality.failure_samples(parsed).limit(0).withColumn("_ingest_hour", F.lit(None).cast("timestamp_ntz"))
+        tables.write_ingest_hours(none, f"{warehouse}/raw_regex_failure_lines", hours, sort_by=None)
         per_file = parsed.groupBy("filename", "_ingest_hour").agg(
             F.count(F.lit(1)).alias("file_line_count"),
             F.count_if(F.col("outcome") == BAD).alias("file_bad_lines"),
@@ -125,6 +128,13 @@ def visitor_run(spark: SparkSession, warehouse: str, day: date, use_history: boo
     tables.write_slice(out, f"{warehouse}/agg_visitor_previous_visit", day)
 
 
+def visitor_days_run(spark: SparkSession, warehouse: str, days: list[date]) -> None:
+    """Replace the slices of several days, from one pass over the page log."""
+    page_log = tables.read_table(spark, f"{warehouse}/user_page_log", "event_date DATE, event_hour INT",
+                                 tables.PAGE_LOG_DDL).drop("row_added", "event_hour")
+    tables.write_slices(visitors.visitor_previous_visits(page_log, days), f"{warehouse}/agg_visitor_previous_visit", days)
+
+
 def snapshot_run(spark: SparkSession, warehouse: str, bounties: DataFrame, ds: date) -> None:
     """Replace the ``ymd = ds`` slice of ``agg_bounty_snapshot``."""
     tables.write_slice(snapshot.bounty_snapshot(bounties, ds), f"{warehouse}/agg_bounty_snapshot", ds)
@@ -163,8 +173,7 @@ def reprocess(spark: SparkSession, logs_root: str, warehouse: str, blacklist: Da
         through = max(done or touched[-1], touched[-1])
     first_past = touched[0] + timedelta(days=2)
     later = [first_past + timedelta(days=i) for i in range(max(0, (through - first_past).days + 1))]
-    for day in sorted(set(touched) | set(later)):
-        visitor_run(spark, warehouse, day)
+    visitor_days_run(spark, warehouse, sorted(set(touched) | set(later)))
     if bounties is not None:
         for day in touched:
             snapshot_run(spark, warehouse, bounties, day)

@@ -196,6 +196,12 @@ def q_visitor_previous_visit_strict(spark, sf):
     return visitors.visitor_previous_visit(_page_log(spark, sf), VISIT_DAY, join_keys=("user_id_uuid", "user_id"))
 
 
+@register("visitor_previous_visits_of_days", " UNION ALL ".join(f"SELECT * FROM ({_visitor_sql(d)})" for d in (PREV_DAY, VISIT_DAY)))
+def q_visitor_previous_visits_of_days(spark, sf):
+    """Several days in one pass."""
+    return visitors.visitor_previous_visits(_page_log(spark, sf), [PREV_DAY, VISIT_DAY])
+
+
 @register("visitor_daily_pageviews", _daily_sql(VISIT_DAY))
 def q_visitor_daily_pageviews(spark, sf):
     return visitors.daily_pageviews(_page_log(spark, sf), VISIT_DAY)

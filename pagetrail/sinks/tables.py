@@ -157,6 +157,11 @@ def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:
     return path
 
 
+def write_slices(rows: DataFrame, root: str, days: list[date], col: str = "ymd") -> None:
+    """SNK6-7 / SNK11 for several days: replace their slices in one job."""
+    _replace(rows, root, [col], [f"{root}/{col}={d:%Y-%m-%d}" for d in days])
+
+
 # Stored schemas (without partition columns), used to read tables that have no files yet.
 RAW_LOGS_DDL = ("pid INT, ip STRING, num_request_variables INT, packet_size INT, time_received TIMESTAMP_NTZ, "
                 "http_method STRING, uri STRING, response_size INT, http_status INT, num_headers INT, "

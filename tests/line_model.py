@@ -156,7 +156,7 @@ def _json_str(s: str) -> str:
             out.append("\\n")
         elif ch == "\t":
             out.append("\\t")
-        elif ord(ch) > 126 and random.random() < 0.5:
+        elif ord(ch) > 126 and ord(ch) % 2:
             out.append("\\u%04x" % ord(ch))
         else:
             out.append(ch)
