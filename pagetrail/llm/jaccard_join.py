@@ -46,7 +46,7 @@ BLOCK = 2048
 #: The most frequent shingles that are moved to the end of the list order; a bound on what is
 #: broadcast. Any set gives right results, since every document uses the same order.
 FREQUENT = 65536
-SIGNATURE_BITS = 256
+SIGNATURE_BITS = 1024
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -185,12 +185,14 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
 
         pdf = pdf.sort_values("doc_id", ignore_index=True)
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64)
-        n, comp, doc, block = (pdf[c].to_numpy() for c in ("n", "component", "doc_id", "block"))
+        n, comp, doc, block, lists = (pdf[c].to_numpy() for c in ("n", "component", "doc_id", "block", "lists"))
         a, b = [], []
         for i in np.flatnonzero(block == key[1]):
             other = np.flatnonzero((block == key[2]) & (comp != comp[i]) & ((doc > doc[i]) | (key[1] != key[2])))
             apart = np.bitwise_count(sig[other] ^ sig[i]).sum(1, dtype=np.int64)
             hit = other[_may_link(n[i], n[other], apart, percent)]
+            # a pair that shares several of these lists is handled in the first one
+            hit = np.array([x for x in hit if np.intersect1d(lists[i], lists[x], assume_unique=True)[0] == key[0]], np.int64)
             a.append(np.full(len(hit), doc[i]))
             b.append(doc[hit])
         empty = np.zeros(0, np.int64)
@@ -199,7 +201,7 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
 
     cut = rows.withColumn("of", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("of")).cast("int"))
     pairs = F.expr("transform(sequence(0, of - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))")
-    cut = cut.withColumn("ij", F.explode(pairs)).select("h", "ij.i", "ij.j", "block", "doc_id", "n", "component", "sig")
+    cut = cut.withColumn("ij", F.explode(pairs)).select("h", "ij.i", "ij.j", "block", "doc_id", "n", "component", "sig", "lists")
     return cut.groupBy("h", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
@@ -239,6 +241,7 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
     named = long.join(found, F.col("doc_id") == F.col("node"), "left").select("h", "c", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
     open_lists = named.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
     rest = materialize(named.join(open_lists, "h", "left_semi").join(classes.select("doc_id", "sig"), "doc_id"), "rest")
+    rest = rest.join(rest.groupBy("doc_id").agg(F.collect_set("h").alias("lists")), "doc_id")
     if rest.take(1):
         more = _verified(_blocks(rest, percent), classes, docs, k, percent)
         links = links.unionByName(more)
