@@ -54,15 +54,22 @@ class _Totals:
     def __init__(self, groups: DataFrame, total: int) -> None:
         self.groups = groups
         self.least, self.most, self.count = [], [], []
-        self.learn([(0, total)])
-
-    def learn(self, ranges: list[tuple[int, int]]) -> None:
-        """Replace what is known of the ranges (low, high] by finer stretches: one aggregation job."""
-        width = max(1, -(-sum(high - low for low, high in ranges) // STRETCHES))
-        stretch = F.coalesce(*[F.when((F.col("total") > low) & (F.col("total") <= high), F.struct(F.lit(i).alias("r"), F.floor((F.col("total") - low - 1) / width).alias("s"))) for i, (low, high) in enumerate(ranges)])
-        inside = " or ".join(f"(total > {low} and total <= {high})" for low, high in ranges)
+        self.learn([(0, total, 1)])
+
+    def learn(self, ranges: list[tuple[int, int, int]]) -> None:
+        """Replace what is known of the ranges (low, high] by finer stretches: one aggregation job.
+
+        Each range comes with the number of its stretches, of which there are at least twice as many afterwards.
+        """
+        number = []
+        for i, (low, high, now) in enumerate(ranges):
+            width = max(1, -(-(high - low) // max(2 * now, STRETCHES // len(ranges))))
+            place = F.struct(F.lit(i).alias("range"), F.floor((F.col("total") - low - 1) / width).alias("stretch"))
+            number.append(F.when((F.col("total") > low) & (F.col("total") <= high), place))
+        stretch = F.coalesce(*number)
+        inside = " or ".join(f"(total > {low} and total <= {high})" for low, high, _ in ranges)
         found = self.groups.where(inside).groupBy(stretch.alias("at")).agg(F.min("total").alias("least"), F.max("total").alias("most"), F.count("*").alias("n")).collect()
-        kept = [x for x in zip(self.least, self.most, self.count, strict=True) if not any(low < x[1] <= high for low, high in ranges)]
+        kept = [x for x in zip(self.least, self.most, self.count, strict=True) if not any(low < x[1] <= high for low, high, _ in ranges)]
         kept = sorted(kept + [(r["least"], r["most"], r["n"]) for r in found])
         self.least, self.most, self.count = ([x[i] for x in kept] for i in range(3))
 
@@ -119,12 +126,12 @@ def minimax_cuts(groups: DataFrame, shards: int) -> list[int]:
             vague |= {(known.least[k] - 1, known.most[k]) for k in range(max(i, 0), j + 1) if known.count[k] > 2}
         if not vague:
             return known.fill(high, shards, False)[1:]
-        ranges: list[tuple[int, int]] = []
+        ranges: list[tuple[int, int, int]] = []
         for u, v in sorted(vague):  # neighbouring stretches become one range
             if ranges and not known.between(ranges[-1][1], u):
-                ranges[-1] = (ranges[-1][0], v)
+                ranges[-1] = (ranges[-1][0], v, ranges[-1][2] + 1)
             else:
-                ranges.append((u, v))
+                ranges.append((u, v, 1))
         known.learn(ranges)
 
 
