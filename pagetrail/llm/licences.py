@@ -76,7 +76,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
     """
     known = [(name, b) for name, texts in sorted(templates.items()) for b in map(bigrams, texts) if b]
     vocabulary = sorted({w for _, b in known for x in b for w in x.split(" ")})
-    most = (2 - threshold) / threshold
+    most = (2 - threshold) / threshold * (1 + 1e-9)  # a bound met exactly must not fail by rounding
     longest = most * max(len(b) for _, b in known)
     text = F.col("text").cast("string")
     cut = lambda kind, pattern: F.transform(F.split(text, pattern), lambda x, i: F.struct(F.lit(kind).alias("unit"), (i + 1).alias("unit_no"), x.alias("part")))
