@@ -20,7 +20,7 @@ sys.path.insert(0, ROOT)
 
 
 def final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # runs this very query, whose adaptive plan is then final
     text = df._jdf.queryExecution().executedPlan().toString()
     # control characters of the pattern literals, shown escaped
     return "".join(c if c == "\n" or c.isprintable() else f"\\u{ord(c):04x}" for c in text)
