@@ -28,12 +28,12 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagetrail.llm.common import materialize
+from pagetrail.llm.common import lean, materialize
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 20 << 20
 #: Words a bucket's task remembers at most before it forgets and encodes anew.
 REMEMBERED = 1_000_000
 
@@ -44,22 +44,41 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+#: Numbers below ``_SHORT`` take one byte, those below ``_MIDDLE`` two, others four.
+_SHORT, _LEADS = 200, 55
+_MIDDLE = _SHORT + 256 * _LEADS
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned integers as one compressed blob, byte plane by byte plane (high bytes are mostly 0)."""
+    """Arrays of unsigned integers, mostly small, as one compressed blob: lead bytes, then the second and further ones."""
     parts = [np.array([len(arrays), *(len(a) for a in arrays)], np.uint32).tobytes()]
-    parts += [np.ascontiguousarray(a.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    for a in arrays:
+        a = a.astype(np.uint32)
+        lead = np.where(a < _SHORT, a, _SHORT + (a - _SHORT) // 256)
+        parts.append(np.where(a < _MIDDLE, lead, 255).astype(np.uint8).tobytes())
+        parts.append(((a[(a >= _SHORT) & (a < _MIDDLE)] - _SHORT) & 255).astype(np.uint8).tobytes())
+        rest = a[a >= _MIDDLE] - _MIDDLE
+        parts += [(rest >> s & 255).astype(np.uint8).tobytes() for s in (0, 8, 16, 24)]
+    return zstandard.ZstdCompressor(level=7).compress(b"".join(parts))
 
 
 def _unpack(blob: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    count = int(np.frombuffer(raw, np.uint32, 1)[0])
-    sizes = np.frombuffer(raw, np.uint32, count, 4)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    count = int(raw[:4].view(np.uint32)[0])
+    sizes = raw[4 : 4 * (count + 1)].view(np.uint32)
     at, out = 4 * (count + 1), []
     for n in sizes.tolist():
-        planes = np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n)
-        out.append(np.ascontiguousarray(planes.T).view(np.uint32).ravel())
-        at += 4 * n
+        lead = raw[at : at + n]
+        at += n
+        a = lead.astype(np.uint32)
+        middle, far = np.flatnonzero((lead >= _SHORT) & (lead < 255)), np.flatnonzero(lead == 255)
+        a[middle] = _SHORT + (a[middle] - _SHORT) * 256 + raw[at : at + len(middle)]
+        at += len(middle)
+        a[far] = _MIDDLE
+        for s in (0, 8, 16, 24):
+            a[far] += raw[at : at + len(far)].astype(np.uint32) << np.uint32(s)
+            at += len(far)
+        out.append(a)
     return out
 
 
@@ -71,12 +90,14 @@ def _chunks(pattern: str, buckets: int):
         number, part = 0, TaskContext.get().partitionId()
 
         def closed() -> pa.RecordBatch:
-            words = list(index)
+            words = sorted(index)
+            first = np.fromiter((index[w] for w in words), np.int64, len(words))
             flat = np.concatenate([np.zeros(0, np.uint32), *positions])
-            # the most frequent words get the smallest numbers, which pack best
-            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+            positions.clear()
+            # the most frequent words get the smallest numbers, equally frequent ones in order: both pack best
+            order = np.argsort(-np.bincount(flat, minlength=len(words))[first], kind="stable")
             rank = np.empty(len(words), np.uint32)
-            rank[order] = np.arange(len(words), dtype=np.uint32)
+            rank[first[order]] = np.arange(len(words), dtype=np.uint32)
             encoded = [words[i].encode() for i in order]
             bucket = np.array([zlib.crc32(w) % buckets for w in encoded], np.uint32)
             chunk = part << 24 | number
@@ -87,15 +108,15 @@ def _chunks(pattern: str, buckets: int):
                 if cut[b] < cut[b + 1]:
                     own = [encoded[i] for i in by[cut[b] : cut[b + 1]]]
                     sizes = np.array([len(w) for w in own], np.uint32)
-                    rows.append((chunk, b, zstandard.ZstdCompressor(level=3).compress(np.uint32(len(own)).tobytes() + sizes.tobytes() + b"".join(own)), None))
+                    rows.append((chunk, b, zstandard.ZstdCompressor(level=7).compress(np.uint32(len(own)).tobytes() + sizes.tobytes() + b"".join(own)), None))
             kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
             return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(4)], ["chunk", "bucket", "blob", "doc_ids"])
 
         index: dict[str, int] = {}
         positions, counts, ids, size = [], [], [], 0
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = text.as_py() or ""
+            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+                doc, text = doc.as_py(), text.as_py() or ""
                 if ids and size + len(text) > CHUNK_BYTES:
                     yield closed()
                     number += 1
@@ -160,17 +181,18 @@ def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts[at] = base + np.cumsum(n) - n
                 tokens.append(own)
                 base += len(own)
-            tokens = np.concatenate([np.zeros(0, np.uint32), *tokens]).astype(np.int32)
+            tokens = np.concatenate([np.zeros(0, np.uint32), *tokens]).view(np.int32)
             ends = np.cumsum(counts).astype(np.int64)
             begins = ends - counts
-            per_doc = np.add.reduceat(np.r_[sizes[flat], 0], np.minimum(begins, len(flat))) * (counts > 0) if len(counts) else counts
             a = 0
             while a < len(ids):
-                b = max(a + 1, int(np.searchsorted(np.cumsum(per_doc[a:]), _BATCH_IDS, "right")) + a)
+                b = max(a + 1, int(np.searchsorted(ends, begins[a] + _BATCH_IDS // 4, "right")))
                 words = flat[begins[a] : ends[b - 1]]
+                stop = np.cumsum(sizes[words])
                 n = sizes[words]
-                place = np.repeat(starts[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(per_doc[a:b])], pa.int32()), pa.array(tokens[place]))
+                place = np.repeat(starts[words] - (stop - n), n) + np.arange(n.sum())
+                bounds = np.r_[0, stop][np.r_[begins[a], ends[a:b]] - begins[a]]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(tokens[place]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), lists], ["doc_id", "ids"])
                 a = b
 
@@ -184,12 +206,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranks = spark.sparkContext.broadcast(read_ranks(spark, path))
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    chunks = materialize(docs.mapInArrow(_chunks(pattern, buckets), "chunk bigint, bucket int, blob binary, doc_ids array<bigint>"), "chunks")
+    chunks = materialize(docs.mapInArrow(lean(_chunks(pattern, buckets)), "chunk bigint, bucket int, blob binary, doc_ids array<bigint>"), "chunks")
     words = chunks.where("bucket >= 0").select("chunk", "bucket", "blob").repartition(buckets, "bucket")
-    ids = words.mapInArrow(_encoded(pattern, ranks), "chunk bigint, bucket int, ids binary")
+    ids = words.mapInArrow(lean(_encoded(pattern, ranks)), "chunk bigint, bucket int, ids binary")
     ids = ids.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ids")).alias("words"))
     whole = chunks.where("bucket = -1").join(ids, "chunk", "left").select("doc_ids", "blob", F.coalesce("words", F.array()).alias("words"))
-    return whole.mapInArrow(_reassembled, "doc_id bigint, ids array<int>")
+    return whole.mapInArrow(lean(_reassembled), "doc_id bigint, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -208,15 +230,31 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             lists = batch.column(1)
             at = lists.offsets.to_numpy().astype(np.int64)
             tokens = lists.values.to_numpy()[at[0] : at[-1]]
-            n = sizes[tokens]
-            if (n == 0).any():
-                raise ValueError(f"no token has the id {int(tokens[n == 0][0])}")
-            ends = np.r_[0, np.cumsum(n)]
-            raw = data[np.repeat(starts[tokens] - ends[:-1], n) + np.arange(ends[-1])]
-            bounds = ends[at - at[0]]
-            out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(raw.tobytes())])
+            at -= at[0]
+            bounds, pieces, done = np.zeros(len(at), np.int32), [], 0
+            for u in range(0, len(tokens), _BATCH_IDS // 4):
+                some = tokens[u : u + _BATCH_IDS // 4]
+                n = sizes[some]
+                if (n == 0).any():
+                    raise ValueError(f"no token has the id {int(some[n == 0][0])}")
+                stop = np.cumsum(n)
+                pieces.append(data[np.repeat(starts[some] - (stop - n), n) + np.arange(stop[-1])].tobytes())
+                i, j = np.searchsorted(at, u, "right"), np.searchsorted(at, u + len(some), "right")
+                bounds[i:j] = done + stop[at[i:j] - u - 1]  # documents that end within this stretch of ids
+                done += int(stop[-1])
+            raw = b"".join(pieces)
+            out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(bounds), pa.py_buffer(raw)])
             if lists.null_count:
                 out = pa.array([None if null else x for null, x in zip(lists.is_null().to_pylist(), out.to_pylist(), strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, out], ["doc_id", "ids", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(decoded, "doc_id bigint, ids array<int>, bytes binary")
+    return encoded.select("doc_id", "ids").mapInArrow(lean(decoded), "doc_id bigint, ids array<int>, bytes binary")
+
+
+def digests() -> list[Column]:
+    """Columns on ``decode``'s rows: number of ids, digests of the ids (decimal, joined by commas) and of the decoded bytes."""
+    return [
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    ]

@@ -6,9 +6,14 @@ which every executor shares, so a lost executor costs at most a re-read.
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,3 +60,21 @@ class Shared:
     @property
     def value(self) -> object:
         return cloudpickle.loads(self._pickled.value)
+
+
+def lean(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``function`` over Arrow batches that gives memory back when its task ends.
+
+    Python workers are kept for later tasks, and would keep what this one had needed.
+    """
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return run
