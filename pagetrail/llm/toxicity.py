@@ -10,7 +10,7 @@ a harmless word that is harmful beside another one.
 
 Fitting: labels are taken from at most ``SAMPLE`` labelled rows (the smallest hashes
 of their ids, so the choice does not depend on the data's order); the ``TERMS`` terms
-that tell the classes apart best (chi-squared over these rows) are kept; the driver
+that tell the classes apart best (chi-squared over these rows, beyond chance) are kept; the driver
 then holds only these rows' kept terms, at most ``SAMPLE`` short sparse rows. Scoring
 covers all rows and whole texts, with the fitted weights as a broadcast of fixed size.
 
@@ -31,11 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagetrail.llm import textvec as tv
-from pagetrail.llm.common import Shared, fresh, materialize
+from pagetrail.llm.common import Shared, fresh, lean, materialize
 
 #: Labelled rows to learn from, at most.
 SAMPLE = 16_000
 TERMS = 4096
+#: Chi-squared below which a term's difference between the classes counts as chance (one in a hundred).
+CHANCE = 6.63
 HASH_BITS = 20
 STEMS = (4, 5, 6)
 FACTORS = 8
@@ -113,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         slot = np.flatnonzero(total.sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, slot]), pa.array(np.r_[rows[1], total[1][slot]]), pa.array(np.r_[rows[0], total[0][slot]])], ["slot", "pos", "neg"])
 
-    counted = rows.mapInArrow(counts, "slot bigint, pos bigint, neg bigint").groupBy("slot").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = rows.mapInArrow(lean(counts), "slot bigint, pos bigint, neg bigint").groupBy("slot").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     counted = materialize(counted.where("slot < 0 or pos + neg > 2"), "terms")
     base = counted.where("slot < 0").first()
     pos, neg = (base["pos"], base["neg"]) if base else (0, 0)
@@ -122,7 +124,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
         return Model(np.zeros(0, np.int64), float(rate), np.zeros(0), np.zeros((0, FACTORS)))
     mean = (F.col("pos") + F.col("neg")) / (pos + neg)
     strength = F.pow(F.col("pos") / pos - F.col("neg") / neg, F.lit(2)) / (mean * (1 - mean) + 1e-9)
-    best = counted.where("slot >= 0").orderBy(F.desc(strength), "slot").limit(TERMS).select("slot").collect()
+    chi_squared = strength * (pos * neg / (pos + neg))
+    best = counted.where("slot >= 0").where(chi_squared >= CHANCE).orderBy(F.desc(strength), "slot").limit(TERMS).select("slot").collect()
     slots = np.sort(np.array([r["slot"] for r in best], np.int64))
     kept = docs.sparkSession.sparkContext.broadcast(_lookup(slots))
 
@@ -137,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column) -> Model:
                 out += [(label[a + i], term[u:v].astype(np.int32).tobytes(), count[u:v].astype(np.int32).tobytes()) for i, (u, v) in enumerate(zip(cut, cut[1:], strict=False))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in (1, 2))], ["toxic", "terms", "counts"])
 
-    found = sorted(rows.mapInArrow(sparse, "toxic int, terms binary, counts binary").collect())  # SAMPLE rows at most
+    found = sorted(rows.mapInArrow(lean(sparse), "toxic int, terms binary, counts binary").collect())  # SAMPLE rows at most
     term = [np.frombuffer(r["terms"], np.int32) for r in found]
     count = [np.frombuffer(r["counts"], np.int32) for r in found]
     return _train(slots, np.array([r["toxic"] > 0 for r in found]), term, count)
@@ -190,7 +193,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(out))], [*batch.schema.names[:-1], name])
 
     rows = docs.select(*keep, F.col("text").cast("string").alias(fresh(docs, "text_")))
-    return rows.mapInArrow(scored, T.StructType([*rows.schema.fields[:-1], T.StructField(name, T.DoubleType())]))
+    return rows.mapInArrow(lean(scored), T.StructType([*rows.schema.fields[:-1], T.StructField(name, T.DoubleType())]))
 
 
 def held_out() -> Column:
