@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm import textvec as tv
-from pagetrail.llm.common import Shared
+from pagetrail.llm.common import Shared, lean
 
 REPEATS = 6
 STEPS = 20
@@ -204,7 +204,7 @@ def _leaks(docs: DataFrame, items: list, similarity: float) -> DataFrame:
                         rows.append((ids[a + d], index.item_ids[i], lo + end, edits, int(index.size[i])))
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(5)], _LEAK)
 
-    return docs.mapInArrow(scan, ", ".join(f"{c} bigint" for c in _LEAK))
+    return docs.mapInArrow(lean(scan), ", ".join(f"{c} bigint" for c in _LEAK))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm import textvec as tv
+from pagetrail.llm.common import lean
 
 BUCKETS = 1024
 REACH = (0, 5, 11)
@@ -109,4 +110,4 @@ def neighbours(docs: DataFrame) -> DataFrame:
     guests = guests.select("part", F.lit(True).alias("guest"), "doc_id", F.col("t.text").alias("text"))
     rows = docs.select("part", F.lit(False).alias("guest"), "doc_id", "text").unionByName(guests)
     rows = rows.repartition(parts, "part").sortWithinPartitions("part", "guest", F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-    return rows.mapInArrow(_compare, _RESULT)
+    return rows.mapInArrow(lean(_compare), _RESULT)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagetrail.llm.common import lean
+
 #: Elements without content, those whose content is no text, those that never hold the article, those within a line.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math canvas object audio video select button head".split())
@@ -179,4 +181,4 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) of every row of ``pages`` (page_id, url, html)."""
     pages = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return pages.mapInArrow(_extract, "page_id bigint, url string, text string")
+    return pages.mapInArrow(lean(_extract), "page_id bigint, url string, text string")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagetrail.llm import textvec as tv
-from pagetrail.llm.common import materialize
+from pagetrail.llm.common import lean, materialize
 from pagetrail.llm.components import components
 
 #: Lists longer than this are not expanded into pairs.
@@ -85,7 +85,7 @@ def _frequent(docs: DataFrame, k: int, percent: int) -> np.ndarray:
             if out:
                 yield pa.RecordBatch.from_arrays([tv.signed(np.concatenate(out))], ["h"])
 
-    counts = docs.select("text").mapInArrow(first, "h bigint").groupBy("h").count().where(F.col("count") > LIST)
+    counts = docs.select("text").mapInArrow(lean(first), "h bigint").groupBy("h").count().where(F.col("count") > LIST)
     top = counts.orderBy(F.desc("count"), "h").limit(FREQUENT).select("h", "count").collect()
     return np.array([(r["h"], r["count"]) for r in top], np.int64).reshape(-1, 2)
 
@@ -122,7 +122,7 @@ def _profiles(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Da
                 ["doc_id", "n", "key", "sig", "short"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(profile, "doc_id bigint, n bigint, key bigint, sig binary, short array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(lean(profile), "doc_id bigint, n bigint, key bigint, sig binary, short array<bigint>")
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], ["a", "b"])
 
     left = pairs.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b")
-    left = materialize(left.mapInArrow(near, "a bigint, b bigint"), "near")
+    left = materialize(left.mapInArrow(lean(near), "a bigint, b bigint"), "near")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +169,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     text = docs.select("doc_id", "text")
     both = left.join(text.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(text.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(probe, "a bigint, b bigint"), "verified")
+    return materialize(both.select("a", "b", "text_a", "text_b").mapInArrow(lean(probe), "a bigint, b bigint"), "verified")
 
 
 def _may_link(n: np.ndarray, m: np.ndarray, apart: np.ndarray, percent: int) -> np.ndarray:
@@ -228,7 +228,7 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
         f" and {100 + percent} * least(x.n - x.i, q.n - q.i) >= {percent} * (x.n + q.n)), x -> x.doc_id)"
     )
     merged = lists.select("members", F.explode("members").alias("q")).select(F.col("q.doc_id").alias("a"), F.array_sort(F.expr(partner)).alias("partners")).where("size(partners) > 0")
-    merged = merged.groupBy("a").agg(F.collect_list("partners").alias("lists")).mapInArrow(_merge, "a bigint, b bigint")
+    merged = merged.groupBy("a").agg(F.collect_list("partners").alias("lists")).mapInArrow(lean(_merge), "a bigint, b bigint")
 
     long = shared.where(F.col("c") > LIST)
     hubs = long.groupBy("h").agg(F.min(F.struct(F.xxhash64("doc_id", "h").alias("r"), F.col("doc_id").alias("hub"), F.col("n").alias("n_hub"))).alias("s")).select("h", "s.hub", "s.n_hub")
