@@ -186,13 +186,20 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
         pdf = pdf.sort_values("doc_id", ignore_index=True)
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64)
         n, comp, doc, block, lists = (pdf[c].to_numpy() for c in ("n", "component", "doc_id", "block", "lists"))
+        known = [np.asarray(x, np.int64) for x in lists]
+        known = [x[x < key[0]] for x in known]
+        ids = np.unique(np.concatenate([np.zeros(1, np.int64), *known]))
+        member = np.zeros((len(pdf), len(ids)), bool)
+        for i, x in enumerate(known):
+            member[i, np.searchsorted(ids, x)] = True
+        earlier = np.packbits(member, axis=1)
         a, b = [], []
         for i in np.flatnonzero(block == key[1]):
             other = np.flatnonzero((block == key[2]) & (comp != comp[i]) & ((doc > doc[i]) | (key[1] != key[2])))
             apart = np.bitwise_count(sig[other] ^ sig[i]).sum(1, dtype=np.int64)
             hit = other[_may_link(n[i], n[other], apart, percent)]
             # a pair that shares several of these lists is handled in the first one
-            hit = np.array([x for x in hit if np.intersect1d(lists[i], lists[x], assume_unique=True)[0] == key[0]], np.int64)
+            hit = hit[~(earlier[hit] & earlier[i]).any(1)]
             a.append(np.full(len(hit), doc[i]))
             b.append(doc[hit])
         empty = np.zeros(0, np.int64)
