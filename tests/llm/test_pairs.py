@@ -126,6 +126,26 @@ def test_passages_are_found_and_cut(spark):
     assert substring_dedup.passages(table(spark, [])).count() == 0
 
 
+def test_passages_of_lines_that_earlier_documents_hold_singly(spark):
+    rng = random.Random(8)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    lines = [text(15) for _ in range(6)]
+    rows = [(i, " ".join(text(40) + line + text(40))) for i, line in enumerate(lines)]
+    passage = [w for line in lines for w in line]
+    rows += [(50, " ".join(text(30) + passage + text(60))), (90, " ".join(text(70) + passage + text(20)))]
+    got = {(r.start_word, r.end_word) for r in substring_dedup.passages(table(spark, rows)).collect() if (r.doc_id, r.first_doc_id) == (90, 50)}
+    assert (70, 160) in got
+
+
+def test_passages_repeated_in_one_document(spark):
+    rng = random.Random(9)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    passage = text(60)
+    rows = [(5, " ".join(text(30) + passage + text(30))), (9, " ".join(text(20) + passage + text(100) + passage + text(20)))]
+    got = {(r.start_word, r.end_word) for r in substring_dedup.passages(table(spark, rows)).collect()}
+    assert got == {(20, 80), (180, 240)}
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
