@@ -146,6 +146,24 @@ def test_passages_repeated_in_one_document(spark):
     assert got == {(20, 80), (180, 240)}
 
 
+def test_passage_survives_a_common_line_after_it(spark):
+    rng = random.Random(10)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    passage, line = text(50), text(16)
+    rows = [(d, " ".join(text(40) + line + text(20) + passage + text(20) + line + text(40))) for d in (5, 9)]
+    got = {(r.start_word, r.end_word, r.distance) for r in substring_dedup.passages(table(spark, rows)).collect()}
+    assert got == {(76, 126, 0)}
+
+
+def test_steps_are_a_best_alignment():
+    rng = np.random.default_rng(2)
+    for n in [*range(30), 150, 300]:
+        a, b = (rng.integers(0, 4, n + rng.integers(0, 9)).astype(np.uint32) for _ in range(2))
+        ops = substring_dedup.steps(a, b)
+        assert (ops != substring_dedup.ONLY_B).sum() == len(a) and (ops != substring_dedup.ONLY_A).sum() == len(b)
+        assert (ops != substring_dedup.MATCH).sum() == edits(a.tolist(), b.tolist())
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
