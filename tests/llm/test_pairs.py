@@ -164,6 +164,26 @@ def test_steps_are_a_best_alignment():
         assert (ops != substring_dedup.MATCH).sum() == edits(a.tolist(), b.tolist())
 
 
+def test_recall_of_fuzzy_passages(spark):
+    rng = random.Random(12)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    rows, cases = [], [(60, 8), (60, 7), (60, 6), (120, 6), (61, 5), (60, 0)]
+    for case, (size, every) in enumerate(cases):
+        for n in range(60):
+            passage = text(size)
+            changed = set(range(every - 1, size, every)) if every else set(rng.sample(range(1, size - 1), size // 6))
+            edited = [text(1)[0] if i in changed else w for i, w in enumerate(passage)]
+            d = 1000 * case + 2 * n
+            rows += [(d, " ".join(text(80) + passage + text(80))), (d + 1, " ".join(text(60) + edited + text(90)))]
+    got = {}
+    for r in substring_dedup.passages(table(spark, rows)).collect():
+        assert r.first_doc_id == r.doc_id - 1 and r.similarity >= 0.8
+        got.setdefault(r.doc_id // 1000, set()).add(r.doc_id)
+    recall = {case: len(got.get(i, ())) / 60 for i, case in enumerate(cases)}
+    print("recall", recall)
+    assert min(recall.values()) >= 0.95, recall
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
