@@ -18,7 +18,10 @@ occur in one of them. So:
    from below. Both steps are exact: no partner is lost;
 5. every remaining pair is verified by binary probes of the sorted shingles, from
    the whole texts;
-6. links become components.
+6. links become components;
+7. links within long lists that step 4 need not look for are counted once the
+   components are known: the classes of a component that has a long list are compared
+   block against block, and each block pair gives one count per class, never its pairs.
 
 Rows with equal sets are in one component, except empty sets, which are linked
 with nothing. A null text counts as empty. Rows with a null id are kept, with the
@@ -47,6 +50,8 @@ BLOCK = 2048
 #: broadcast. Any set gives right results, since every document uses the same order.
 FREQUENT = 65536
 SIGNATURE_BITS = 1024
+#: Classes of a block when the links within a component are counted.
+COUNT_BLOCK = 256
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -212,11 +217,58 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
     return cut.groupBy("h", "i", "j").applyInPandas(compare, "a bigint, b bigint")
 
 
+def _counts(k: int, percent: int):
+    """Links of each class within one pair of blocks of a component, from the whole sets."""
+
+    def count(key: tuple, pdf):
+        import pandas as pd
+
+        block, doc = pdf["block"].to_numpy(), pdf["doc_id"].to_numpy()
+        sets = [s for _, s in _sets(pa.RecordBatch.from_arrays([pa.array(pdf["text"], pa.string())], ["text"]), k)]
+        n = np.array([len(s) for s in sets], np.int64)
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(-1, SIGNATURE_BITS // 8).view(np.uint64)
+        links = np.zeros(len(doc), np.int64)
+        # shingles of one class only are in no overlap; the others become one bit row per class
+        _, at, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        column = np.cumsum(held > 1) - 1
+        rows, bounds = np.zeros((len(doc), -(-int((held > 1).sum()) // 64) * 8), np.uint8), np.r_[0, np.cumsum(n)]
+        for i in range(len(doc)):
+            mine = at[bounds[i] : bounds[i + 1]]
+            mine = column[mine[held[mine] > 1]]
+            np.bitwise_or.at(rows[i], mine >> 3, (1 << (mine & 7)).astype(np.uint8))
+        rows = rows.view(np.uint64)
+        first, second = np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2])
+        for i in first:
+            other = second if key[1] != key[2] else second[doc[second] > doc[i]]
+            apart = np.bitwise_count(sig[other] ^ sig[i]).sum(1, dtype=np.int64)
+            other = other[_may_link(n[i], n[other], apart, percent)]
+            both = np.bitwise_count(rows[other] & rows[i]).sum(1, dtype=np.int64)
+            hit = other[(both > 0) & (100 * both >= percent * (n[i] + n[other] - both))]
+            links[i] += len(hit)
+            links[hit] += 1
+        return pd.DataFrame({"doc_id": doc, "n_links": links})[links > 0]
+
+    return count
+
+
+def _exact_links(named: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, n_links) of every class in a component with a long list, over all pairs of the component."""
+    members = found.withColumnRenamed("node", "doc_id").join(named.select("component").distinct(), "component", "left_semi")
+    cut = members.join(members.groupBy("component").agg(F.ceil(F.count("*") / COUNT_BLOCK).cast("int").alias("of")), "component")
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("of")).cast("int"))
+    text = docs.select("doc_id", "text").join(cut.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    cut = cut.join(classes.select("doc_id", "sig"), "doc_id").join(text, "doc_id")
+    pairs = F.expr("transform(sequence(0, of - 1), x -> struct(least(x, block) as i, greatest(x, block) as j))")
+    cut = cut.withColumn("ij", F.explode(pairs)).select("component", "ij.i", "ij.j", "block", "doc_id", "sig", "text")
+    counts = cut.groupBy("component", "i", "j").applyInPandas(_counts(k, percent), "doc_id bigint, n_links bigint")
+    return counts.groupBy("doc_id").agg(F.sum("n_links").alias("n_links"))
+
+
 def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs`` (doc_id, text).
 
-    ``component_id`` is the smallest id reachable by links. ``n_links`` counts the verified
-    links of the row's class that the search used (a spanning subset within long lists).
+    ``component_id`` is the smallest id reachable by links. ``n_links`` counts all links of
+    the row's class.
     Repeated ids give repeated rows.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -254,7 +306,10 @@ def jaccard_classes(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame
         links = links.unionByName(more)
         found = components(links)
 
+    named = long.select("doc_id").distinct().join(found, F.col("doc_id") == F.col("node")).select("component")
+    exact = materialize(_exact_links(named, found, classes, docs, k, percent), "links")
     degree = links.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
+    degree = degree.unionByName(exact).groupBy("doc_id").agg(F.max("n_links").alias("n_links"))  # the search found no more than there are
     final = classes.select("key", "n", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").join(degree, "doc_id", "left")
     final = materialize(final.select("key", "n", F.coalesce("component", "doc_id").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "final")
     out = profiles.select("doc_id", "n", "key").join(final.select("key", "n", "component", "n_links"), ["key", "n"], "left")

@@ -68,6 +68,29 @@ def test_jaccard_classes_match_brute_force(spark, monkeypatch, long_list, block,
     assert got == brute_components(rows, 3, percent)
 
 
+@pytest.mark.parametrize("long_list,block", [(64, 256), (2, 4)])
+def test_jaccard_links_match_brute_force(spark, monkeypatch, long_list, block):
+    monkeypatch.setattr(jaccard_join, "LIST", long_list)
+    monkeypatch.setattr(jaccard_join, "COUNT_BLOCK", block)
+    rows = corpus()
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(200)]
+    for d in range(100):  # near copies with pairwise different texts
+        text = list(base)
+        text[rng.randrange(200)] = f"d{d}"
+        rows.append((1000 + d, " ".join(text)))
+    sets = {}
+    for doc, text in rows:
+        w = words_of(text)
+        sets[doc] = frozenset(tuple(w[i : i + 3]) for i in range(len(w) - 2)) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+    classes = {s for s in sets.values() if s}
+    near = lambda r, s: r & s and 100 * len(r & s) >= 90 * len(r | s)
+    degree = {r: sum(bool(near(r, s)) for s in classes if s != r) for r in classes}
+    got = {r.doc_id: r.n_links for r in jaccard_join.jaccard_classes(table(spark, rows), 3, 90).collect()}
+    assert got == {d: degree.get(s, 0) for d, s in sets.items()}
+    assert got[1000] == 99
+
+
 def test_jaccard_classes_of_odd_tables(spark):
     assert jaccard_join.jaccard_classes(table(spark, [])).count() == 0
     rows = [(7, "a b c d"), (7, "a b c d"), (None, "a b c d"), (9, "A B c d"), (8, None)]
