@@ -8,10 +8,12 @@ nodes, fused into one score (the product of the scaled ratios), and paths whose
 fused score reaches the page's threshold are content paths.
 
 The content root is the deepest element (``article`` or ``main`` where there is one)
-that holds the content paths' text; all text below it is kept, short blocks too,
-except below elements that are not the article: navigation, headers and footers of
+that holds the content paths' text. Below it the blocks on content paths are kept;
+blocks on other paths only where they stand in a run of content: headings before a
+content block, at most ``BRIDGE`` blocks between two of them and as many items of a
+list or quotation after the last. Blocks that are mostly links are never content. Elements that are not the article (navigation, headers and footers of
 the page, sidebars, notices, adverts, forms, comments, scripts and styles, known by
-element or by the words of their class, id or role.
+element or by the words of their class, id or role) are left out besides.
 
 Character references are decoded, white space within a block becomes one space,
 blocks are joined by one space in page order; inline elements don't break words.
@@ -56,6 +58,13 @@ _IN_HEAD = frozenset("html head base link meta title style script noscript templ
 _BORDER = frozenset("article main section div body html table ul ol td th blockquote aside nav header footer form".split())
 
 
+_HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that may end a run of content: parts of a list, a quotation or a figure.
+_TAIL = frozenset("li dd dt blockquote pre figcaption".split())
+#: Blocks on other paths that may stand between two content blocks of one run.
+BRIDGE = 3
+
+
 def nodes(page: str) -> list[tuple[str, tuple[int, ...], tuple[str, ...], bool, bool]]:
     """Text nodes (text, open elements, their path, begins a new block, noise) in page order."""
     out: list[tuple[str, tuple[int, ...], tuple[str, ...], bool, bool]] = []
@@ -127,6 +136,7 @@ def _smooth(x: np.ndarray) -> np.ndarray:
 def content_paths(found: list) -> set[tuple[str, ...]]:
     """Paths whose smoothed, fused text and punctuation ratios reach the page's threshold."""
     texts = [n for n in found if n[0].strip() and not n[4]]
+    texts = [n for n in texts if "a" not in n[2]] or texts
     if not texts:
         return set()
     index: dict[tuple[str, ...], int] = {}
@@ -164,14 +174,42 @@ def extract(page: str | None) -> str:
         holders = [i for i in weight if weight[i] >= 0.9 * total and named[i] not in INLINE and named[i] != "p"]
         roots = {max(holders, key=depth.__getitem__)} if holders else set()
     out = []
-    for text, ids, path, broke, noise in found:
-        if noise or (roots and roots.isdisjoint(ids)):
-            out.append(" ")
-            continue
-        out.append(" " + text if broke else text)
+    for kept, block in _kept([n if not (n[4] or (roots and roots.isdisjoint(n[1]))) else None for n in found], paths):
+        out.append(" " if not kept else " " + "".join(n[0] for n in block) if block[0][3] else "".join(n[0] for n in block))
     return " ".join(html.unescape("".join(out)).split())
 
 
+def _kept(found: list, paths: set[tuple[str, ...]]) -> list[tuple[bool, list]]:
+    """(kept, nodes) of every block, in page order; None stands for text outside the root or in noise."""
+    blocks: list[list] = []
+    for i, n in enumerate(found):
+        if n is not None and blocks and blocks[-1] and found[i - 1] is not None and not n[3]:
+            blocks[-1].append(n)
+        else:
+            blocks.append([] if n is None else [n])
+    sizes = [sum(len(n[0].strip()) for n in b) for b in blocks]
+    linked = [2 * sum(len(n[0].strip()) for n in b if "a" in n[2]) >= size for b, size in zip(blocks, sizes, strict=True)]
+    if all(linked):  # a page of links only
+        linked = [not size for size in sizes]
+    whole = lambda path: tuple(name for name in path if name not in INLINE)
+    held = {whole(path) for path in paths}
+    content = [not x and any(whole(n[2]) in held and n[0].strip() for n in b) for b, x in zip(blocks, linked, strict=True)]
+    kept = list(content)
+    seen, between = False, []  # whether content came before, the blocks since then
+    for i, block in enumerate(blocks):
+        if content[i]:
+            for n, j in enumerate(reversed(between)):
+                kept[j] = (seen and len(between) <= BRIDGE) or (n < BRIDGE and bool(_HEADING.intersection(blocks[j][0][2])))
+            seen, between = True, []
+        elif not linked[i]:
+            between.append(i)
+    for j in between[:BRIDGE]:
+        if not seen or not _TAIL.intersection(blocks[j][0][2]):
+            break
+        kept[j] = True
+    return list(zip(kept, blocks, strict=True))
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [extract(page) for page in batch.column(2).to_pylist()]

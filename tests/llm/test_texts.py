@@ -139,6 +139,16 @@ def test_main_text_of_a_page(holder):
     assert cut == WANTED[: WANTED.index(" Quoted")]
 
 
+def test_paths_decide_on_pages_without_telling_names():
+    prose = "A sentence with a good many words, some commas, and a full stop; then another one, as long as the first. "
+    body = "".join(f"<p>Part {i}. {prose * 4}</p>" for i in range(6))
+    links = "<ul>" + "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(12)) + "</ul>"
+    page = f"<html><body><div><div><h1>Headline</h1>{body}<h2>Middle</h2><p>Last part, after a heading. {prose}</p>{links}<div>(c) 2020 Someone</div></div></div></body></html>"
+    got = html_text.extract(page)
+    assert got.startswith("Headline Part 0. A sentence") and "Middle Last part" in got and got.endswith("the first.")
+    assert "Link" not in got and "Someone" not in got
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [(1, "u", None), (2, "u", ""), (3, "u", "plain words, no markup"), (4, "u", "<p"), (5, "u", "<script>x"), (6, None, "<p>" + "a, b. " * 100_000), (None, "u", "<p>x</p>")]
     rows = spark.createDataFrame([(*p, "t") for p in pages], "page_id bigint, url string, html string, text string")
