@@ -1,13 +1,15 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Units of a document are its whole text, its paragraphs (cut at blank lines) and its
-lines. A unit is normalised to lower-case words of letters and digits, and its set of
+Units of a document are its whole text, its paragraphs (cut at blank lines), its
+lines and its passages: where the two words that open a template stand, as many words as
+the template has, across lines, paragraphs and sentences. A passage counts if no other
+unit of its document shows its licence; a short one must equal its template. A unit is normalised to lower-case words of letters and digits, and its set of
 word bigrams is compared with each template's: 2 |A and B| / (|A| + |B|). For a
 threshold t only templates with |B| between |A| t / (2 - t) and |A| (2 - t) / t can
 reach it: a unit meets only those. The same bounds limit how many words a unit may
 have that no template has, which drops nearly all units before any bigram is built.
-A unit's best licence counts (ties: the first name). Everything is one map-only pass
-of built-in functions; the templates are literals.
+A unit's best licence counts (ties: the first name). Everything is one pass of built-in
+functions, and a shuffle of the rows found; the templates are literals.
 
 Null and empty texts have no units. Rows with null or repeated ids are scanned like
 any other. A unit of one word has no bigrams and matches nothing.
@@ -50,6 +52,8 @@ TEMPLATES: dict[str, list[str]] = {
 
 #: Smallest Dice coefficient of a match.
 THRESHOLD = 0.8
+#: A passage of fewer bigrams must have all of its template's: one other word may name another licence or version.
+SHORT = 15
 
 
 def bigrams(text: str) -> list[str]:
@@ -68,11 +72,28 @@ def _own_bigrams(words: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), size), F.slice(words, F.lit(2), size), lambda x, y: F.concat_ws(" ", x, y)))
 
 
+def _passages(text: Column, templates: dict[str, list[str]]) -> Column:
+    """Runs of words as long as a template, from each place where its first two words stand; ``unit_no`` is the first word."""
+    known = sorted({(" ".join(w[:2]), len(w)) for texts in templates.values() for t in texts if len(w := re.findall(r"[^\W_]+", t.lower())) > 1})
+    listed = F.array(*[F.struct(F.lit(o).alias("opening"), F.lit(n).alias("n")) for o, n in known])
+    openings = sorted({o for o, _ in known})
+    opens = "(?iU)" + "|".join(r"\b" + r"[^\p{L}\p{N}]+".join(o.split(" ")) + r"\b" for o in openings)
+    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+    def runs(w: Column) -> Column:
+        pair = lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1))
+        at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(w) - 1, F.lit(1))), lambda i: (i < F.size(w)) & F.when(i < F.size(w), pair(i).isin(openings)))
+        run = lambda i, t: F.struct(F.lit("passage").alias("unit"), i.alias("unit_no"), F.array_join(F.slice(w, i, t["n"]), " ").alias("part"))
+        return F.flatten(F.transform(at, lambda i: F.transform(F.filter(listed, lambda t: t["opening"] == pair(i)), lambda t: run(i, t))))
+
+    return F.when(text.rlike(opens), _once(words, runs)).otherwise(F.array().cast("array<struct<unit:string,unit_no:int,part:string>>"))
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, unit, unit_no, licence, dice) of every unit of ``docs`` that reaches the threshold.
 
-    ``unit`` is line, paragraph (of several lines) or text (of several paragraphs), ``unit_no``
-    counts from 1 within the document.
+    ``unit`` is line, paragraph (of several lines), text (of several paragraphs) or passage,
+    ``unit_no`` counts from 1 within the document, for a passage by words.
     """
     known = [(name, b) for name, texts in sorted(templates.items()) for b in map(bigrams, texts) if b]
     vocabulary = sorted({w for _, b in known for x in b for w in x.split(" ")})
@@ -82,23 +103,25 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
     cut = lambda kind, pattern: F.transform(F.split(text, pattern), lambda x, i: F.struct(F.lit(kind).alias("unit"), (i + 1).alias("unit_no"), x.alias("part")))
     lines, paragraphs = cut("line", r"\r\n|\r|\n"), cut("paragraph", r"(?:\r\n|\r|\n)[ \t]*(?:\r\n|\r|\n)\s*")
     # a paragraph of one line is that line, a text of one paragraph that paragraph
-    units = _once(
+    cuts = _once(
         paragraphs,
         lambda all_: F.concat(
             lines,
             F.filter(all_, lambda p: p["part"].rlike("[\r\n]")),
             F.filter(F.array(F.struct(F.lit("text").alias("unit"), F.lit(1).alias("unit_no"), text.alias("part"))), lambda x: F.size(all_) > 1),
+            _passages(text, templates),
         ),
     )
-    units = docs.where(text.isNotNull()).select("doc_id", F.explode(units).alias("u")).select("doc_id", "u.unit", "u.unit_no", "u.part")
+    units = docs.where(text.isNotNull()).select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc"), "text")
+    units = units.select("doc", F.explode(cuts).alias("u")).select("doc", "u.unit", "u.unit_no", "u.part")
     # At least t / (2 - t) of a matching unit's bigrams are the template's, and it has at most one bigram a word
     # and (2 - t) / t times the longest template's; so other words than the templates' are at most this many.
     words = F.filter(F.split(F.lower("part"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     strange = lambda w: F.size(F.array_distinct(F.filter(w, lambda x: ~x.isin(vocabulary))))
     may = lambda w: (F.size(w) > 1) & (strange(w) - 1 <= F.least(F.size(w) - 1, F.lit(longest)) * (1 - 1 / most))
     # explode keeps later filters from repeating the split
-    units = units.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(words), may)).alias("words"))
-    units = units.select("doc_id", "unit", "unit_no", F.explode(F.array(_own_bigrams(F.col("words")))).alias("own"))
+    units = units.select("doc", "unit", "unit_no", F.explode(F.filter(F.array(words), may)).alias("words"))
+    units = units.select("doc", "unit", "unit_no", F.explode(F.array(_own_bigrams(F.col("words")))).alias("own"))
     listed = F.array(*[F.struct(F.lit(name).alias("licence"), F.array(*map(F.lit, b)).alias("b")) for name, b in known])
     fits = lambda t: (F.size("own") >= F.size(t["b"]) / most) & (F.size("own") <= F.size(t["b"]) * most)
     dice = lambda t: F.struct((2.0 * F.size(F.array_intersect("own", t["b"])) / (F.size("own") + F.size(t["b"]))).alias("dice"), t["licence"].alias("licence"))
@@ -107,5 +130,10 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
         F.struct(F.lit(-1.0).alias("dice"), F.lit("").alias("licence")),
         lambda a, x: F.when(x["dice"] > a["dice"], x).otherwise(a),
     )
-    found = units.select("doc_id", "unit", "unit_no", F.explode(F.filter(F.array(top), lambda x: x["dice"] >= threshold)).alias("top"))
-    return found.select("doc_id", "unit", "unit_no", "top.licence", "top.dice")
+    found = units.select("doc", "unit", "unit_no", F.size("own").alias("size"), F.explode(F.filter(F.array(top), lambda x: x["dice"] >= threshold)).alias("top"))
+    found = found.where((F.col("unit") != "passage") | (F.col("size") >= SHORT) | (F.col("top.dice") >= 1))
+    found = found.groupBy("doc").agg(F.array_distinct(F.collect_list(F.struct("unit", "unit_no", "top.licence", "top.dice"))).alias("all"))
+    passage = lambda x: x["unit"] == "passage"
+    better = lambda x, y: (y["unit_no"] == x["unit_no"]) & ((y["dice"] > x["dice"]) | ((y["dice"] == x["dice"]) & (y["licence"] < x["licence"])))
+    needless = lambda x: F.exists("all", lambda y: F.when(passage(y), better(x, y)).otherwise(y["licence"] == x["licence"]))
+    return found.select("doc.doc_id", F.explode(F.filter("all", lambda x: ~passage(x) | ~needless(x))).alias("u")).select("doc_id", "u.*")

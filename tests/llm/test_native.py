@@ -54,6 +54,21 @@ def test_sharding_an_empty_table(spark):
     assert sharding.shard(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
 
+def test_licences_within_longer_documents(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join(f"word{rng.randrange(10**5)}" for _ in range(n))
+    mit = licences.TEMPLATES["MIT"][2]
+    three = mit.replace(" The above", "\n\nThe above").replace(" THE SOFTWARE IS", "\n\nTHE SOFTWARE IS")
+    rows = [
+        (1, prose(400) + "\n\n" + three + "\n\n" + prose(900)),
+        (2, prose(30) + ". Licensed under the Apache License, Version 2.0. " + prose(40)),
+        (3, prose(50) + "\nReleased under the MIT License.\n" + prose(50)),
+        (4, prose(100) + " permission is granted " + prose(100)), (5, "permission"),
+    ]
+    got = {(r.doc_id, r.unit, r.licence) for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {(1, "passage", "MIT"), (2, "passage", "Apache-2.0"), (3, "line", "MIT")}
+
+
 def brute_licences(rows, threshold):
     out = set()
     known = [(n, set(licences.bigrams(t))) for n, ts in sorted(licences.TEMPLATES.items()) for t in ts]
