@@ -5,7 +5,8 @@ For day ``d``:
 * ``daily_pageviews``  - page views of ``d`` grouped by (uuid, user_id): count
   and "any view with a wallet";
 * ``last_past_visit``  - latest visit date per (uuid, user_id) on or before
-  ``d - 2`` (the source skips the day before ``d``);
+  ``d - 1``. The source's run of execution date ``E`` stamps ``d = E - 1`` and
+  takes visits up to and including ``E - 2``, the day before ``d``;
 * ``visitor_previous_visit`` - the first left-joined to the second on the uuid
   alone (a uuid seen with several user ids multiplies rows; a NULL uuid never
   matches), with a sentinel date for "never".
@@ -53,12 +54,12 @@ def daily_pageviews(page_log: DataFrame, day: date) -> DataFrame:
 
 
 def last_past_visit(page_log: DataFrame, day: date, history: DataFrame | None = None) -> DataFrame:
-    """AGG2: (user_id_uuid, user_id, ymd) latest visit date on or before ``day - 2``.
+    """AGG2: (user_id_uuid, user_id, ymd) latest visit date on or before ``day - 1``.
 
     ``history`` may be a table of (user_id_uuid, user_id, ymd) visit days, e.g.
     earlier outputs of :func:`visitor_previous_visit`; it then replaces the raw scan.
     """
-    cutoff = day - timedelta(days=2)
+    cutoff = day - timedelta(days=1)
     if history is not None:
         visits = history.select("user_id_uuid", "user_id", F.col("ymd").alias("_d"))
     else:
@@ -95,7 +96,7 @@ def visitor_previous_visit(page_log: DataFrame, day: date, join_keys=("user_id_u
 def visitor_previous_visits(page_log: DataFrame, days: list[date], join_keys=("user_id_uuid",),
                             history: DataFrame | None = None) -> DataFrame:
     """:func:`visitor_previous_visit` of several days in one pass over the page log and its history."""
-    cutoffs = {d: d - timedelta(days=2) for d in sorted(set(days))}
+    cutoffs = {d: d - timedelta(days=1) for d in sorted(set(days))}
     daily = (_on_day(page_log, lambda d: d.isin([F.lit(x) for x in cutoffs]))
              .groupBy("user_id_uuid", "user_id", _day_of().alias("ymd"))
              .agg(F.bool_or(F.col("has_wallet")).alias("has_wallet"), F.count(F.lit(1)).alias("pageviews")))

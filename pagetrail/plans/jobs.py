@@ -123,7 +123,7 @@ def visitor_run(spark: SparkSession, warehouse: str, day: date, use_history: boo
     history = None
     if use_history:
         history = tables.read_table(spark, f"{warehouse}/agg_visitor_previous_visit", "ymd DATE") \
-            .filter(F.col("ymd") <= F.lit(day - timedelta(days=2)))
+            .filter(F.col("ymd") <= F.lit(day - timedelta(days=1)))
     out = visitors.visitor_previous_visit(page_log, day, history=history)
     tables.write_slice(out, f"{warehouse}/agg_visitor_previous_visit", day)
 
@@ -154,7 +154,7 @@ def reprocess(spark: SparkSession, logs_root: str, warehouse: str, blacklist: Da
 
     Re-runs, in dependency order, the ingest of every hour, the page log and
     views of every hour, and every visitor-aggregate day whose inputs changed:
-    the touched days themselves (their daily views) and every day from two days
+    the touched days themselves (their daily views) and every day from the day
     after the first touched day on (their past visits), up to ``through``
     (default: the latest day already in the output table). Snapshots are
     re-stamped for the touched days if ``bounties`` is given. Each step replaces
@@ -171,7 +171,7 @@ def reprocess(spark: SparkSession, logs_root: str, warehouse: str, blacklist: Da
                                  "user_id_uuid STRING, user_id INT, has_wallet BOOLEAN, pageviews BIGINT, "
                                  "last_visit DATE").agg(F.max("ymd")).first()[0]
         through = max(done or touched[-1], touched[-1])
-    first_past = touched[0] + timedelta(days=2)
+    first_past = touched[0] + timedelta(days=1)
     later = [first_past + timedelta(days=i) for i in range(max(0, (through - first_past).days + 1))]
     visitor_days_run(spark, warehouse, sorted(set(touched) | set(later)))
     if bounties is not None:

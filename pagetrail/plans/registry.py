@@ -148,14 +148,18 @@ GROUP BY 1, 2"""
 
 
 def _past_sql(day: date) -> str:
-    """Of each visitor's days up to the cut-off, the one that no later day follows."""
+    """Of each visitor's days up to the cut-off, the one that no later day follows.
+
+    The run of execution date E describes the day E - 1 and takes past visits up to and including E - 2.
+    """
+    execution = day + timedelta(days=1)
     return f"""
 SELECT user_id_uuid, user_id, visit_day AS ymd
 FROM (SELECT user_id_uuid, user_id, visit_day,
              lead(visit_day) OVER (PARTITION BY user_id_uuid, user_id ORDER BY visit_day) AS later_day
       FROM (SELECT DISTINCT user_id_uuid, user_id, CAST(date_trunc('day', time_received) AS DATE) AS visit_day
             FROM {PAGE_LOG} p) visits
-      WHERE visit_day < {_lit_date(day)} - INTERVAL 1 DAY) ordered_visits
+      WHERE visit_day <= CAST({_lit_date(execution)} - INTERVAL 2 DAY AS DATE)) ordered_visits
 WHERE later_day IS NULL"""
 
 

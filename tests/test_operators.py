@@ -79,16 +79,18 @@ def test_visitor_previous_visit_cases(spark):
     rows = [
         row(at(0), uuid="a", user_id=1, wallet=False), row(at(0), uuid="a", user_id=1, wallet=True),
         row(at(-3), uuid="a", user_id=1), row(at(-5), uuid="a", user_id=2),        # two past user ids
-        row(at(0), uuid="b", user_id=3), row(at(-1), uuid="b", user_id=3),         # only yesterday: first visit
+        row(at(0), uuid="b", user_id=3), row(at(-1, 23), uuid="b", user_id=3),     # the day before: the cut-off, included
         row(at(0), uuid=None, user_id=4), row(at(-4), uuid=None, user_id=4),       # NULL uuid never matches
-        row(at(0), uuid="c", user_id=None), row(at(-2, 23), uuid="c", user_id=None),  # cutoff day included
+        row(at(0), uuid="c", user_id=None), row(at(-2, 23), uuid="c", user_id=None),
+        row(at(0), uuid="e", user_id=6), row(at(0, 1), uuid="e", user_id=6),       # only on the day itself: first visit
         row(at(1), uuid="d", user_id=5),                                           # other day: ignored
     ]
     out = visitors.visitor_previous_visit(frame(spark, rows), D).collect()
     got = sorted((r.user_id_uuid or "", r.user_id or 0, r.pageviews, r.has_wallet, str(r.last_visit)) for r in out)
     assert got == sorted([
         ("a", 1, 2, True, "2024-01-12"), ("a", 1, 2, True, "2024-01-10"),
-        ("b", 3, 1, False, "0001-01-01"),
+        ("b", 3, 1, False, "2024-01-14"),
+        ("e", 6, 2, False, "0001-01-01"),
         ("", 4, 1, False, "0001-01-01"),
         ("c", 0, 1, False, "2024-01-13"),
     ])
