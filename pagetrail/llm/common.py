@@ -9,6 +9,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -22,12 +23,15 @@ from pyspark.sql import functions as F
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for one intermediate table under ``spark.checkpoint.dir``.
 
-    A session without that setting (tests, local runs) gets a temporary folder of its own.
+    A local session without that setting (tests) gets a temporary folder of its own; on a
+    cluster it must be set, as no other folder is known to be shared.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    root = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir() or getattr(spark, "_llm_scratch", None)
     if not root:
-        root = getattr(spark, "_llm_scratch", None) or tempfile.mkdtemp(prefix="llm-scratch-")
-        spark._llm_scratch = root
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        root = spark._llm_scratch = tempfile.mkdtemp(prefix="llm-scratch-")
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 

@@ -86,8 +86,19 @@ SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, min(licence) AS licenc
 FROM (SELECT *, max(dice) OVER (PARTITION BY doc_id, unit, unit_no) AS top FROM scored WHERE dice >= 0.8) WHERE dice = top
 GROUP BY doc_id, unit, unit_no"""
 
+#: Payloads of 1,000 bytes or more refer to the largest id among equal ones.
+WARC = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+sized AS (SELECT page_id, payload, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes FROM page),
+newest AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS last_id FROM sized)
+SELECT page_id, payload_bytes, sha1(payload) AS payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+FROM newest"""
+
 ORACLES = {
     "op4_licence_scan": LICENCE_SCAN,
     "op6_chat_formatting": CHAT_FORMATTING,
     "op7_ngram_jaccard_join": JACCARD_JOIN,
+    "op13_warc": WARC,
 }
