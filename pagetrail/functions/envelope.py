@@ -37,8 +37,8 @@ def _python_escapes(line: Column) -> Column:
                   F.regexp_replace(line, _SLASH_ESCAPE, "$1\\\\\\\\/")).otherwise(line)
 
 
-def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
-    """Return (env_ok, log_is_str, log) for a raw line column."""
+def _strict_envelope(line: Column) -> tuple[Column, Column, Column, Column]:
+    """(decided, env_ok, log_is_str, log) of the lines that strict JSON accepts; native."""
     wrapped = F.concat(F.lit("["), _python_escapes(line), F.lit("]"))
     strict = F.try_parse_json(wrapped)
     # a value at "$[0].log" means the first element is an object holding "log"
@@ -48,19 +48,39 @@ def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
     strict_ok = log_variant.isNotNull() & single & literal
     strict_is_str = F.schema_of_variant(log_variant) == F.lit("STRING")
     strict_log = F.variant_get(strict, "$[0].log", "string")
+    return strict.isNotNull(), strict_ok, F.coalesce(strict_is_str, F.lit(False)), F.when(strict_is_str, strict_log)
 
-    undecided = _literal_envelope()(F.when(strict.isNull(), line))
-    by_literal = undecided.getField("env_ok"), undecided.getField("log_is_str"), undecided.getField("log")
 
-    env_ok = F.when(strict.isNotNull(), strict_ok).otherwise(by_literal[0])
-    log_is_str = F.when(strict.isNotNull(), F.coalesce(strict_is_str, F.lit(False))).otherwise(by_literal[1])
-    log = F.when(strict.isNotNull(), F.when(strict_is_str, strict_log)).otherwise(by_literal[2])
+def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
+    """Return (env_ok, log_is_str, log) for a raw line column."""
+    decided, strict_ok, strict_is_str, strict_log = _strict_envelope(line)
+    undecided = _literal_envelope()(F.when(~decided, line))
+    env_ok = F.when(decided, strict_ok).otherwise(undecided.getField("env_ok"))
+    log_is_str = F.when(decided, strict_is_str).otherwise(undecided.getField("log_is_str"))
+    log = F.when(decided, strict_log).otherwise(undecided.getField("log"))
     return F.coalesce(env_ok, F.lit(False)), F.coalesce(log_is_str, F.lit(False)), log
 
 
-def with_envelope(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    env_ok, log_is_str, log = envelope_columns(F.col(line_col))
-    return lines.select("*", env_ok.alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"))
+def with_envelope(lines: DataFrame, line_col: str = "line", rule: str = "both") -> DataFrame:
+    """Add (env_ok, log_is_str, log) and ``undecided``.
+
+    ``rule="strict"`` is native and marks the lines it can't decide; ``"literal"`` sends every line to
+    Python's literal parser (meant for those); ``"both"`` decides all lines in one pass.
+    """
+    line = F.col(line_col)
+    if rule == "strict":
+        decided, env_ok, log_is_str, log = _strict_envelope(line)
+        return lines.select("*", F.coalesce(env_ok, F.lit(False)).alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"),
+                            (~decided).alias("undecided"))
+    if rule == "literal":
+        lines = lines.withColumn("_literal", _literal_envelope()(line))
+        env_ok, log_is_str, log = (F.col("_literal").getField(f) for f in ("env_ok", "log_is_str", "log"))
+        lines = lines.select("*", F.coalesce(env_ok, F.lit(False)).alias("env_ok"),
+                             F.coalesce(log_is_str, F.lit(False)).alias("log_is_str"), log.alias("log")).drop("_literal")
+    else:
+        env_ok, log_is_str, log = envelope_columns(line)
+        lines = lines.select("*", env_ok.alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"))
+    return lines.withColumn("undecided", F.lit(False))
 
 
 def _literal_envelope():

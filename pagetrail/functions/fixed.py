@@ -106,6 +106,8 @@ BAD = "bad"
 REGEX_FAILED = "regex_failed"
 SKIPPED = "skipped"
 REJECTED = "rejected"
+# Not an outcome of a line: the native pass leaves it to the literal parser.
+UNDECIDED = "undecided"
 
 # Parse modes: hourly ingest and the one-off daily backfill.
 HOURLY = "hourly"

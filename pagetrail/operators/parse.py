@@ -34,7 +34,7 @@ from ..functions.access import AccessPattern, is_ip_list
 from ..functions.envelope import with_envelope
 from ..functions.fixed import (ACCESS_PATTERN_BACKFILL, ACCESS_PATTERN_HOURLY, BACKFILL, BAD,
                                COOKIE_COLUMNS, GOOD, HOURLY, INT_FIELDS, MAX_HTTP_METHOD_LEN,
-                               NOT_FOUND_PREFIXES, RAW_COLUMNS, REGEX_FAILED, REJECTED, SKIPPED,
+                               NOT_FOUND_PREFIXES, RAW_COLUMNS, REGEX_FAILED, REJECTED, SKIPPED, UNDECIDED,
                                WALLET_TRUE)
 from ..functions.text import has_nul
 
@@ -45,25 +45,27 @@ _TEXT_COLUMNS = ("ip", "http_method", "uri", "referrer", "user_agent", "session_
                  "user_id_uuid", "ga_ga", "ga_gid")
 
 
-def parse_lines(lines: DataFrame, mode: str = HOURLY) -> DataFrame:
-    """Add ``outcome`` and the stored columns to ``(filename, line_number, line)`` rows.
+def parse_lines(lines: DataFrame, mode: str = HOURLY, rule: str = "both") -> DataFrame:
+    """Add ``outcome`` and the stored columns to rows that hold a ``line``; other columns are kept.
 
-    ``mode`` is ``"hourly"`` or ``"backfill"``.
+    ``mode`` is ``"hourly"`` or ``"backfill"``. ``rule="strict"`` stays native: lines that only
+    Python's literal parser can decide come out as ``undecided``, for a second pass over just
+    them with ``rule="literal"``.
     """
     if mode not in _PATTERNS:
         raise ValueError(f"mode must be {HOURLY!r} or {BACKFILL!r}")
     pattern = _PATTERNS[mode]
     keep = [c for c in lines.columns]
 
-    env = with_envelope(lines)
+    env = with_envelope(lines, rule=rule)
 
     # one evaluation of the access pattern per line
-    step1 = env.select(*keep, "env_ok", "log_is_str",
+    step1 = env.select(*keep, "undecided", "env_ok", "log_is_str",
                        F.coalesce(F.col("log").startswith(NOT_FOUND_PREFIXES[0])
                                   | F.col("log").startswith(NOT_FOUND_PREFIXES[1]),
                                   F.lit(False)).alias("not_found"),
                        pattern.packed(F.coalesce(F.col("log"), F.lit(""))).alias("_packed"))
-    step2 = step1.select(*keep, "env_ok", "log_is_str", "not_found",
+    step2 = step1.select(*keep, "undecided", "env_ok", "log_is_str", "not_found",
                          AccessPattern.matched(F.col("_packed")).alias("matched"),
                          pattern.parts(F.col("_packed")).alias("_parts"))
 
@@ -72,7 +74,7 @@ def parse_lines(lines: DataFrame, mode: str = HOURLY) -> DataFrame:
     if pattern.ip_list:
         matched = matched & F.coalesce(is_ip_list(cap["ip"]), F.lit(False))
     step3 = step2.select(
-        *keep, "env_ok", "log_is_str", "not_found", matched.alias("matched"),
+        *keep, "undecided", "env_ok", "log_is_str", "not_found", matched.alias("matched"),
         *[cap[n].alias("_c_" + n) for n in pattern.names],
         coerce.cookie_pairs(cap["cookies"]).alias("_cookies"),
     )
@@ -83,7 +85,7 @@ def parse_lines(lines: DataFrame, mode: str = HOURLY) -> DataFrame:
     ip = coerce.first_forwarded_ip(c("ip")) if mode == HOURLY else c("ip")
     cookie_cols = {col: coerce.cookie_value(F.col("_cookies"), key) for key, col in COOKIE_COLUMNS}
     typed = step3.select(
-        *keep, "env_ok", "log_is_str", "not_found", "matched",
+        *keep, "undecided", "env_ok", "log_is_str", "not_found", "matched",
         coerce.cookie_int_invalid(F.col("_cookies"), "user_id").alias("_bad_user_id"),
         F.exists(F.array(*[c(n) for n in INT_FIELDS]), lambda s: s == F.lit("")).alias("_empty_int"),
         *[coerce.digits_value(c(n)).alias(n) for n in _STORED_INTS],
@@ -118,7 +120,8 @@ def parse_lines(lines: DataFrame, mode: str = HOURLY) -> DataFrame:
         unstorable = unstorable | long_method
 
     outcome = (
-        F.when(~F.col("env_ok"), F.lit(BAD))
+        F.when(F.col("undecided"), F.lit(UNDECIDED))
+        .when(~F.col("env_ok"), F.lit(BAD))
         .when(~F.col("log_is_str"), F.lit(REGEX_FAILED))
         .when(F.col("not_found"), F.lit(BAD if mode == HOURLY else SKIPPED))
         .when(~F.col("matched"), F.lit(REGEX_FAILED))

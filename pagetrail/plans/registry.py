@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from ..functions.fixed import RAW_COLUMNS
 from ..operators import pages, parse, quality, readiness, snapshot, views, visitors, windows
 from ..session import scratch_path
-from ..sinks import tables
+from ..sinks import commits, tables
 from ..sources import fixtures as fx
 from ..sources import logfiles
 from ..streaming import ingest as stream_ingest
+from . import jobs, staging
 
 # Parameters of the registered queries (the period of ``events`` is January 2024).
 HOUR = datetime(2024, 1, 5, 10)
@@ -336,8 +337,11 @@ def q_parse_outcomes_backfill(spark, sf):
 @register("parse_outcomes_exact_literals",
           f"SELECT filename, line_number, {_case_outcome(1)} AS outcome FROM {LINES} l")
 def q_parse_outcomes_exact_literals(spark, sf):
-    """Outcomes of the Python-only envelope forms among all lines, which Python's literal parser decides."""
-    return _parsed(spark, sf).select("filename", "line_number", "outcome")
+    """Two passes: what strict JSON decides natively, then only the other lines through Python's literal parser."""
+    lines = _lines(spark, sf)
+    first = parse.parse_lines(lines, rule="strict")
+    rest = parse.parse_lines(first.filter(F.col("outcome") == "undecided").select(*lines.columns), rule="literal")
+    return first.filter(F.col("outcome") != "undecided").unionByName(rest).select("filename", "line_number", "outcome")
 
 
 @register("cookie_fields", f"""
@@ -455,28 +459,108 @@ def q_day_closed(spark, sf):
 
 # --- written tables, each written twice (SNK1, SNK4-11) ---------------------------
 
-@register("page_log_rewritten", f"SELECT {_PL_COLS} FROM {PAGE_LOG} p "
-          f"WHERE time_received >= {_lit_ts(_M0)} AND time_received < {_lit_ts(_M1)}")
+@register("page_log_rewritten", _replace_window_sql(_D0, _D1) + f"""
+  AND extract(hour FROM time_received) <> 7""")
 def q_page_log_rewritten(spark, sf):
-    """A month of page log, one of its days written twice, read back."""
-    root = scratch_path(spark, "user page log")
+    """A month of page log; one of its days written again with other rows and one hour fewer; read back."""
+    root = scratch_path(spark, "user page log [1]")
     tables.write_window(_page_log(spark, sf), root, _M0, _M1)
-    tables.write_window(_page_log(spark, sf), root, _D0, _D1)
+    again = pages.user_page_log(_page_log(spark, sf), _blacklist(spark, sf), _D0, _D1)
+    tables.write_window(again.filter(F.hour("time_received") != 7), root, _D0, _D1)
     return tables.read_window(spark, root, _M0, _M1, schema=tables.PAGE_LOG_DDL).drop("row_added")
 
 
-@register("raw_log_rewritten", _expected_raw(_GOOD_HOURLY))
+def _filed(df):
+    """Rows with the ingest hour that the adapter's file names carry."""
+    return df.withColumn("_ingest_hour", F.to_timestamp_ntz(
+        F.regexp_extract("filename", r"^logs/(\d{4}/\d{2}/\d{2}/\d{2})/", 1), F.lit("yyyy/MM/dd/HH")))
+
+
+_HOURS = [_M0 + timedelta(hours=h) for h in range(31 * 24)]
+_DAY_HOURS = [_D0 + timedelta(hours=h) for h in range(24)]
+
+
+@register("raw_log_rewritten", _expected_raw(f"{_GOOD_HOURLY} AND (event_id % 8 < 4 OR NOT (ts >= {_lit_ts(_D0)} AND ts < {_lit_ts(_D1)}))"))
 def q_raw_log_rewritten(spark, sf):
-    """The raw log by ingest hour, written twice, read back."""
+    """The raw log by ingest hour; one day's hours written again with other rows; read back."""
     root = scratch_path(spark, "raw log")
-    good = _parsed(spark, sf).filter(F.col("outcome") == "good")
-    hour = F.to_timestamp_ntz(F.regexp_extract("filename", r"^logs/(\d{4}/\d{2}/\d{2}/\d{2})/", 1), F.lit("yyyy/MM/dd/HH"))
-    hours = [_M0 + timedelta(hours=h) for h in range(31 * 24)]
-    for _ in range(2):
-        tables.write_raw_hours(good.select(*RAW_COLUMNS, hour.alias("_ingest_hour")), root, hours, hour_col="_ingest_hour")
+    good = _filed(_parsed(spark, sf).filter(F.col("outcome") == "good")).select(*RAW_COLUMNS, "_ingest_hour")
+    tables.write_raw_hours(good, root, _HOURS, hour_col="_ingest_hour")
+    again = good.filter(windows.in_window(F.col("_ingest_hour"), _D0, _D1)).filter("core < 4")
+    tables.write_raw_hours(again, root, _DAY_HOURS, hour_col="_ingest_hour")
     return tables.read_ingested(spark, root, None, None).select(*RAW_COLUMNS)
 
 
+def _rewritten_sql(columns: str, first: str, again: str) -> str:
+    """Rows of the hours outside the day by the first rule, of the day's hours by the second."""
+    day = f"substring(filename, 6, 10) = '{DAY:%Y/%m/%d}'"
+    return f"SELECT {columns} FROM ({first}) x WHERE NOT {day} UNION ALL SELECT {columns} FROM ({again}) y WHERE {day}"
+
+
+def _quality_sql(mode_index: int) -> str:
+    return f"""SELECT filename, count(*) AS file_line_count, count(*) FILTER (WHERE outcome = 'bad') AS file_bad_lines,
+  count(*) FILTER (WHERE outcome = 'regex_failed') AS file_regex_failed
+FROM (SELECT filename, {_case_outcome(mode_index)} AS outcome FROM {LINES} l) o GROUP BY filename"""
+
+
+def _rewritten(spark, name, rows_of, columns):
+    """Write a table of all ingest hours from the backfill's outcomes, then one day's hours from the hourly ones."""
+    root = scratch_path(spark, name)
+    tables.write_loads(_filed(rows_of("backfill")), root, _HOURS, "_ingest_hour")
+    again = _filed(rows_of("hourly")).filter(windows.in_window(F.col("_ingest_hour"), _D0, _D1))
+    tables.write_loads(again, root, _DAY_HOURS, "_ingest_hour")
+    return tables.read_table(spark, root, "ingest_date DATE, ingest_hour INT, load STRING").select(*columns)
+
+
+@register("files_processed_rewritten", _rewritten_sql(
+    "filename, file_line_count, file_bad_lines, file_regex_failed", _quality_sql(2), _quality_sql(1)))
+def q_files_processed_rewritten(spark, sf):
+    """SNK2: per-file counts by ingest hour, a day replaced."""
+    return _rewritten(spark, "files processed", lambda mode: quality.file_quality(_parsed(spark, sf, mode)),
+                      ["filename", "file_line_count", "file_bad_lines", "file_regex_failed"])
+
+
+def _samples_sql(mode_index: int) -> str:
+    return f"SELECT filename, line_number, line AS bad_line FROM {LINES} l WHERE {_case_outcome(mode_index)} = 'regex_failed'"
+
+
+@register("failure_samples_rewritten", _rewritten_sql("filename, line_number, bad_line", _samples_sql(2), _samples_sql(1)))
+def q_failure_samples_rewritten(spark, sf):
+    """SNK3: failing lines by ingest hour, a day replaced."""
+    return _rewritten(spark, "failure lines", lambda mode: quality.failure_samples(_parsed(spark, sf, mode)),
+                      ["filename", "line_number", "bad_line"])
+
+
+_IN_DAY = f"(time_received >= {_lit_ts(_D0)} AND time_received < {_lit_ts(_D1)})"
+
+
+@register("bounty_views_rewritten", f"""
+SELECT * FROM ({_VIEWS_SQL}) v WHERE time_received >= {_lit_ts(_M0)} AND time_received < {_lit_ts(_M1)}
+  AND (NOT {_IN_DAY} OR bounty_id % 3 = 1 AND extract(hour FROM time_received) <> 9)""")
+def q_bounty_views_rewritten(spark, sf):
+    """SNK5: the view log by event hour, a day replaced by other rows with an hour fewer."""
+    root = scratch_path(spark, "log bounty view")
+    found = views.bounty_views(_page_log(spark, sf))
+    tables.write_window(found, root, _M0, _M1)
+    tables.write_window(found.filter("bounty_id % 3 = 1").filter(F.hour("time_received") != 9), root, _D0, _D1)
+    return tables.read_window(spark, root, _M0, _M1, schema=tables.VIEW_LOG_DDL).drop("row_added")
+
+
+def _snapshot_sql(ds: date, where: str = "true") -> str:
+    return f"""SELECT bounty_id, title, description, bountyStage AS bounty_stage, usd_price, user_id, deadline, created,
+       {_lit_date(ds)} AS ymd FROM {BOUNTIES} b WHERE {where}"""
+
+
+@register("bounty_snapshots_rewritten", f"{_snapshot_sql(PREV_DAY)} UNION ALL {_snapshot_sql(SNAPSHOT_DS, 'bounty_id % 3 = 0')}")
+def q_bounty_snapshots_rewritten(spark, sf):
+    """SNK7: two days of snapshots, one of them replaced by the table as it is later."""
+    root = scratch_path(spark, "bounty snapshots")
+    bounties = fx.bounties(spark, fx.load(spark, sf, "orders"))
+    for ds, rows in ((PREV_DAY, bounties), (SNAPSHOT_DS, bounties), (SNAPSHOT_DS, bounties.filter("bounty_id % 3 = 0"))):
+        tables.write_slice(snapshot.bounty_snapshot(rows, ds), root, ds)
+    return tables.read_table(spark, root, "ymd DATE")
+
+
 @register("visitor_slice_rewritten", _visitor_sql(VISIT_DAY))
 def q_visitor_slice_rewritten(spark, sf):
     root = scratch_path(spark, "visitors")
@@ -486,51 +570,156 @@ def q_visitor_slice_rewritten(spark, sf):
     return tables.read_table(spark, root, "ymd DATE")
 
 
-# --- files and streams (SRC1-4, SRC9, SNK1, INC1) -------------------------------
+# --- visitor state (AGG2, AGG5, JOI2) ---------------------------------------------
+
+@register("visitor_previous_visit_from_state", " UNION ALL ".join(f"SELECT * FROM ({_visitor_sql(d)}) v" for d in (PREV_DAY, VISIT_DAY)))
+def q_visitor_previous_visit_from_state(spark, sf):
+    """Through the tables: the page log by event hour, the bucketed visitor state, a day and then a backdated one."""
+    warehouse = scratch_path(spark, "visitor warehouse")
+    tables.write_window(_page_log(spark, sf), f"{warehouse}/user_page_log", _M0, _M1)
+    for day in (VISIT_DAY, PREV_DAY):
+        jobs.visitor_run(spark, warehouse, day, buckets=_BUCKETS)
+    return tables.read_table(spark, f"{warehouse}/agg_visitor_previous_visit", "ymd DATE")
+
+
+_BUCKETS = 8
+
+
+# --- files and streams (SRC1-4, SRC9, SNK1, INC1, INC6) -----------------------------
+
+def _files(spark, sf):
+    return logfiles.write_log_files(spark, _lines(spark, sf))
+
 
 @register("ingest_files_roundtrip", _expected_raw(_GOOD_HOURLY))
 def q_ingest_files_roundtrip(spark, sf):
-    root = logfiles.write_log_files(spark, _lines(spark, sf))
-    lines = logfiles.read_log_lines(spark, root, layout=logfiles.SPARK_LAYOUT)
-    return parse.good_rows(parse.parse_lines(lines))
+    """All files, their text read once."""
+    return staging.parse_files(spark, _files(spark, sf), layout=logfiles.SPARK_LAYOUT).good()
 
 
 @register("ingest_hour_prefix", _expected_raw(f"{_GOOD_HOURLY} AND ts >= {_lit_ts(_H0)} AND ts < {_lit_ts(_H1)}"))
 def q_ingest_hour_prefix(spark, sf):
     """Only the files under one hour's prefix."""
-    root = logfiles.write_log_files(spark, _lines(spark, sf))
-    return parse.good_rows(parse.parse_lines(logfiles.read_log_lines(spark, root, hour=HOUR, layout=logfiles.SPARK_LAYOUT)))
+    return staging.parse_files(spark, _files(spark, sf), hour=HOUR, layout=logfiles.SPARK_LAYOUT).good()
 
 
 @register("ingest_day_prefix", _expected_raw(f"{_GOOD_HOURLY} AND ts >= {_lit_ts(_D0)} AND ts < {_lit_ts(_D1)}"))
 def q_ingest_day_prefix(spark, sf):
-    """The files under every hour prefix of one day."""
-    root = logfiles.write_log_files(spark, _lines(spark, sf))
-    return parse.good_rows(parse.parse_lines(logfiles.read_log_lines(spark, root, day=DAY, layout=logfiles.SPARK_LAYOUT)))
+    """The files under every hour prefix of one day, by the reader that numbers every line."""
+    return parse.good_rows(parse.parse_lines(logfiles.read_log_lines(spark, _files(spark, sf), day=DAY, layout=logfiles.SPARK_LAYOUT)))
+
+
+_NAME_RE = r"hour=(\d{4})-(\d{2})-(\d{2})-(\d{2})/file=([^/]+)/"
+
+
+def _source_name():
+    """The adapter's file name of a file as :func:`write_log_files` writes it."""
+    return F.regexp_replace(F.regexp_extract("filename", _NAME_RE, 0), _NAME_RE, "logs/$1/$2/$3/$4/$5").alias("filename")
 
 
-@register("file_quality_roundtrip", f"""
+_QUALITY_OF_FILES = f"""
 WITH o AS (SELECT filename, {_case_outcome(1)} AS outcome FROM {LINES} l)
 SELECT filename, count(*) + 1 AS file_line_count,
        count(*) FILTER (WHERE outcome = 'bad') + 1 AS file_bad_lines,
        count(*) FILTER (WHERE outcome = 'regex_failed') AS file_regex_failed
-FROM o GROUP BY filename""")
+FROM o GROUP BY filename"""
+
+
+@register("file_quality_roundtrip", _QUALITY_OF_FILES)
 def q_file_quality_roundtrip(spark, sf):
     """Per-file counts after a trip through real files: each written file ends
     with a newline, so it reads back with one extra, empty (bad) last line."""
-    root = logfiles.write_log_files(spark, _lines(spark, sf))
-    lines = logfiles.read_log_lines(spark, root, layout=logfiles.SPARK_LAYOUT)
-    q = quality.file_quality(parse.parse_lines(lines))
-    name_re = r"hour=(\d{4})-(\d{2})-(\d{2})-(\d{2})/file=([^/]+)/"
-    source_name = F.regexp_replace(F.regexp_extract("filename", name_re, 0), name_re, "logs/$1/$2/$3/$4/$5")
-    return q.select(source_name.alias("filename"), "file_line_count", "file_bad_lines", "file_regex_failed")
+    q = staging.parse_files(spark, _files(spark, sf), layout=logfiles.SPARK_LAYOUT).quality()
+    return q.select(_source_name(), "file_line_count", "file_bad_lines", "file_regex_failed")
+
+
+@register("failing_lines_of_files", f"""
+SELECT filename, line_number, line AS bad_line, {_case_outcome(1)} AS outcome FROM {LINES} l
+WHERE {_case_outcome(1)} IN ('regex_failed', 'rejected')""")
+def q_failing_lines_of_files(spark, sf):
+    """Absolute line numbers, resolved after the one scan and only for the rows that carry them."""
+    parsed = staging.parse_files(spark, _files(spark, sf), layout=logfiles.SPARK_LAYOUT)
+    both = parsed.samples().withColumn("outcome", F.lit("regex_failed")).unionByName(
+        parsed.rejected().withColumnRenamed("line", "bad_line").withColumn("outcome", F.lit("rejected")))
+    return both.select(_source_name(), "line_number", "bad_line", "outcome")
+
+
+#: The file that arrives late in the streamed warehouse: the first one of this hour.
+_LATE_NAME = f"logs/{HOUR:%Y/%m/%d/%H}/"
+_STREAMED: dict[tuple, str] = {}
+
+
+def _streamed_warehouse(spark, sf):
+    """A warehouse filled by the stream and its followers, with a replayed batch and then late files.
+
+    All files but those of one hour are streamed; the last micro-batch is replayed, once after its commit and
+    once as if the run had died before it; page log, views and every visitor slice follow the change feed. Then
+    the late hour's files arrive and are followed in turn. Three queries read its tables: it is filled once a session.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _STREAMED:
+        return _STREAMED[key]
+    warehouse, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "stream-state")
+    lines = _lines(spark, sf)
+    late = F.col("filename").startswith(_LATE_NAME)
+    root = logfiles.write_log_files(spark, lines.filter(~late))
+    stream = lambda: stream_ingest.ingest_available(spark, root, warehouse, checkpoint, layout=logfiles.SPARK_LAYOUT)
+    blacklist = fx.agent_blacklist(spark, fx.load(spark, sf, "nation"))
+    stream()
+    load = max(commits.last_loads(spark, warehouse).values())
+    for committed in (True, False):
+        tables.delete(spark, f"{checkpoint}/commits/0")  # Spark then replays the micro-batch
+        if not committed:
+            tables.delete(spark, f"{warehouse}/{commits.COMMITS}/load={load}")
+        stream()
+    jobs.derive_changes(spark, warehouse, blacklist, through=_M1.date(), buckets=_BUCKETS)
+    logfiles.write_log_files(spark, lines.filter(late), root, mode="append")
+    stream()
+    jobs.derive_changes(spark, warehouse, blacklist, buckets=_BUCKETS)
+    _STREAMED[key] = warehouse
+    return warehouse
 
 
 @register("ingest_stream_available_now", _expected_raw(_GOOD_HOURLY))
 def q_ingest_stream_available_now(spark, sf):
-    root = logfiles.write_log_files(spark, _lines(spark, sf))
-    out = stream_ingest.ingest_available(spark, root, layout=logfiles.SPARK_LAYOUT)
-    return spark.read.parquet(out).select(*RAW_COLUMNS)
+    """The raw log as the stream filled it, replays included."""
+    return jobs.raw_window(spark, _streamed_warehouse(spark, sf), None, None)
+
+
+@register("stream_file_quality", _QUALITY_OF_FILES)
+def q_stream_file_quality(spark, sf):
+    known = commits.committed(spark, _streamed_warehouse(spark, sf))
+    rows = tables.read_table(spark, f"{_streamed_warehouse(spark, sf)}/files_processed", "ingest_date DATE, ingest_hour INT, load STRING")
+    return rows.filter(known).select(_source_name(), "file_line_count", "file_bad_lines", "file_regex_failed")
+
+
+_RAW_PAGE_LOG = f"""(SELECT {_PL_COLS} FROM ({_expected_raw(_GOOD_HOURLY)}) e
+WHERE (NOT regexp_matches(uri, '^/notification/')) AND {_not_listed(f"({fx.agent_blacklist_sql('nation')})", "e.user_agent")})"""
+
+
+@register("late_data_page_log", f"SELECT * FROM {_RAW_PAGE_LOG} p")
+def q_late_data_page_log(spark, sf):
+    """The page log after late files were followed hour by hour."""
+    return jobs.page_log_window(spark, _streamed_warehouse(spark, sf), None)
+
+
+@register("late_data_views", _VIEWS_SQL.replace(PAGE_LOG, _RAW_PAGE_LOG))
+def q_late_data_views(spark, sf):
+    return tables.read_window(spark, f"{_streamed_warehouse(spark, sf)}/log_bounty_view", None, schema=tables.VIEW_LOG_DDL).drop("row_added")
+
+
+@register("late_data_visitors", f"""
+WITH p AS MATERIALIZED (SELECT user_id_uuid, user_id, has_wallet, CAST(time_received AS DATE) AS ymd FROM {_RAW_PAGE_LOG} q),
+seen AS (SELECT user_id_uuid, user_id, ymd, bool_or(has_wallet) AS has_wallet, count(*) AS pageviews FROM p GROUP BY 1, 2, 3),
+past AS (SELECT s.user_id_uuid, s.user_id, s.ymd, v.user_id AS past_id, max(v.ymd) AS last_visit
+         FROM seen s JOIN (SELECT DISTINCT user_id_uuid, user_id, ymd FROM p) v
+           ON v.user_id_uuid = s.user_id_uuid AND v.ymd <= CAST(s.ymd - INTERVAL 1 DAY AS DATE) GROUP BY 1, 2, 3, 4)
+SELECT s.user_id_uuid, s.user_id, s.ymd, s.has_wallet, s.pageviews, coalesce(t.last_visit, DATE '0001-01-01') AS last_visit
+FROM seen s LEFT JOIN past t
+  ON t.user_id_uuid = s.user_id_uuid AND t.ymd = s.ymd AND t.user_id IS NOT DISTINCT FROM s.user_id""")
+def q_late_data_visitors(spark, sf):
+    """Every day's visitor slice after the late files."""
+    return tables.read_table(spark, f"{_streamed_warehouse(spark, sf)}/agg_visitor_previous_visit", "ymd DATE")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

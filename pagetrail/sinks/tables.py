@@ -4,9 +4,12 @@ Layout decisions (the source's PostgreSQL child tables are re-aimed):
 
 * raw log: partitioned by event date, then by the **ingest** hour
   (``event_date``/``ingest_date``/``ingest_hour``, the latter from the file
-  path). Re-running an hour replaces exactly that hour's files' rows, whatever
+  path), then by ``load``. Re-running an hour replaces exactly that hour's files' rows, whatever
   times they carry, so rows that straddle hours are neither lost nor loaded
-  twice; readers of a time window list only its event dates.
+  twice; readers of a time window list only its event dates. The batch run of an
+  hour is the load ``batch`` and replaces all loads of the hour; a micro-batch of the stream
+  is a load of its own and replaces only itself, and is read once it is committed
+  (:mod:`pagetrail.sinks.commits`). The quality tables have the same last levels.
 * derived tables (page log, views): partitioned by the **event** date and hour,
   so "delete window then insert" is a static overwrite of those partitions.
 * daily aggregates / snapshots: partitioned by ``ymd``.
@@ -20,54 +23,58 @@ source's BRIN index). ``row_added`` is stamped at write time.
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import in_window, ntz
+from ..operators.windows import in_window, ntz, truncate_hour
 
 
-def _hour_path(root: str, hour: datetime, date_col: str, hour_col: str) -> str:
-    return f"{root}/{date_col}={hour:%Y-%m-%d}/{hour_col}={hour.hour}"
+#: The load that the batch run of an ingest hour writes.
+BATCH_LOAD = "batch"
 
 
-def write_ingest_hour(rows: DataFrame, root: str, hour: datetime, files_per_hour: int | None = None,
-                      sort_by: str | None = "time_received") -> str:
-    """SNK1 / SNK8: replace the rows loaded from one ingest hour's files."""
-    path = _hour_path(root, hour, "ingest_date", "ingest_hour")
-    out = rows.withColumn("row_added", F.localtimestamp())
-    if files_per_hour:
-        out = out.repartition(files_per_hour)
-    if sort_by:
-        out = out.sortWithinPartitions(sort_by)
-    out.write.mode("overwrite").parquet(path)
-    return path
+def _file_system(spark: SparkSession, path: str):
+    """(the path's own Hadoop file system, the path): names go to it as they are, never as patterns."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def _listing(spark: SparkSession, pattern: str) -> dict[str, tuple[str, ...]]:
-    """Directories that match a glob, each with its file names; none when nothing matches.
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file_system(spark, path)
+    return fs.exists(at)
 
-    Asked from the table's own file system: names come back as they are, and a
-    listing that fails (denied, timed out) raises instead of reading as empty.
-    """
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = {}
-    for status in fs.globStatus(path) or []:
-        if status.isDirectory():
-            found[status.getPath().toString()] = tuple(sorted(f.getPath().getName() for f in fs.listStatus(status.getPath()) if f.isFile()))
-    return found
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, at = _file_system(spark, path)
+    fs.delete(at, True)
 
-def _existing_dirs(spark: SparkSession, pattern: str) -> list[str]:
-    """Directories with files that match a glob."""
-    return sorted(d for d, files in _listing(spark, pattern).items() if files)
 
+def _partitions(spark: SparkSession, root: str, levels: list[set[str] | None]) -> dict[str, tuple[str, ...]]:
+    """Partition directories below ``root``, each with its file names.
 
-def _replace(rows: DataFrame, root: str, keys: list[str], patterns: list[str]) -> None:
-    """Make the partitions that match ``patterns`` hold exactly ``rows``.
+    ``levels`` gives the directory names wanted at each level (None: all). Asked from the table's
+    own file system; a listing that fails (denied, timed out) raises instead of reading as empty.
+    """
+    fs, at = _file_system(spark, root)
+    level = [at] if fs.exists(at) else []
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for names in levels:
+        below = []
+        for d in level:
+            if names is not None and len(names) == 1:
+                below += [c for c in [Path(d, next(iter(names)))] if fs.exists(c)]
+            else:
+                below += [s.getPath() for s in fs.listStatus(d) if s.isDirectory() and "=" in s.getPath().getName()
+                          and (names is None or s.getPath().getName() in names)]
+        level = below
+    return {d.toString(): tuple(sorted(f.getPath().getName() for f in fs.listStatus(d) if f.isFile())) for d in level}
+
+
+def _replace(rows: DataFrame, root: str, keys: list[str], wanted: list[list[set[str] | None]]) -> None:
+    """Make the partitions that ``wanted`` describes hold exactly ``rows``.
 
     One job overwrites every partition it has rows for when it commits; then the
     matching partitions that it did not touch (their files are the same as before)
@@ -75,56 +82,68 @@ def _replace(rows: DataFrame, root: str, keys: list[str], patterns: list[str]) -
     fails in between can simply be repeated.
     """
     spark = rows.sparkSession
-    before = {d: files for p in patterns for d, files in _listing(spark, p).items()}
+    before = {d: files for levels in wanted for d, files in _partitions(spark, root, levels).items()}
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
-    after = {d: files for p in patterns for d, files in _listing(spark, p).items()}
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    after = {d: files for levels in wanted for d, files in _partitions(spark, root, levels).items()}
     for d in sorted(before):
         if after.get(d) == before[d]:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(d)
-            path.getFileSystem(conf).delete(path, True)
+            delete(spark, d)
 
 
-def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None) -> None:
-    """SNK1 / SNK8-9 for the raw log: replace what the files of ``hours`` loaded.
+def _by_date(hours: list[datetime]) -> dict[date, set[int]]:
+    out: dict[date, set[int]] = {}
+    for h in hours:
+        out.setdefault(h.date(), set()).add(h.hour)
+    return out
 
-    Layout ``event_date=E/ingest_date=D/ingest_hour=H``: readers of a time
-    window list only its event dates (exact, since ``event_date`` is the date of
-    the row's own time), while a re-run of an ingest hour replaces that hour under
-    every event date (one glob over the event-date level), in one job without a
-    shuffle. ``hour_col``
-    names a TIMESTAMP_NTZ column with each row's ingest hour; without it all
-    rows belong to the single hour in ``hours``.
+
+def write_loads(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None, load: str = BATCH_LOAD,
+                by_event_date: bool = False, sort_by: str | None = None) -> None:
+    """SNK1-3, SNK8-9: replace what ``load`` brought for the ingest ``hours`` (the batch load: what any load brought).
+
+    ``hour_col`` names a TIMESTAMP_NTZ column with each row's ingest hour, which must be one of ``hours`` (others
+    fail the run); without it all rows belong to the single hour. One job without a shuffle.
     """
+    if not hours:
+        return
     if hour_col is None:
         (h,) = hours
-        rows = rows.withColumn("_ingest_hour", ntz(h))
-        hour_col = "_ingest_hour"
-    out = (rows.withColumn("row_added", F.localtimestamp())
-           .withColumn("event_date", F.to_date(F.col("time_received")))
-           .withColumn("ingest_date", F.to_date(F.col(hour_col)))
-           .withColumn("ingest_hour", F.hour(F.col(hour_col)))
+        rows, hour_col = rows.withColumn("_ingest_hour", ntz(h)), "_ingest_hour"
+    hour = F.col(hour_col)
+    known = F.when(hour.isin([ntz(h) for h in hours]), hour).otherwise(
+        F.raise_error(F.concat(F.lit("row of an hour that is not replaced: "), F.coalesce(hour.cast("string"), F.lit("none")))))
+    out = rows.withColumn("row_added", F.localtimestamp()).withColumn(hour_col, known)
+    if by_event_date:
+        out = out.withColumn("event_date", F.to_date(F.col("time_received")))
+    out = (out.withColumn("ingest_date", F.to_date(hour)).withColumn("ingest_hour", F.hour(hour)).withColumn("load", F.lit(load))
            .drop(hour_col))
-    _replace(out.sortWithinPartitions("event_date", "ingest_date", "ingest_hour", "time_received"), root,
-             ["event_date", "ingest_date", "ingest_hour"],
-             [f"{root}/event_date=*/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}" for h in hours])
+    keys = [*(["event_date"] if by_event_date else []), "ingest_date", "ingest_hour", "load"]
+    out = out.sortWithinPartitions(*keys, *([sort_by] if sort_by else []))
+    loads = None if load == BATCH_LOAD else {f"load={load}"}
+    wanted = [[*([None] if by_event_date else []), {f"ingest_date={d:%Y-%m-%d}"}, {f"ingest_hour={h}" for h in hs}, loads]
+              for d, hs in _by_date(hours).items()]
+    _replace(out, root, keys, wanted)
 
 
-def write_ingest_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str = "_ingest_hour",
-                       sort_by: str | None = "time_received") -> None:
-    """SNK1 / SNK9: replace several ingest hours in one job.
+def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None, load: str = BATCH_LOAD) -> None:
+    """SNK1 / SNK8-9 for the raw log: replace what the files of ``hours`` loaded.
 
-    ``rows`` carries each row's ingest hour in ``hour_col``; the listed hours'
-    partitions are replaced without a shuffle.
+    Layout ``event_date=E/ingest_date=D/ingest_hour=H/load=L``: readers of a time
+    window list only its event dates (exact, since ``event_date`` is the date of
+    the row's own time), while a re-run of an ingest hour replaces that hour under
+    every event date.
     """
-    out = (rows.withColumn("row_added", F.localtimestamp())
-           .withColumn("ingest_date", F.to_date(F.col(hour_col)))
-           .withColumn("ingest_hour", F.hour(F.col(hour_col)))
-           .drop(hour_col))
-    if sort_by:
-        out = out.sortWithinPartitions("ingest_date", "ingest_hour", sort_by)
-    _replace(out, root, ["ingest_date", "ingest_hour"],
-             [f"{root}/ingest_date={h:%Y-%m-%d}/ingest_hour={h.hour}" for h in hours])
+    write_loads(rows, root, hours, hour_col, load, by_event_date=True, sort_by="time_received")
+
+
+def write_hours(rows: DataFrame, root: str, hours: list[datetime], date_col: str = "event_date", hour_col: str = "event_hour") -> None:
+    """SNK4-5 / SNK10 for any set of whole hours: their partitions hold exactly the ``rows`` of those hours."""
+    ts = F.col("time_received")
+    kept = rows.filter(truncate_hour(ts).isin([ntz(h) for h in hours])) if hours else rows.filter(F.lit(False))
+    stamped = (kept.withColumn("row_added", F.localtimestamp())
+               .withColumn(date_col, F.to_date(ts)).withColumn(hour_col, F.hour(ts)))
+    wanted = [[{f"{date_col}={d:%Y-%m-%d}"}, {f"{hour_col}={h}" for h in hs}] for d, hs in _by_date(hours).items()]
+    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], wanted)
 
 
 def write_window(rows: DataFrame, root: str, start: datetime, end: datetime,
@@ -143,11 +162,9 @@ def write_window(rows: DataFrame, root: str, start: datetime, end: datetime,
                .withColumn(date_col, F.to_date(ts))
                .withColumn(hour_col, F.hour(ts)))
     hours = [start + timedelta(hours=i) for i in range(int((end - start).total_seconds() // 3600))]
-    days = sorted({h.date() for h in hours})
-    whole = [d for d in days if sum(h.date() == d for h in hours) == 24]
-    patterns = [f"{root}/{date_col}={d:%Y-%m-%d}/{hour_col}=*" for d in whole]
-    patterns += [_hour_path(root, h, date_col, hour_col) for h in hours if h.date() not in whole]
-    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], patterns)
+    wanted = [[{f"{date_col}={d:%Y-%m-%d}"}, None if len(hs) == 24 else {f"{hour_col}={h}" for h in hs}]
+              for d, hs in _by_date(hours).items()]
+    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], wanted)
 
 
 def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:
@@ -159,7 +176,8 @@ def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:
 
 def write_slices(rows: DataFrame, root: str, days: list[date], col: str = "ymd") -> None:
     """SNK6-7 / SNK11 for several days: replace their slices in one job."""
-    _replace(rows, root, [col], [f"{root}/{col}={d:%Y-%m-%d}" for d in days])
+    if days:
+        _replace(rows, root, [col], [[{f"{col}={d:%Y-%m-%d}" for d in days}]])
 
 
 # Stored schemas (without partition columns), used to read tables that have no files yet.
@@ -176,6 +194,18 @@ VIEW_LOG_DDL = ("time_received TIMESTAMP_NTZ, bounty_id INT, user_agent STRING,
                 "row_added TIMESTAMP_NTZ")
 
 
+def _as_is(path: str) -> str:
+    """A path whose special characters Spark's readers, which take patterns, take as they are."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def read_known(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """A partitioned table by its full schema; empty while its folder does not exist."""
+    if not exists(spark, root):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(_as_is(root))
+
+
 def read_table(spark: SparkSession, root: str, partition_schema: str, schema: str | None = None) -> DataFrame:
     """Read a partitioned table with its partition columns typed as given.
 
@@ -186,10 +216,10 @@ def read_table(spark: SparkSession, root: str, partition_schema: str, schema: st
     """
     if schema is not None:
         full = f"{schema}, {partition_schema}"
-        if not _listing(spark, root):  # the folder does not exist yet
+        if not exists(spark, root):
             return spark.createDataFrame([], full)
-        return spark.read.schema(full).option("basePath", root).parquet(root)
-    df = spark.read.option("basePath", root).parquet(root)
+        return spark.read.schema(full).option("basePath", root).parquet(_as_is(root))
+    df = spark.read.option("basePath", root).parquet(_as_is(root))
     for field in partition_schema.split(","):
         name, typ = field.strip().split()
         df = df.withColumn(name, F.col(name).cast(typ))
@@ -212,28 +242,45 @@ def read_window(spark: SparkSession, root: str, start: datetime | None, end: dat
     return df.drop(date_col, hour_col)
 
 
-def read_ingested(spark: SparkSession, root: str, start: datetime | None, end: datetime | None = None) -> DataFrame:
+def read_dates(spark: SparkSession, root: str, days: list[date], partition_schema: str, schema: str) -> DataFrame:
+    """Rows of an event-partitioned table on the given event dates; only their directories are listed and read."""
+    paths = [p for p in (f"{root}/event_date={d:%Y-%m-%d}" for d in days) if exists(spark, p)]
+    full = f"{schema}, {partition_schema}"
+    if not paths:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", root).parquet(*map(_as_is, paths))
+
+
+def raw_hours(spark: SparkSession, root: str, hours: list[datetime]) -> DataFrame:
+    """(time_received) of the raw rows filed under the ingest hours, whatever load brought them."""
+    paths = [d for day, hs in _by_date(hours).items()
+             for d in _partitions(spark, root, [None, {f"ingest_date={day:%Y-%m-%d}"}, {f"ingest_hour={h}" for h in hs}, None])]
+    if not paths:
+        return spark.createDataFrame([], "time_received timestamp_ntz")
+    return spark.read.schema("time_received TIMESTAMP_NTZ").parquet(*map(_as_is, paths))
+
+
+def read_ingested(spark: SparkSession, root: str, start: datetime | None, end: datetime | None = None,
+                  committed: Column | None = None) -> DataFrame:
     """Raw-log rows in ``[start, end)`` (``None``: unbounded).
 
     Only the event-date directories of the window are listed and read; the row
-    predicate is pushed into the Parquet scan.
+    predicate is pushed into the Parquet scan. ``committed`` (on the partition column
+    ``load``) keeps out loads that are not committed yet.
     """
-    parts = "event_date DATE, ingest_date DATE, ingest_hour INT"
-    full = f"{RAW_LOGS_DDL}, {parts}"
+    parts = "event_date DATE, ingest_date DATE, ingest_hour INT, load STRING"
     if start is not None and end is not None:
         last = (end - timedelta(microseconds=1)).date()
         days = [start.date() + timedelta(days=i) for i in range((last - start.date()).days + 1)]
-        paths = [p for p in (f"{root}/event_date={d:%Y-%m-%d}" for d in days)
-                 if _existing_dirs(spark, f"{p}/*/*")]
-        if not paths:
-            return spark.createDataFrame([], full).drop("event_date", "ingest_date", "ingest_hour")
-        df = spark.read.schema(full).option("basePath", root).parquet(*paths)
+        df = read_dates(spark, root, days, parts, RAW_LOGS_DDL)
     else:
         df = read_table(spark, root, parts, RAW_LOGS_DDL)
         if start is not None:
             df = df.filter(F.col("event_date") >= F.lit(start.date()))
         if end is not None:
             df = df.filter(F.col("event_date") <= F.lit(end.date()))
+    if committed is not None:
+        df = df.filter(committed)
     return (df.filter(in_window(F.col("time_received"), start, end) if start is not None
                       else F.col("time_received") < ntz(end) if end is not None else F.lit(True))
-            .drop("event_date", "ingest_date", "ingest_hour"))
+            .drop("event_date", "ingest_date", "ingest_hour", "load"))

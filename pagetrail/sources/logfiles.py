@@ -79,6 +79,47 @@ def read_log_lines(spark: SparkSession, root: str, hour: datetime | None = None,
     return lines.unionByName(marks).unionByName(_empty_files(spark, text, listing))
 
 
+def scan_log_lines(spark: SparkSession, root: str, hour: datetime | None = None, day: date | None = None,
+                   layout: str = SOURCE_LAYOUT, glob: str | None = None,
+                   strict_utf8: bool = True) -> tuple[DataFrame, DataFrame] | None:
+    """One map-only scan: ((filename, split, seq, size, line), (filename) of every file listed); None without a folder.
+
+    A line's place is its split and ``seq``, whose order within the split is the lines' order: absolute
+    numbers follow from the splits' line counts (:mod:`pagetrail.plans.staging`). Zero-length files and
+    files of only a byte-order mark are listed but have no row.
+    """
+    if glob is None:
+        glob = "*.log" if layout == SOURCE_LAYOUT else "*.txt"
+    path = root if hour is None and day is None else f"{root}/{_hour_dir(layout, hour or day, hour is not None)}"
+    try:
+        text = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", glob)
+                .option("recursiveFileLookup", "true").load(path))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    return placed_lines(split_columns(text), strict_utf8), listed_files(spark, text)
+
+
+def placed_lines(rows: DataFrame, strict_utf8: bool = True) -> DataFrame:
+    """(filename, split, seq, size, line) of :func:`split_columns` rows (of a scan or a micro-batch)."""
+    rows = rows.select("filename", F.col("_split").alias("split"), F.monotonically_increasing_id().alias("seq"),
+                                      F.col("_size").alias("size"), "line")
+    if not strict_utf8:
+        return rows
+    return rows.withColumn("line", F.when(F.is_valid_utf8(F.col("line")), F.col("line"))
+                           .otherwise(F.raise_error(F.concat(F.lit("invalid UTF-8 in "), F.col("filename")))))
+
+
+def listed_files(spark: SparkSession, text: DataFrame) -> DataFrame:
+    """(filename) of every file a file scan listed, also those without bytes, which it does not read.
+
+    Spark's own file index holds these names on the driver already; they go back as one small table.
+    """
+    return (spark.createDataFrame([(p,) for p in text.inputFiles()], "filename string")
+            .select(_plain_path(F.col("filename")).alias("filename")))
+
+
 def path_hour(filename, layout: str = SOURCE_LAYOUT):
     """TIMESTAMP_NTZ of the hour a file is filed under, read from its path by ``layout``."""
     pattern = (layout.replace("{Y}", r"(\d{4})").replace("{m}", r"(\d{2})").replace("{d}", r"(\d{2})")
@@ -161,7 +202,22 @@ def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return numbered.unionByName(tails), splits.filter(F.col("_split") == 0).select("filename")
 
 
-def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = None) -> str:
+def empty_files(spark: SparkSession, root: str, layout: str = SOURCE_LAYOUT, glob: str | None = None) -> DataFrame:
+    """(filename) of the files without a line under ``root``: of no bytes, or of only a byte-order mark."""
+    if glob is None:
+        glob = "*.log" if layout == SOURCE_LAYOUT else "*.txt"
+    read = lambda form: (spark.read.format(form).option("pathGlobFilter", glob)
+                         .option("recursiveFileLookup", "true").load(root))
+    listed = listed_files(spark, read("text")).withColumn("_file", _normal_path(F.col("filename")))
+    found = read("binaryFile")
+    with_bytes = found.select(_normal_path(F.col("path")).alias("_file"))
+    only_mark = (found.where("length = 3").where(F.col("content") == F.expr("X'EFBBBF'"))
+                 .select(_normal_path(F.col("path")).alias("_file")))
+    none = listed.join(with_bytes, "_file", "left_anti")
+    return none.unionByName(listed.join(only_mark, "_file", "left_semi")).select("filename")
+
+
+def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = None, mode: str = "overwrite") -> str:
     """Write (filename, line_number, line) rows as one text file per ``filename``.
 
     Files go under ``root`` (default: a fresh folder in the shared checkpoint
@@ -169,7 +225,7 @@ def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = No
     ``logs/YYYY/MM/DD/HH/<name>.log``. A file's lines are gathered in one row;
     this is bounded because a log file is (a few MB of lines). The text writer
     ends every file with a newline, so each file reads back with one extra,
-    empty last line.
+    empty last line. ``mode="append"`` adds files beside those already there.
     """
     root = root or scratch_path(spark, "logfiles")
     path_re = r"(\d{4})/(\d{2})/(\d{2})/(\d{2})/([^/]+)$"
@@ -180,5 +236,5 @@ def write_log_files(spark: SparkSession, lines: DataFrame, root: str | None = No
                  F.regexp_extract("filename", path_re, 5).alias("file"),
                  F.array_join(F.transform("_ls", lambda x: x.getField("line")), "\n").alias("value")))
     (files.repartition("hour", "file")
-     .write.mode("overwrite").partitionBy("hour", "file").text(root))
+     .write.mode(mode).partitionBy("hour", "file").text(root))
     return root
