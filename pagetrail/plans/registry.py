@@ -650,11 +650,11 @@ _STREAMED: dict[tuple, str] = {}
 
 
 def _streamed_warehouse(spark, sf):
-    """A warehouse filled by the stream and its followers, with a replayed batch and then late files.
+    """A warehouse filled by the stream and its followers, with late files in a replayed batch.
 
-    All files but those of one hour are streamed; the last micro-batch is replayed, once after its commit and
-    once as if the run had died before it; page log, views and every visitor slice follow the change feed. Then
-    the late hour's files arrive and are followed in turn. Three queries read its tables: it is filled once a session.
+    All files but those of one hour are streamed; page log, views and every visitor slice follow the change feed.
+    Then the late hour's files arrive, and their micro-batch is replayed, once after its commit and once as if the
+    run had died before it; they are followed in turn. Five queries read the tables: they are filled once a session.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key in _STREAMED:
@@ -666,15 +666,15 @@ def _streamed_warehouse(spark, sf):
     stream = lambda: stream_ingest.ingest_available(spark, root, warehouse, checkpoint, layout=logfiles.SPARK_LAYOUT)
     blacklist = fx.agent_blacklist(spark, fx.load(spark, sf, "nation"))
     stream()
+    jobs.derive_changes(spark, warehouse, blacklist, through=_M1.date(), buckets=_BUCKETS)
+    logfiles.write_log_files(spark, lines.filter(late), root, mode="append")
+    stream()
     load = max(commits.last_loads(spark, warehouse).values())
     for committed in (True, False):
-        tables.delete(spark, f"{checkpoint}/commits/0")  # Spark then replays the micro-batch
+        tables.delete(spark, f"{checkpoint}/commits/1")  # Spark then replays the micro-batch
         if not committed:
             tables.delete(spark, f"{warehouse}/{commits.COMMITS}/load={load}")
         stream()
-    jobs.derive_changes(spark, warehouse, blacklist, through=_M1.date(), buckets=_BUCKETS)
-    logfiles.write_log_files(spark, lines.filter(late), root, mode="append")
-    stream()
     jobs.derive_changes(spark, warehouse, blacklist, buckets=_BUCKETS)
     _STREAMED[key] = warehouse
     return warehouse
