@@ -23,6 +23,12 @@ def ntz(value: datetime) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
+def is_one_of(ts: str, hours: list[datetime]) -> Column:
+    """The zone-less timestamp column ``ts`` equals one of the given times."""
+    listed = ", ".join(f"TIMESTAMP_NTZ'{h:%Y-%m-%d %H:%M:%S}'" for h in hours)
+    return F.expr(f"`{ts}` IN ({listed})") if hours else F.lit(False)
+
+
 def truncate_hour(ts: Column) -> Column:
     """The hour of a TIMESTAMP_NTZ, computed from its fields (no time-zone round trip)."""
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))

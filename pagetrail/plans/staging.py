@@ -54,6 +54,7 @@ class ParsedFiles:
             spark.read.schema(literal.schema).parquet(f"{self.folder}/literal"))
         self._count_splits().write.parquet(f"{self.folder}/splits")
         self.splits = spark.read.parquet(f"{self.folder}/splits")
+        self._quality: DataFrame | None = None
         self._marked = self.splits.where("marked").limit(1).count() > 0
 
     def _count_splits(self) -> DataFrame:
@@ -101,6 +102,12 @@ class ParsedFiles:
 
     def quality(self) -> DataFrame:
         """(filename, file_line_count, file_bad_lines, file_regex_failed) of every listed file."""
+        if self._quality is None:
+            self._count_files().write.parquet(f"{self.folder}/quality")
+            self._quality = self.spark.read.parquet(f"{self.folder}/quality")
+        return self._quality
+
+    def _count_files(self) -> DataFrame:
         head = F.col("split") == 0
         tail = F.max(F.col("ends_nl").cast("int"))
         first_bad = F.max((head & F.col("marked") & (F.col("first_outcome") != BAD)).cast("int"))
@@ -125,6 +132,8 @@ class ParsedFiles:
         found.write.parquet(f"{self.folder}/left-out")
         found = self.spark.read.parquet(f"{self.folder}/left-out")
         if found.limit(1).count():
+            if self._quality is not None:
+                raise ValueError("files are left out before they are counted")
             self.rows, self.splits = (x.join(found, "filename", "left_anti") for x in (self.rows, self.splits))
 
     def drop(self) -> None:

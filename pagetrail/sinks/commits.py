@@ -30,7 +30,7 @@ def _publish(rows: DataFrame, folder: str, name: str) -> None:
     """Write ``rows`` as one file under ``folder/name``, visible at once when complete; a repeat replaces it."""
     spark = rows.sparkSession
     hidden = f"{folder}/_{name}-{uuid.uuid4().hex}"
-    rows.coalesce(1).write.parquet(hidden)
+    rows.repartition(1).write.parquet(hidden)
     delete(spark, f"{folder}/{name}")
     fs, at = _file_system(spark, hidden)
     if not fs.rename(at, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")):

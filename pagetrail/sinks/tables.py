@@ -29,7 +29,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import in_window, ntz, truncate_hour
+from ..operators.windows import in_window, is_one_of, ntz, truncate_hour
 
 
 #: The load that the batch run of an ingest hour writes.
@@ -110,7 +110,7 @@ def write_loads(rows: DataFrame, root: str, hours: list[datetime], hour_col: str
         (h,) = hours
         rows, hour_col = rows.withColumn("_ingest_hour", ntz(h)), "_ingest_hour"
     hour = F.col(hour_col)
-    known = F.when(hour.isin([ntz(h) for h in hours]), hour).otherwise(
+    known = F.when(is_one_of(hour_col, hours), hour).otherwise(
         F.raise_error(F.concat(F.lit("row of an hour that is not replaced: "), F.coalesce(hour.cast("string"), F.lit("none")))))
     out = rows.withColumn("row_added", F.localtimestamp()).withColumn(hour_col, known)
     if by_event_date:
@@ -139,7 +139,7 @@ def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col:
 def write_hours(rows: DataFrame, root: str, hours: list[datetime], date_col: str = "event_date", hour_col: str = "event_hour") -> None:
     """SNK4-5 / SNK10 for any set of whole hours: their partitions hold exactly the ``rows`` of those hours."""
     ts = F.col("time_received")
-    kept = rows.filter(truncate_hour(ts).isin([ntz(h) for h in hours])) if hours else rows.filter(F.lit(False))
+    kept = rows.withColumn("_hour", truncate_hour(ts)).filter(is_one_of("_hour", hours)).drop("_hour")
     stamped = (kept.withColumn("row_added", F.localtimestamp())
                .withColumn(date_col, F.to_date(ts)).withColumn(hour_col, F.hour(ts)))
     wanted = [[{f"{date_col}={d:%Y-%m-%d}"}, {f"{hour_col}={h}" for h in hs}] for d, hs in _by_date(hours).items()]

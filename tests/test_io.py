@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from test_parse import ACCESS, env
-from pagetrail.operators.parse import good_rows, parse_lines
-from pagetrail.operators.quality import file_quality
-from pagetrail.sinks import tables
+from pagetrail.operators.parse import good_rows, parse_lines, rejected_rows
+from pagetrail.operators.quality import failure_samples, file_quality
+from pagetrail.plans import jobs
+from pagetrail.plans.staging import parse_files
+from pagetrail.sinks import commits, tables
 from pagetrail.sources.logfiles import read_log_lines
 from pagetrail.streaming.ingest import ingest_available
 
@@ -95,25 +97,110 @@ def test_write_slice_and_ingest_hour(spark, tmp_dir):
     assert got.count() == 1
 
 
-def test_stream_matches_batch_and_is_incremental(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "logs")
+def rows_in(spark, wh):
+    return sorted(map(str, jobs.raw_window(spark, wh, None).collect()))
+
+
+def quality_in(spark, wh):
+    rows = tables.read_table(spark, f"{wh}/files_processed", "ingest_date DATE, ingest_hour INT, load STRING")
+    return sorted((os.path.basename(r.filename), r.file_line_count, r.file_bad_lines, r.file_regex_failed)
+                  for r in rows.filter(commits.committed(spark, wh)).collect())
+
+
+def test_stream_into_the_raw_log_is_exactly_once(spark, tmp_dir, monkeypatch):
+    src, wh, ck = (os.path.join(tmp_dir, n) for n in ("logs", "wh", "ck"))
     write_file(src, "2019/01/21/00/a.log", LINE + "\n" + LINE + "\n")
-    write_file(src, "2019/01/21/01/b.log", LINE + "\nnot a literal")
-    out = os.path.join(tmp_dir, "out")
-    rows_path = ingest_available(spark, src, out=out)
-    streamed = spark.read.parquet(rows_path)
-    batch = good_rows(parse_lines(read_log_lines(spark, src)))
-    assert sorted(map(tuple, streamed.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
-    assert streamed.count() == 3
-    # nothing new: no new rows
-    ingest_available(spark, src, out=out)
-    assert spark.read.parquet(rows_path).count() == 3
-    # a new file: only it is processed
+    write_file(src, "2019/01/21/01/b.log", LINE + "\nnot a literal\n" + env(ACCESS.replace("pid: 12", "pid: 99999999999") + "\n"))
+    write_file(src, "2019/01/21/01/empty.log", "")
+    write_file(src, "2019/01/21/01/mark.log", "\ufeff")
+    ingest_available(spark, src, wh, ck)
+    batch = os.path.join(tmp_dir, "batch")
+    for h in (0, 1):
+        jobs.ingest_hour(spark, src, batch, datetime(2019, 1, 21, h))
+    assert rows_in(spark, wh) == rows_in(spark, batch) and len(rows_in(spark, wh)) == 3
+    assert quality_in(spark, wh) == quality_in(spark, batch) == [
+        ("a.log", 3, 1, 0), ("b.log", 3, 1, 0), ("empty.log", 1, 1, 0), ("mark.log", 1, 1, 0)]
+    rejected = spark.read.parquet(f"{wh}/rejected_lines").collect()
+    assert [(os.path.basename(r.filename), r.line_number) for r in rejected] == [("b.log", 3)]
+    # nothing new: nothing loaded
+    loads = commits.last_loads(spark, wh)
+    ingest_available(spark, src, wh, ck)
+    assert commits.last_loads(spark, wh) == loads and len(rows_in(spark, wh)) == 3
+    # a new file, and a run that dies between its rows and its commit
     write_file(src, "2019/01/21/02/c.log", LINE)
-    ingest_available(spark, src, out=out)
-    assert spark.read.parquet(rows_path).count() == 4
-    quality = spark.read.parquet(os.path.join(out, "quality"))
-    assert quality.agg(F.sum("file_line_count")).collect()[0][0] == 3 + 2 + 1
+    with monkeypatch.context() as m:
+        m.setattr(commits, "commit", lambda *a: (_ for _ in ()).throw(OSError("died")))
+        with pytest.raises(Exception):
+            ingest_available(spark, src, wh, ck)
+    assert len(rows_in(spark, wh)) == 3                              # not committed: not read
+    ingest_available(spark, src, wh, ck)                             # replayed by the stream
+    assert len(rows_in(spark, wh)) == 4
+    # replayed after its commit: found and left
+    tables.delete(spark, f"{ck}/commits/1")
+    ingest_available(spark, src, wh, ck)
+    assert len(rows_in(spark, wh)) == 4 and len(quality_in(spark, wh)) == 5
+    # the batch run of an hour takes over what the stream loaded there
+    jobs.ingest_hour(spark, src, wh, datetime(2019, 1, 21, 2))
+    assert len(rows_in(spark, wh)) == 4
+    write_file(src, "2019/01/21/02/d.log", LINE)
+    jobs.ingest_hour(spark, src, wh, datetime(2019, 1, 21, 2))
+    ingest_available(spark, src, wh, ck)                             # finds d.log loaded already
+    assert len(rows_in(spark, wh)) == 5 and len(quality_in(spark, wh)) == 6
+    with pytest.raises(ValueError):
+        ingest_available(spark, src, wh, "")
+
+
+def test_one_scan_numbers_like_the_line_reader(spark, tmp_dir):
+    """Numbers, counts and rows of the staged parse equal those of the reader that numbers every line."""
+    bad_uuid = env(ACCESS.replace("pid: 12", "pid: 99999999999") + "\n")
+    body = [LINE, "", "{'log': 'GET / 200\\n'}", env("GET / 200\n"), bad_uuid, "{'log': None}", "x"] * 40
+    contents = {"a.log": "\n".join(body) + "\n", "b.log": "\n".join(body[3:]), "empty.log": "", "mark.log": "\ufeff",
+                "marked good.log": "\ufeff" + LINE + "\n" + LINE, "marked failed.log": "\ufeff" + env("GET / 200\n") + "\n", "nl.log": "\n"}
+    for name, text in contents.items():
+        write_file(tmp_dir, f"2019/01/21/00/{name}", text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        staged = parse_files(spark, tmp_dir, hour=datetime(2019, 1, 21))
+        parsed = parse_lines(read_log_lines(spark, tmp_dir, hour=datetime(2019, 1, 21))).cache()
+        parsed.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    plain = lambda df: df.withColumn("filename", F.regexp_replace("filename", "^file:/+", "/"))
+    assert same(staged.good(), good_rows(parsed))
+    assert same(plain(staged.samples()), plain(failure_samples(parsed)))
+    assert same(plain(staged.rejected()), plain(rejected_rows(parsed)))
+    assert same(plain(staged.quality()), plain(file_quality(parsed)))
+    assert staged.quality().count() == len(contents)
+    with pytest.raises(ValueError, match="unstorable"):
+        staged.good(strict=True)
+    parsed.unpersist()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = lambda df: df._jdf.queryExecution().toString()
+        clean = parse_files(spark, os.path.join(tmp_dir, "nothing here"), hour=datetime(2019, 1, 21))
+        assert "Exchange" not in text(clean.good()) and "Join" not in text(clean.good())  # no file has a mark
+        assert "ArrowEvalPython" not in text(staged.good()) and "FileScan text" not in text(staged.quality())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_root_with_pattern_characters(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "wh[1]{a}*?")
+    h9, h10, h11 = (datetime(2024, 1, 5, h) for h in (9, 10, 11))
+    tables.write_window(pl_rows(spark, [h9, h10]), root, h9, h11)
+    tables.write_window(pl_rows(spark, [h10]), root, h9, h11)
+    read = tables.read_window(spark, root, h9, h11, schema=tables.PAGE_LOG_DDL).collect()
+    assert [r.time_received for r in read] == [h10]
+
+
+def test_rows_of_other_hours_are_refused(spark, tmp_dir):
+    lines = spark.createDataFrame([("f", 1, LINE)], "filename string, line_number int, line string")
+    rows = good_rows(parse_lines(lines)).withColumn("h", F.lit("2019-01-21 05:00:00").cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="hour that is not replaced"):
+        tables.write_raw_hours(rows, os.path.join(tmp_dir, "raw"), [datetime(2019, 1, 21, 4)], hour_col="h")
 
 
 def test_split_reader_equals_python_split(spark, tmp_dir):
@@ -162,7 +249,7 @@ def test_rewriting_a_path_with_a_space_and_an_unreadable_file(spark, tmp_dir):
     for _ in range(2):
         tables.write_raw_hours(good_rows(parse_lines(lines)), root, [hour])
     assert tables.read_ingested(spark, root, None).count() == 1
-    broken = os.path.join(root, "event_date=2019-01-21", "ingest_date=2019-01-21", "ingest_hour=0", "part-broken.parquet")
+    broken = os.path.join(root, "event_date=2019-01-21", "ingest_date=2019-01-21", "ingest_hour=0", "load=batch", "part-broken.parquet")
     write_file(os.path.dirname(broken), "part-broken.parquet", "not parquet")
     with pytest.raises(Exception):
         tables.read_ingested(spark, root, None).collect()
