@@ -113,6 +113,48 @@ def test_visitor_history_table_gives_same_answer(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
+def test_hot_and_null_uuids_are_joined_apart(spark, monkeypatch):
+    """A uuid with a third of a day's rows, and a third without one: same rows, salted and set aside."""
+    rows = [row(at(0), uuid="hot", user_id=i) for i in range(40)] + [row(at(0), uuid=None, user_id=i) for i in range(40)]
+    rows += [row(at(0), uuid=f"u{i}", user_id=i) for i in range(40)] + [row(at(-2), uuid="hot", user_id=i) for i in (1, 99)]
+    rows += [row(at(-3), uuid=f"u{i}", user_id=None) for i in range(0, 40, 2)] + [row(at(-1), uuid=None, user_id=3)]
+    pl = frame(spark, rows)
+    assert visitors.hot_uuids(visitors.daily_pageviews(pl, D)) == ["hot"]
+    for keys in (("user_id_uuid",), ("user_id_uuid", "user_id")):
+        split = sorted(map(str, visitors.visitor_previous_visit(pl, D, keys).collect()))
+        days = sorted(map(str, visitors.visitor_previous_visits(pl, [D], keys).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(visitors, "hot_uuids", lambda daily: [])
+            plain = sorted(map(str, visitors.visitor_previous_visit(pl, D, keys).collect()))
+        assert split == plain == days and len(plain) == (160 if len(keys) == 1 else 120)
+
+
+def test_state_side_is_never_moved(spark, tmp_dir):
+    from pagetrail.sinks.visitor_state import VisitorState
+    pl = frame(spark, [row(at(k), uuid=u, user_id=i) for k in range(-6, 1) for i, u in enumerate("abcdefgh") if (k + i) % 3 == 0])
+    state = VisitorState(spark, tmp_dir, buckets=4)
+    past = [D + timedelta(days=k) for k in range(-6, 0)]
+    state.put_days(past, pl.withColumn("visited", F.to_date("time_received")).filter(F.col("visited") < F.lit(D)))
+    state.put_upto(D + timedelta(days=-4))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for day in (D, D + timedelta(days=-2)):                       # the second is backdated
+            history = state.visits(day - timedelta(days=1), day).withColumnRenamed("visited", "ymd")
+            got = visitors.visitor_previous_visit(pl, day, history=history)
+            want = visitors.visitor_previous_visit(pl, day)
+            assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+            plan = got._jdf.queryExecution().sparkPlan().toString()
+            physical = got._jdf.queryExecution().executedPlan().toString()
+            physical = physical.split("== Initial Plan ==")[-1]
+            state_side = physical[physical.index("pt_state"):]
+            assert "Bucketed: true" in physical and physical.count("Exchange hashpartitioning") == 2, plan
+            assert state_side.count("Exchange") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    state.close()
+
+
 def test_snapshot(spark):
     df = spark.createDataFrame([(1, "t", "d", "Active", 1.5, 7, datetime(2024, 2, 1), datetime(2024, 1, 1))],
                                "bounty_id int, title string, description string, bountyStage string, "

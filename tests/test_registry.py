@@ -15,7 +15,9 @@ from check_oracle import TABLES, rows_of  # noqa: E402
 from pagetrail.plans import registry  # noqa: E402
 
 SLOW = {"ingest_files_roundtrip", "ingest_stream_available_now", "file_quality_roundtrip",
-        "bounty_view_log_via_tables"}
+        "bounty_view_log_via_tables", "stream_file_quality", "late_data_page_log", "late_data_views", "late_data_visitors",
+        "ingest_hour_prefix", "ingest_day_prefix", "failing_lines_of_files", "raw_log_rewritten", "page_log_rewritten",
+        "files_processed_rewritten", "failure_samples_rewritten", "bounty_views_rewritten", "visitor_previous_visit_from_state"}
 
 
 @pytest.fixture(scope="module")
