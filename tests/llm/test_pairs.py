@@ -169,6 +169,31 @@ def test_passages_repeated_in_one_document(spark):
     assert got == {(20, 80), (180, 240)}
 
 
+def test_repeated_ids_keep_their_other_texts(spark):
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    passage = text(70)
+    rows = [(1, passage), (7, passage + " " + text(9)), (7, text(200)), (7, "short"), (8, passage), (8, passage)]
+    docs = table(spark, rows)
+    kept = substring_dedup.without_passages(docs, substring_dedup.passages(docs)).collect()
+    left = sorted((r.doc_id, r.text) for r in kept if r.doc_id == 7)
+    whole = sorted((d, t) for d, t in rows if d == 7 and not t.startswith(passage))
+    assert [x for x in left if x in whole] == whole and len(left) == 3     # only the text with the passage may be cut
+    assert [r.doc_id for r in kept if r.doc_id == 8] == []                 # equal rows are cut alike
+
+
+def test_chunks_find_what_one_chunk_finds(spark, monkeypatch):
+    rng = random.Random(13)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    shared = [text(60) for _ in range(8)]
+    rows = [(i, " ".join(text(30) + shared[i % 8] + text(30))) for i in range(80)]
+    for chunk in (2_000_000, 300):
+        monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
+        found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+        assert {r.doc_id for r in found} == set(range(8, 80)) and {(r.start_word, r.end_word) for r in found} == {(30, 90)}
+        assert all(r.first_doc_id < r.doc_id and r.distance == 0 for r in found)
+
+
 def test_passage_survives_a_common_line_after_it(spark):
     rng = random.Random(10)
     text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
