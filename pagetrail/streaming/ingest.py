@@ -92,8 +92,8 @@ def _load_empty(spark: SparkSession, root: str, warehouse: str, stream: str, lay
     if not new.limit(1).count():
         return
     last = commits.last_loads(spark, warehouse).get(stream, f"{stream}-{0:012d}")
-    number, _, empty = last.partition("e")
+    number, _, empty = last.split("-")[1].partition("e")
     nothing = spark.createDataFrame([], "filename string, split bigint, seq bigint, size bigint, line string")
     parsed = ParsedFiles(spark, nothing, new, mode)
-    load_parsed(spark, parsed, warehouse, f"{number}e{int(empty or 0) + 1:06d}", layout)
+    load_parsed(spark, parsed, warehouse, f"{stream}-{number}e{int(empty or 0) + 1:06d}", layout)
     parsed.drop()
