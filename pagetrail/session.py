@@ -7,6 +7,7 @@ did), adaptive execution with partition coalescing and skew-join splitting.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,9 +48,9 @@ def get_session(master: str | None = None, app_name: str = "pagetrail", **conf)
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so lineage cuts and derived files always land in the folder
-    every executor can reach.
+    Only when a local session has none (tests) is a private folder created
+    and registered; on a cluster it must be set, so lineage cuts and derived files
+    always land in the folder every executor can reach.
     """
     try:
         sc = spark.sparkContext
@@ -60,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             sc.setCheckpointDir(current)
+        elif not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         else:
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="pagetrail-ckpt-"))
         current = sc.getCheckpointDir() or current
