@@ -43,11 +43,14 @@ WITH conversation AS (
                         'learnt': coalesce(role = 'assistant', false)}}
                        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS turns
   FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
-pair AS (SELECT conv_id // 2 AS pair_id, max(conv_id) FILTER (conv_id % 2 = 0) AS c, max(conv_id) FILTER (conv_id % 2 <> 0) AS r
-         FROM conversation GROUP BY 1),
+spoken AS (SELECT *, list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].learnt)) AS last FROM conversation),
+answer AS (SELECT conv_id, coalesce(lead(turns[last].body) OVER (ORDER BY conv_id), first(turns[last].body) OVER (ORDER BY conv_id)) AS reply
+           FROM spoken WHERE last IS NOT NULL),
 both_sides AS (
-  SELECT pair_id, coalesce(a.turns, []) AS a, coalesce(b.turns, []) AS b
-  FROM pair LEFT JOIN conversation a ON a.conv_id = c LEFT JOIN conversation b ON b.conv_id = r),
+  SELECT conv_id AS pair_id, turns AS a,
+         CASE WHEN last IS NULL THEN []
+              ELSE turns[1:last - 1] || [{{'head': turns[last].head, 'body': reply, 'learnt': true}}] || turns[last + 1:] END AS b
+  FROM spoken LEFT JOIN answer USING (conv_id)),
 prefix AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS n FROM both_sides),
 cut AS (SELECT pair_id, n, a[1:n] AS shared, a[n + 1:] AS a, b[n + 1:] AS b FROM prefix)
 SELECT pair_id, coalesce(array_to_string({_rendered('shared')}, ''), '') AS prompt, CAST(n AS INTEGER) AS prompt_turns,

@@ -45,8 +45,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    pairs = preferences.format_pairs(turns, preferences.neighbouring_pairs(turns))
+    pairs = preferences.format_answers(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     spans = lambda c: F.concat_ws(",", F.transform(c, lambda x: F.concat_ws("-", x["start"], x["stop"])))
     return pairs.withColumn("chosen_mask", spans("chosen_mask")).withColumn("rejected_mask", spans("rejected_mask"))
 

@@ -134,5 +134,34 @@ def test_preferences(spark):
     assert (got[12].prompt, got[12].prompt_turns, got[12].rejected) == ("", 0, "") and got[12].chosen.startswith(turn("user", "Hi"))
     assert (got[13].chosen, got[13].rejected, got[13].chosen_mask) == (turn("user", ""), "", [])
     assert got[14].chosen == turn("assistant", "b") + turn("user", "a")
-    sides = {r.pair_id: (r.chosen, r.rejected) for r in preferences.neighbouring_pairs(conversations).collect()}
-    assert sides == {0: (None, 1), 1: (2, 3), 2: (4, 5), 3: (6, None)}
+
+
+def test_preferences_over_the_next_answer(spark):
+    turns = [
+        (3, 0, "user", "Q3"), (3, 1, "assistant", "A3"), (3, 2, "user", "thanks"),
+        (7, 0, "user", "Q7"), (7, 1, "assistant", "first"), (7, 2, "user", "more"), (7, 3, "assistant", None),
+        (8, 0, "user", "nobody answers"), (9, 0, "assistant", "A9"), (12, 0, None, "Q"), (12, 1, "assistant", "A3"), (None, 0, "assistant", "lost"),
+    ] + [(20 + i, j, ("user", "assistant")[j % 2], f"{i}.{j}") for i in range(60) for j in range(4)] + [(100, j, ("user", "assistant")[j % 2], "long " * 50) for j in range(2000)]
+    rng = random.Random(4)
+    rng.shuffle(turns)
+    conversations = spark.createDataFrame([(*t, 9, "z") for t in turns], "conv_id bigint, turn bigint, role string, text string, part int, reply string")
+    got = {r.pair_id: r for r in preferences.format_answers(conversations).collect()}
+    turn = lambda t: f"<|im_start|>{t[2] or 'user'}\n{t[3] or ''}<|im_end|>\n"
+    by = {c: sorted(t for t in turns if t[0] == c) for c in {t[0] for t in turns} - {None}}
+    last = {c: max((i for i, t in enumerate(ts) if t[2] == "assistant"), default=None) for c, ts in by.items()}
+    answered = sorted(c for c in by if last[c] is not None)
+    assert set(got) == set(by)
+    for c, ts in by.items():
+        if last[c] is None:
+            other = []
+        else:
+            following = answered[(answered.index(c) + 1) % len(answered)]
+            other = [*ts[: last[c]], (*ts[last[c]][:3], by[following][last[following]][3]), *ts[last[c] + 1 :]]
+        n = 0
+        while n < min(len(ts), len(other)) and ts[n][2:] == other[n][2:]:
+            n += 1
+        r = got[c]
+        assert (r.prompt, r.prompt_turns) == ("".join(map(turn, ts[:n])), n)
+        assert (r.chosen, r.rejected) == ("".join(map(turn, ts[n:])), "".join(map(turn, other[n:])))
+        assert [r.rejected[s.start : s.stop] for s in r.rejected_mask] == [f"{t[3] or ''}<|im_end|>" for t in other[n:] if t[2] == "assistant"]
+    assert preferences.format_answers(conversations.limit(0)).count() == 0
