@@ -15,8 +15,9 @@ words. Every candidate window is verified by the exact word edit distance of the
 whole item against its best part of the window: at most ``1 - similarity`` of the
 item's words.
 
-An item whose walk ends before the last sample (a very short one) is compared on
-the samples it has, from its first word, and one hit makes it a candidate.
+An item whose walk ends before the last sample (a short one) is compared on the
+samples it has, from each of its first words that the allowed edits can leave as the
+first unedited one, and one hit makes it a candidate.
 
 Items are broadcast in blocks of ``ITEM_BYTES`` at most; a larger benchmark means
 more passes over the documents, not a larger broadcast. Words are runs of letters,
@@ -95,8 +96,9 @@ class Index:
                 if t in steps:
                     symbol = flat[cur]
                     ended = symbol == 0
-                    # a walk that ends early counts from the item's first word only
-                    done.append((key[ended & (offset[live] == 0)], live[ended & (offset[live] == 0)]))
+                    # a walk that ends early counts from the words that the allowed edits may leave first
+                    early = ended & (offset[live] <= self.allowed[item[live]])
+                    done.append((key[early], live[early]))
                     live, cur, key, symbol = live[~ended], cur[~ended], key[~ended], symbol[~ended]
                     key = _absorb(key, symbol)
                     bitmap = np.zeros(1 << _BITS, bool)

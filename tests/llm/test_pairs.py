@@ -299,3 +299,24 @@ def test_leaks_match_brute_force(spark):
     assert (203, 92) in got and (None, 0) in got
     assert decontaminate.leaks(table(spark, []), benchmark).count() == 0
     assert decontaminate.leaks(table(spark, rows), benchmark.limit(0)).count() == 0
+
+
+def test_short_items_with_one_edited_word(spark):
+    rng = random.Random(21)
+    words = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    items, rows, want = [], [], {}
+    for size in range(5, 13):
+        for n in range(40):
+            item = words(size)
+            items.append((len(items), " ".join(item)))
+            at = (0, size // 2, size - 1)[n % 3]
+            kind = n % 2  # replaced or left out
+            part = item[:at] + words(1 - kind) + item[at + 1 :]
+            rows.append((len(rows), " ".join(words(20) + part + words(20))))
+            want[len(rows) - 1, len(items) - 1] = (size, at == 0)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(table(spark, rows), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert found <= set(want)
+    for first in (False, True):
+        for size in range(5, 13):
+            cases = [k for k, v in want.items() if v == (size, first)]
+            assert sum(k in found for k in cases) >= 0.9 * len(cases), (size, first)
