@@ -44,6 +44,48 @@ def test_toxicity_learns_pairs_on_held_out_rows(spark):
     assert got[5000].score == got[5001].score
 
 
+def test_toxicity_of_words_that_are_neutral_alone(spark):
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(300)]
+    meets = {("red", "north"): 1, ("blue", "south"): 1, ("red", "south"): 0, ("blue", "north"): 0}
+    rows, labels = [], []
+    for d in range(3000):
+        pair = rng.choice(sorted(meets))  # every one of the four words is as frequent in either class
+        w = rng.choices(vocabulary, k=rng.randint(5, 30)) + list(pair)
+        rng.shuffle(w)
+        rows.append((d, " ".join(w)))
+        labels.append((d, meets[pair]))
+    docs = spark.createDataFrame([*rows, *rows[:300]], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int")).collect()}
+    held = [(got[d].score, y) for d, y in labels if got[d].held_out]
+    scores, y = np.array([s for s, _ in held]), np.array([y for _, y in held]) > 0
+    assert (scores[y][:, None] > scores[~y][None]).mean() > 0.97
+
+
+def test_joint_words_match_brute_force(monkeypatch):
+    monkeypatch.setattr(toxicity, "PAIR_BLOCK", 7)
+    rng = np.random.default_rng(3)
+    term, label = [], []
+    for _ in range(600):
+        t = np.flatnonzero(rng.random(40) < 0.3)
+        term.append(t)
+        label.append((3 in t) == (17 in t) if rng.random() < 0.9 else rng.random() < 0.5)
+    label = np.array(label)
+    has = np.array([np.isin(np.arange(40), t) for t in term])
+    rate = (has[label].sum(0) + 1) / (has.sum(0) + 2)
+    want = set()
+    for i in range(40):
+        for j in range(i):
+            both = has[:, i] & has[:, j]
+            k, x, r = both.sum(), (both & label).sum(), max(rate[i], rate[j])
+            p = x / k
+            bound = k * (p * np.log(p / r) + ((1 - p) * np.log((1 - p) / (1 - r)) if p < 1 else 0)) if p > r else 0
+            if bound >= np.log(40 * 39 / 2 / toxicity.JOINT_CHANCE):
+                want |= {i, j}
+    assert want >= {3, 17}
+    assert set(np.flatnonzero(toxicity.joint(label, term, 40))) == want
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id bigint, text string")
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
