@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -191,9 +192,65 @@ def test_paths_decide_on_pages_without_telling_names():
     assert "Link" not in got and "Someone" not in got
 
 
+PROSE = "A sentence with a good many words, some commas, and a full stop; then another one, as long as the first."
+
+
+@pytest.mark.parametrize("holder", [("<article>", "</article>"), ("<div>", "</div>"), ("<div class='post-body'>", "</div>")])
+@pytest.mark.parametrize("middle", ["li", "pre", "td", "p", "div", "linked"])
+def test_all_blocks_of_a_run_stay(holder, middle):
+    for n in (1, 2, 3, 6, 20, 50):
+        parts = [f"part {i}" for i in range(n)]
+        if middle == "linked":
+            inner = f"<p>{PROSE}</p>".join(f'<p>See <a href="x">the full report of the committee {x}</a>.</p>' for x in parts)
+            want = f" {PROSE} ".join(f"See the full report of the committee {x}." for x in parts)
+        else:
+            inner = "".join(f"<{middle}>{x}</{middle}>" for x in parts)
+            inner = {"li": f"<ul>{inner}</ul>", "td": f"<table><tr>{inner}</tr></table>"}.get(middle, inner)
+            want = " ".join(parts)
+        body = f"<p>{PROSE}</p>" * 3
+        begin = "<h1>Title</h1>" + body
+        page = f"<html><body><nav><a href=1>Home</a></nav>{holder[0]}{begin}{inner}{body}{holder[1]}<footer>Foot</footer></body></html>"
+        prose = " ".join([PROSE] * 3)
+        assert html_text.extract(page) == f"Title {prose} {want} {prose}"
+        if middle in ("li", "pre", "td"):  # at the end as well
+            page = f"<html><body><nav><a href=1>Home</a></nav>{holder[0]}{begin}{inner}{holder[1]}<footer>Foot</footer></body></html>"
+            assert html_text.extract(page) == f"Title {prose} {want}"
+
+
+@pytest.mark.parametrize("name", ["content with-sidebar", "has-sidebar", "no-comments", "share", "widget content", "sidebar"])
+@pytest.mark.parametrize("inner", [("<article>", "</article>"), ("", "")])
+@pytest.mark.parametrize("title", ["<h1>Title</h1>", ""])
+def test_names_of_what_holds_the_content_do_not_count(name, inner, title):
+    aside = '<div class="sidebar">Other, stories, here.</div><div id="social-share">Share, this.</div><div class="ad 3">Buy, now!</div>'
+    page = f'<html><body><div class="{name}">{inner[0]}{title}{f"<p>{PROSE}</p>" * 4}{aside}{inner[1]}</div></body></html>'
+    assert html_text.extract(page) == " ".join(["Title"] * bool(title) + [PROSE] * 4)
+
+
+def test_long_comments_are_no_content():
+    comments = "".join(f'<div class="comment-{i}"><p>{PROSE}</p></div>' for i in range(40))
+    page = f'<html><body><div><h1>Title</h1><p>{PROSE}</p></div><section class="comments">{comments}</section></body></html>'
+    assert html_text.extract(page) == f"Title {PROSE}"
+
+
+def test_unclosed_quotes_and_cut_off_tags():
+    assert html_text.extract('<p>one <a href="x>two</a> three</p><p>four, five.</p>') == "one two three four, five."
+    assert html_text.extract('<p title="a > b">one, two.</p>') == "one, two."
+    assert html_text.extract("<article><p>if a < b, or b <c, fine.</p></article>").startswith("if a < b, or b")
+
+
+def test_hostile_pages_take_time_in_proportion():
+    n = 30_000
+    pages = ["<b>x " * n, "<a " * n + '"', "<div>x" * n + "</x>" * n, "<i><div>" + "<b>x" * n + "</i>" * n, "<p>" + "<b><p>x" * n, "<a '>" * n + '"', "<!-" * n, "<li><ul>" * n]
+    begin = time.monotonic()
+    for page in pages:
+        html_text.extract(page)
+    assert time.monotonic() - begin < 60
+
+
 def test_main_text_of_odd_pages(spark):
     pages = [(1, "u", None), (2, "u", ""), (3, "u", "plain words, no markup"), (4, "u", "<p"), (5, "u", "<script>x"), (6, None, "<p>" + "a, b. " * 100_000), (None, "u", "<p>x</p>")]
     rows = spark.createDataFrame([(*p, "t") for p in pages], "page_id bigint, url string, html string, text string")
+    assert html_text.main_text(rows.unionAll(rows)).count() == 2 * len(pages)
     got = {r.page_id: r.text for r in html_text.main_text(rows).collect()}
     assert got == {1: "", 2: "", 3: "plain words, no markup", 4: "", 5: "", 6: ("a, b. " * 100_000).strip(), None: "x"}
     assert html_text.main_text(rows.limit(0)).count() == 0
