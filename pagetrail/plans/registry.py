@@ -239,6 +239,12 @@ def q_user_page_log_month(spark, sf):
     return pages.user_page_log(_page_log(spark, sf), _blacklist(spark, sf), _M0, _M1)
 
 
+@register("user_page_log_large_blacklist", _page_log_window_sql(_M0, _M1, f"(SELECT user_agent FROM {BLACKLIST} listed UNION ALL SELECT c_name FROM customer)"))
+def q_user_page_log_large_blacklist(spark, sf):
+    listed = _blacklist(spark, sf).select("user_agent").unionAll(fx.load(spark, sf, "customer").select("c_name"))
+    return pages.user_page_log(_page_log(spark, sf), listed, _M0, _M1, large_list=True)
+
+
 @register("user_page_log_null_blacklist", _page_log_window_sql(_M0, _M1, BLACKLIST_NULL))
 def q_user_page_log_null_blacklist(spark, sf):
     return pages.user_page_log(_page_log(spark, sf), _blacklist(spark, sf, with_null=True), _M0, _M1)

@@ -231,3 +231,20 @@ def test_replace_window_property(spark):
             map(str, [(t, "old") for t in keep] + [(t, "new") for t in new_times]))
         twice = windows.replace_window(once, new, "time_received", lo, hi)
         assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+
+
+def test_not_in_large_list_sends_only_possible_hits_to_the_join(spark):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 7 != 0, F.concat(F.lit("agent "), F.col("id") * 1000)).alias("user_agent"))
+    listed = spark.range(1_000_000).select(F.concat(F.lit("agent "), F.col("id") * 2).alias("user_agent"))
+    some = listed.filter("hash(user_agent) % 2 = 0")
+    null = spark.createDataFrame([(None,)], "user_agent string")
+    for excluded in (listed, some, some.unionAll(null), some.limit(0), null):
+        want = pages.not_in_list(rows, "user_agent", excluded)
+        got = pages.not_in_list(rows, "user_agent", excluded, large_list=True)
+        assert got.columns == rows.columns
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect())
+    plan = pages.not_in_list(rows, "user_agent", some, large_list=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("getbit") >= 2 and "LeftAnti" in plan
+    surely, possible = plan.split("Union", 1)[1].split("SortMergeJoin", 1)
+    assert "hashpartitioning(user_agent" not in surely  # rows that are surely not listed are not moved
+    assert possible.index("hashpartitioning(user_agent") < possible.index("getbit")  # tested below the exchange
