@@ -320,3 +320,26 @@ def test_short_items_with_one_edited_word(spark):
         for size in range(5, 13):
             cases = [k for k, v in want.items() if v == (size, first)]
             assert sum(k in found for k in cases) >= 0.9 * len(cases), (size, first)
+
+
+def test_dense_never_drops_a_passage():
+    """Rows that the density test leaves out have no part of 50 words at 0.8 (brute force over ranges on both sides)."""
+    rng = np.random.default_rng(5)
+    one, two, kept = [], [], []
+    for case in range(60):
+        n = int(rng.integers(30, 90))
+        a = rng.integers(0, 2**32, n, dtype=np.uint32)
+        b = a.copy()
+        b[rng.random(n) < rng.choice([0.05, 0.15, 0.2, 0.25, 0.4])] = rng.integers(0, 2**32, dtype=np.uint32)
+        b = np.delete(b, rng.integers(0, n, int(rng.integers(0, 4))))
+        one.append(a)
+        two.append(b)
+        kept.append(any(
+            substring_dedup.distance(a[i:j], b[u:v]) <= 0.2 * max(j - i, v - u)
+            for i in range(0, n - 49, 3) for j in range(i + 50, n + 1, 3)
+            for u in range(max(0, i - 4), i + 1) for v in range(max(u + 50, j - 4), min(j, len(b)) + 1)))
+    at, bt = (np.cumsum([0, *map(len, x)]) for x in (one, two))
+    zero = np.zeros(60, np.int64)
+    found = substring_dedup._dense(np.concatenate(one), at, np.concatenate(two), bt, zero, np.diff(at), zero, np.diff(bt), 50, 0.8)
+    assert any(kept) and not all(found)
+    assert all(f for f, k in zip(found, kept, strict=True) if k)
