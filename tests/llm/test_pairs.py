@@ -343,3 +343,20 @@ def test_dense_never_drops_a_passage():
     found = substring_dedup._dense(np.concatenate(one), at, np.concatenate(two), bt, zero, np.diff(at), zero, np.diff(bt), 50, 0.8)
     assert any(kept) and not all(found)
     assert all(f for f, k in zip(found, kept, strict=True) if k)
+
+
+def test_margin_steps_are_steps():
+    """Many margins at once give the alignment of each by itself, forwards and backwards, empty ones included."""
+    rng = np.random.default_rng(8)
+    one, two = (rng.integers(0, 4, 3000, dtype=np.uint32) for _ in range(2))
+    two[500:2500] = one[480:2480]
+    a = rng.integers(100, 2800, 700)
+    b = np.clip(a + rng.integers(-20, 60, 700), 100, 2800)
+    n, m = (rng.integers(0, substring_dedup.MARGIN + 1, 700) for _ in range(2))
+    for step in (1, -1):
+        got = substring_dedup.margin_steps(one, a, n, two, b, m, step)
+        for k in range(700):
+            x = one[a[k] + step * np.arange(n[k])]
+            y = two[b[k] + step * np.arange(m[k])]
+            assert got[k].tolist() == substring_dedup.steps(x, y).tolist()
+    assert substring_dedup.margin_steps(one, a[:0], n[:0], two, b[:0], m[:0], 1) == []
