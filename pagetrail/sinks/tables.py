@@ -73,8 +73,15 @@ def _partitions(spark: SparkSession, root: str, levels: list[set[str] | None]) -
     return {d.toString(): tuple(sorted(f.getPath().getName() for f in fs.listStatus(d) if f.isFile())) for d in level}
 
 
-def _replace(rows: DataFrame, root: str, keys: list[str], wanted: list[list[set[str] | None]]) -> None:
-    """Make the partitions that ``wanted`` describes hold exactly ``rows``.
+def _replace(rows: DataFrame, root: str, keys: list[str], wanted: list[list[set[str] | None]],
+             sort_by: str | None = None, many_small: bool = False) -> None:
+    """Make the partitions that ``wanted`` describes hold exactly ``rows``, each file sorted by ``sort_by``.
+
+    Rows are gathered by partition before they are written, so that the number of files follows
+    the partitions and the rows' bytes and not the number of tasks that held the rows: a small partition is one
+    file, a large one is split over several tasks. Adaptive execution would gather a table of little text in one
+    task, which then writes all its files one after another; with ``many_small`` the partitions are dealt to
+    all shuffle partitions instead.
 
     One job overwrites every partition it has rows for when it commits; then the
     matching partitions that it did not touch (their files are the same as before)
@@ -83,7 +90,10 @@ def _replace(rows: DataFrame, root: str, keys: list[str], wanted: list[list[set[
     """
     spark = rows.sparkSession
     before = {d: files for levels in wanted for d, files in _partitions(spark, root, levels).items()}
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gathered = rows.repartition(number, *keys) if many_small else rows.hint("rebalance", *keys)
+    gathered = gathered.sortWithinPartitions(*keys, *([sort_by] if sort_by else []))
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(root)
     after = {d: files for levels in wanted for d, files in _partitions(spark, root, levels).items()}
     for d in sorted(before):
         if after.get(d) == before[d]:
@@ -102,7 +112,7 @@ def write_loads(rows: DataFrame, root: str, hours: list[datetime], hour_col: str
     """SNK1-3, SNK8-9: replace what ``load`` brought for the ingest ``hours`` (the batch load: what any load brought).
 
     ``hour_col`` names a TIMESTAMP_NTZ column with each row's ingest hour, which must be one of ``hours`` (others
-    fail the run); without it all rows belong to the single hour. One job without a shuffle.
+    fail the run); without it all rows belong to the single hour. One job.
     """
     if not hours:
         return
@@ -118,11 +128,10 @@ def write_loads(rows: DataFrame, root: str, hours: list[datetime], hour_col: str
     out = (out.withColumn("ingest_date", F.to_date(hour)).withColumn("ingest_hour", F.hour(hour)).withColumn("load", F.lit(load))
            .drop(hour_col))
     keys = [*(["event_date"] if by_event_date else []), "ingest_date", "ingest_hour", "load"]
-    out = out.sortWithinPartitions(*keys, *([sort_by] if sort_by else []))
     loads = None if load == BATCH_LOAD else {f"load={load}"}
     wanted = [[*([None] if by_event_date else []), {f"ingest_date={d:%Y-%m-%d}"}, {f"ingest_hour={h}" for h in hs}, loads]
               for d, hs in _by_date(hours).items()]
-    _replace(out, root, keys, wanted)
+    _replace(out, root, keys, wanted, sort_by, many_small=not by_event_date)
 
 
 def write_raw_hours(rows: DataFrame, root: str, hours: list[datetime], hour_col: str | None = None, load: str = BATCH_LOAD) -> None:
@@ -143,15 +152,14 @@ def write_hours(rows: DataFrame, root: str, hours: list[datetime], date_col: str
     stamped = (kept.withColumn("row_added", F.localtimestamp())
                .withColumn(date_col, F.to_date(ts)).withColumn(hour_col, F.hour(ts)))
     wanted = [[{f"{date_col}={d:%Y-%m-%d}"}, {f"{hour_col}={h}" for h in hs}] for d, hs in _by_date(hours).items()]
-    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], wanted)
+    _replace(stamped, root, [date_col, hour_col], wanted, "time_received")
 
 
 def write_window(rows: DataFrame, root: str, start: datetime, end: datetime,
                  date_col: str = "event_date", hour_col: str = "event_hour") -> None:
     """SNK4-5 / SNK10: make the hour partitions of ``[start, end)`` hold exactly ``rows`` of that window.
 
-    One job overwrites the window's event hours. There is no shuffle: each task
-    writes its own time-sorted files into every hour it holds, so a hot hour is
+    One job overwrites the window's event hours by time-sorted files; a hot hour is
     spread over many tasks. Re-running the same window gives the same table.
     """
     if start.minute or start.second or end.minute or end.second:
@@ -164,7 +172,7 @@ def write_window(rows: DataFrame, root: str, start: datetime, end: datetime,
     hours = [start + timedelta(hours=i) for i in range(int((end - start).total_seconds() // 3600))]
     wanted = [[{f"{date_col}={d:%Y-%m-%d}"}, None if len(hs) == 24 else {f"{hour_col}={h}" for h in hs}]
               for d, hs in _by_date(hours).items()]
-    _replace(stamped.sortWithinPartitions(date_col, hour_col, "time_received"), root, [date_col, hour_col], wanted)
+    _replace(stamped, root, [date_col, hour_col], wanted, "time_received")
 
 
 def write_slice(rows: DataFrame, root: str, day: date, col: str = "ymd") -> str:

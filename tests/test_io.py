@@ -289,3 +289,21 @@ def test_open_ended_window_reads(spark, tmp_dir):
     assert slices == [(datetime(2024, 1, 5, 22), datetime(2024, 1, 5, 23)),
                       (datetime(2024, 1, 5, 23), datetime(2024, 1, 6, 0)),
                       (datetime(2024, 1, 6, 0), datetime(2024, 1, 6, 1))]
+
+
+def test_writes_make_a_file_per_small_partition_whatever_the_tasks(spark, tmp_dir):
+    """Rows of few hours held by many tasks: a file an hour, not a file an hour and task."""
+    hours = [datetime(2024, 1, 5, h) for h in range(6)]
+    rows = spark.range(0, 600, 1, 12).select(
+        F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 6 as int), cast(id % 60 as int), 0)").alias("time_received"),
+        F.col("id").alias("pid"))
+    filed = rows.withColumn("_ingest_hour", F.date_trunc("hour", "time_received").cast("timestamp_ntz"))
+    tables.write_window(rows, f"{tmp_dir}/window", hours[0], hours[-1] + timedelta(hours=1))
+    tables.write_hours(rows, f"{tmp_dir}/hours", hours)
+    tables.write_raw_hours(filed, f"{tmp_dir}/raw", hours, "_ingest_hour")
+    tables.write_loads(filed, f"{tmp_dir}/loads", hours, "_ingest_hour")
+    for name in ("window", "hours", "raw", "loads"):
+        files = [f for _, _, names in os.walk(f"{tmp_dir}/{name}") for f in names if f.endswith(".parquet")]
+        assert len(files) == 6, name
+        found = spark.read.parquet(f"{tmp_dir}/{name}").select("pid").collect()
+        assert sorted(r["pid"] for r in found) == list(range(600)), name
