@@ -28,6 +28,9 @@ _MARK = "\u0001"
 # The group of one or more addresses, each with an optional ``,`` and space behind it.
 _IP_LIST = r"(?:\d+\.\d+\.\d+\.\d+(?:,\s)?)+"
 _IP_LIST_CHARS = r"[\d.,\s]+"
+# A possessive repetition is matched in a loop. It takes no list of addresses that stand
+# without a separator, so only what it accepts is decided by it.
+_PLAIN_LIST = PY_FLAGS + r"^(?:\d+\.\d+\.\d+\.\d+(?:," + PY_SPACE + r")?)++\z"
 
 
 def is_ip_list(ip: Column) -> Column:
@@ -50,7 +53,7 @@ def is_ip_list(ip: Column) -> Column:
 
     # a separator may end the list
     listed = F.when((F.size(pieces) > 1) & (F.element_at(pieces, -1) == ""), F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
-    return F.forall(listed, run)
+    return F.when(ip.rlike(_PLAIN_LIST), F.lit(True)).otherwise(F.forall(listed, run))
 
 
 class AccessPattern:

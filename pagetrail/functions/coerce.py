@@ -23,7 +23,7 @@ _THEIR_VALUES = "".join(str(unicodedata.decimal(ch)) for ch in _OTHER_DIGITS)
 
 
 def ascii_digits(text: Column) -> Column:
-    return F.translate(text, _OTHER_DIGITS, _THEIR_VALUES)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(F.translate(text, _OTHER_DIGITS, _THEIR_VALUES))
 
 
 # ---------------------------------------------------------------------------
@@ -89,7 +89,8 @@ def cookie_pairs(cookies: Column) -> Column:
 
 def cookie_value(pairs: Column, key: str) -> Column:
     """Value of the last item named ``key``; NULL when absent."""
-    return F.try_element_at(F.filter(pairs, lambda p: p.getField("k") == F.lit(key)), F.lit(-1)).getField("v")
+    last_first = F.reverse(pairs)
+    return F.get(last_first, (F.array_position(last_first.getField("k"), F.lit(key)) - 1).cast("int")).getField("v")
 
 
 def is_int_literal(text: Column) -> Column:
@@ -106,13 +107,15 @@ def cookie_int_invalid(pairs: Column, key: str) -> Column:
 # inet and uuid, as PostgreSQL stores them
 # ---------------------------------------------------------------------------
 _IPV4 = "^[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}$"
+_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_CANONICAL_IPV4 = f"^{_OCTET}\\.{_OCTET}\\.{_OCTET}\\.{_OCTET}\\z"
 
 
 def inet_text(ip: Column) -> Column:
     """Canonical IPv4 text, or NULL when an inet column would refuse it."""
     octets = F.transform(F.split(ip, "\\."), lambda o: o.try_cast("int"))
     valid = ip.rlike(_IPV4) & F.forall(octets, lambda o: o <= 255)
-    return F.when(valid, F.array_join(F.transform(octets, lambda o: o.cast("string")), "."))
+    return F.when(ip.rlike(_CANONICAL_IPV4), ip).when(valid, F.array_join(F.transform(octets, lambda o: o.cast("string")), "."))
 
 
 _UUID = "^(\\{[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7}\\}|[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7})$"

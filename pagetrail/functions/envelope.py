@@ -37,12 +37,11 @@ def _python_escapes(line: Column) -> Column:
                   F.regexp_replace(line, _SLASH_ESCAPE, "$1\\\\\\\\/")).otherwise(line)
 
 
-def _strict_envelope(line: Column) -> tuple[Column, Column, Column, Column]:
-    """(decided, env_ok, log_is_str, log) of the lines that strict JSON accepts; native."""
-    wrapped = F.concat(F.lit("["), _python_escapes(line), F.lit("]"))
-    strict = F.try_parse_json(wrapped)
-    # a value at "$[0].log" means the first element is an object holding "log"
-    log_variant = F.variant_get(strict, "$[0].log", "variant")
+def _strict_envelope(strict: Column, log_variant: Column) -> tuple[Column, Column, Column, Column]:
+    """(decided, env_ok, log_is_str, log) of the lines that strict JSON accepts; native.
+
+    A value at "$[0].log" means the first element is an object holding "log".
+    """
     single = F.variant_get(strict, "$[1]", "variant").isNull()
     literal = ~F.coalesce(F.schema_of_variant(strict).rlike(_NON_LITERAL_TYPE), F.lit(False))
     strict_ok = log_variant.isNotNull() & single & literal
@@ -51,14 +50,17 @@ def _strict_envelope(line: Column) -> tuple[Column, Column, Column, Column]:
     return strict.isNotNull(), strict_ok, F.coalesce(strict_is_str, F.lit(False)), F.when(strict_is_str, strict_log)
 
 
-def envelope_columns(line: Column) -> tuple[Column, Column, Column]:
-    """Return (env_ok, log_is_str, log) for a raw line column."""
-    decided, strict_ok, strict_is_str, strict_log = _strict_envelope(line)
-    undecided = _literal_envelope()(F.when(~decided, line))
-    env_ok = F.when(decided, strict_ok).otherwise(undecided.getField("env_ok"))
-    log_is_str = F.when(decided, strict_is_str).otherwise(undecided.getField("log_is_str"))
-    log = F.when(decided, strict_log).otherwise(undecided.getField("log"))
-    return F.coalesce(env_ok, F.lit(False)), F.coalesce(log_is_str, F.lit(False)), log
+def _with_strict(lines: DataFrame, line: Column) -> DataFrame:
+    """``lines`` and the strict envelope of each, evaluated once a line.
+
+    The steps are fenced from each other: predicates and Python functions above take the columns as they
+    are, while expressions of them would be copied, and the line parsed again, wherever one is named.
+    """
+    kept = lines.columns
+    json = lines.select(*kept, F.try_parse_json(F.concat(F.lit("["), _python_escapes(line), F.lit("]"))).alias("_json"))
+    json = json.select(*kept, "_json", F.variant_get("_json", "$[0].log", "variant").alias("_log"))
+    decided, env_ok, log_is_str, log = _strict_envelope(F.col("_json"), F.col("_log"))
+    return json.select(*kept, decided.alias("_decided"), env_ok.alias("_ok"), log_is_str.alias("_is_str"), log.alias("_text"))
 
 
 def with_envelope(lines: DataFrame, line_col: str = "line", rule: str = "both") -> DataFrame:
@@ -68,18 +70,21 @@ def with_envelope(lines: DataFrame, line_col: str = "line", rule: str = "both")
     Python's literal parser (meant for those); ``"both"`` decides all lines in one pass.
     """
     line = F.col(line_col)
+    kept, decided = lines.columns, F.col("_decided")
     if rule == "strict":
-        decided, env_ok, log_is_str, log = _strict_envelope(line)
-        return lines.select("*", F.coalesce(env_ok, F.lit(False)).alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"),
-                            (~decided).alias("undecided"))
+        return _with_strict(lines, line).select(*kept, F.coalesce("_ok", F.lit(False)).alias("env_ok"), F.col("_is_str").alias("log_is_str"),
+                                                F.col("_text").alias("log"), (~decided).alias("undecided"))
     if rule == "literal":
         lines = lines.withColumn("_literal", _literal_envelope()(line))
         env_ok, log_is_str, log = (F.col("_literal").getField(f) for f in ("env_ok", "log_is_str", "log"))
         lines = lines.select("*", F.coalesce(env_ok, F.lit(False)).alias("env_ok"),
                              F.coalesce(log_is_str, F.lit(False)).alias("log_is_str"), log.alias("log")).drop("_literal")
     else:
-        env_ok, log_is_str, log = envelope_columns(line)
-        lines = lines.select("*", env_ok.alias("env_ok"), log_is_str.alias("log_is_str"), log.alias("log"))
+        lines = _with_strict(lines, line).withColumn("_literal", _literal_envelope()(F.when(~decided, line)))
+        either = {f: F.when(decided, F.col(own)).otherwise(F.col("_literal").getField(f))
+                  for f, own in (("env_ok", "_ok"), ("log_is_str", "_is_str"), ("log", "_text"))}
+        lines = lines.select(*kept, *[F.coalesce(either[f], F.lit(False)).alias(f) for f in ("env_ok", "log_is_str")],
+                             either["log"].alias("log"))
     return lines.withColumn("undecided", F.lit(False))
 
 
@@ -98,9 +103,7 @@ def _literal_envelope():
             if text is None:
                 return None, None, None
             try:
-                with warnings.catch_warnings():
-                    warnings.simplefilter("ignore")  # unknown escapes are kept, as they were
-                    value = ast.literal_eval(text)
+                value = ast.literal_eval(text)
             except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
                 return False, False, None
             if not isinstance(value, dict) or "log" not in value:
@@ -112,6 +115,8 @@ def _literal_envelope():
             # startswith(str) raises TypeError for bytes: counted like a malformed line
             return not isinstance(log, bytes), False, None
 
-        return pd.DataFrame([one(t) for t in lines], columns=["env_ok", "log_is_str", "log"])
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # unknown escapes are kept, as they were
+            return pd.DataFrame([one(t) for t in lines], columns=["env_ok", "log_is_str", "log"])
 
     return decode

@@ -73,24 +73,27 @@ def parse_lines(lines: DataFrame, mode: str = HOURLY, rule: str = "both") -> Dat
     matched = F.col("matched")
     if pattern.ip_list:
         matched = matched & F.coalesce(is_ip_list(cap["ip"]), F.lit(False))
+    # the captured address is stripped once; the cookies' items are looked up natively
     step3 = step2.select(
         *keep, "undecided", "env_ok", "log_is_str", "not_found", matched.alias("matched"),
         *[cap[n].alias("_c_" + n) for n in pattern.names],
+        (coerce.first_forwarded_ip(cap["ip"]) if mode == HOURLY else cap["ip"]).alias("_ip_text"),
         coerce.cookie_pairs(cap["cookies"]).alias("_cookies"),
     )
 
     def c(name: str) -> Column:
         return F.col("_c_" + name)
 
-    ip = coerce.first_forwarded_ip(c("ip")) if mode == HOURLY else c("ip")
+    empty_int = F.lit(False)
+    for n in INT_FIELDS:
+        empty_int = empty_int | (c(n) == F.lit(""))
     cookie_cols = {col: coerce.cookie_value(F.col("_cookies"), key) for key, col in COOKIE_COLUMNS}
     typed = step3.select(
         *keep, "undecided", "env_ok", "log_is_str", "not_found", "matched",
         coerce.cookie_int_invalid(F.col("_cookies"), "user_id").alias("_bad_user_id"),
-        F.exists(F.array(*[c(n) for n in INT_FIELDS]), lambda s: s == F.lit("")).alias("_empty_int"),
+        empty_int.alias("_empty_int"),
         *[coerce.digits_value(c(n)).alias(n) for n in _STORED_INTS],
-        coerce.inet_text(ip).alias("ip"),
-        ip.alias("_ip_text"),
+        coerce.inet_text(F.col("_ip_text")).alias("ip"),
         coerce.parse_ctime(c("time_received")).alias("time_received"),
         c("http_method").alias("http_method"),
         c("uri").alias("uri"),

@@ -2,9 +2,11 @@
 compared with the brute-force model (``line_model.expected``)."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from line_model import expected, random_line
 from pagetrail.functions.fixed import RAW_COLUMNS
@@ -207,3 +209,24 @@ def test_escaped_slashes_keep_their_backslash_as_in_python(spark):
         if outcome == "good":
             assert got[i + 1].referrer == values["referrer"] and got[i + 1].user_agent == values["user_agent"]
     assert [got[k].outcome for k in (1, 2, 3)] == ["regex_failed", "good", "good"]
+
+
+@pytest.mark.parametrize("rule", ["both", "strict"])
+def test_a_line_is_parsed_as_json_once(spark, rule):
+    """Neither the Python pass nor the filters above copy the JSON parse of a line."""
+    lines = spark.createDataFrame([("f", 1, "{}")], "filename string, line_number int, line string").repartition(2)
+    plan = good_rows(parse_lines(lines, rule=rule))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parse_?json", plan, re.I)) == 1, plan
+
+
+def test_address_lists_and_octets_on_both_ways(spark):
+    """What the plain patterns decide agrees with the rule for the rest."""
+    from pagetrail.functions import access, coerce
+
+    cases = [("1.2.3.4", True, "1.2.3.4"), ("1.2.3.4, 5.6.7.8", True, None), ("1.2.3.4,", False, None), ("1.2.3.4, ", True, None), ("1.2.3.45.6.7.8", True, None),
+             ("1.2.3.4.5.6.7", False, None), ("01.002.3.4", True, "1.2.3.4"), ("256.1.1.1", True, None), ("1.2.3", False, None), ("", False, None)]
+    rows = spark.createDataFrame([(c[0],) for c in cases], "ip string").repartition(1)
+    got = {r["ip"]: (r["listed"], r["inet"]) for r in rows.select("ip", access.is_ip_list(F.col("ip")).alias("listed"), coerce.inet_text(F.col("ip")).alias("inet")).collect()}
+    assert {k: v[1] for k, v in got.items()} == {c[0]: c[2] for c in cases}
+    model = re.compile(r"(?:\d+\.\d+\.\d+\.\d+(?:,\s)?)+")
+    assert {k: bool(v[0]) for k, v in got.items()} == {c[0]: bool(model.fullmatch(c[0])) for c in cases}
