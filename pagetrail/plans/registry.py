@@ -486,14 +486,20 @@ _HOURS = [_M0 + timedelta(hours=h) for h in range(31 * 24)]
 _DAY_HOURS = [_D0 + timedelta(hours=h) for h in range(24)]
 
 
+def _of_day(lines):
+    """The lines of the day's hours: their files' names tell them, so they are picked before they are parsed."""
+    return _filed(lines).filter(windows.in_window(F.col("_ingest_hour"), _D0, _D1)).select(*lines.columns)
+
+
 @register("raw_log_rewritten", _expected_raw(f"{_GOOD_HOURLY} AND (event_id % 8 < 4 OR NOT (ts >= {_lit_ts(_D0)} AND ts < {_lit_ts(_D1)}))"))
 def q_raw_log_rewritten(spark, sf):
     """The raw log by ingest hour; one day's hours written again with other rows; read back."""
     root = scratch_path(spark, "raw log")
-    good = _filed(_parsed(spark, sf).filter(F.col("outcome") == "good")).select(*RAW_COLUMNS, "_ingest_hour")
-    tables.write_raw_hours(good, root, _HOURS, hour_col="_ingest_hour")
-    again = good.filter(windows.in_window(F.col("_ingest_hour"), _D0, _D1)).filter("core < 4")
-    tables.write_raw_hours(again, root, _DAY_HOURS, hour_col="_ingest_hour")
+    lines = _lines(spark, sf)
+    first, again = (_filed(parse.parse_lines(x).filter(F.col("outcome") == "good")).select(*RAW_COLUMNS, "_ingest_hour")
+                    for x in (lines, _of_day(lines)))
+    tables.write_raw_hours(first, root, _HOURS, hour_col="_ingest_hour")
+    tables.write_raw_hours(again.filter("core < 4"), root, _DAY_HOURS, hour_col="_ingest_hour")
     return tables.read_ingested(spark, root, None, None).select(*RAW_COLUMNS)
 
 
@@ -509,12 +515,12 @@ def _quality_sql(mode_index: int) -> str:
 FROM (SELECT filename, {_case_outcome(mode_index)} AS outcome FROM {LINES} l) o GROUP BY filename"""
 
 
-def _rewritten(spark, name, rows_of, columns):
+def _rewritten(spark, sf, name, rows_of, columns):
     """Write a table of all ingest hours from the backfill's outcomes, then one day's hours from the hourly ones."""
     root = scratch_path(spark, name)
-    tables.write_loads(_filed(rows_of("backfill")), root, _HOURS, "_ingest_hour")
-    again = _filed(rows_of("hourly")).filter(windows.in_window(F.col("_ingest_hour"), _D0, _D1))
-    tables.write_loads(again, root, _DAY_HOURS, "_ingest_hour")
+    lines = _lines(spark, sf)
+    tables.write_loads(_filed(rows_of(parse.parse_lines(lines, "backfill"))), root, _HOURS, "_ingest_hour")
+    tables.write_loads(_filed(rows_of(parse.parse_lines(_of_day(lines)))), root, _DAY_HOURS, "_ingest_hour")
     return tables.read_table(spark, root, "ingest_date DATE, ingest_hour INT, load STRING").select(*columns)
 
 
@@ -522,7 +528,7 @@ def _rewritten(spark, name, rows_of, columns):
     "filename, file_line_count, file_bad_lines, file_regex_failed", _quality_sql(2), _quality_sql(1)))
 def q_files_processed_rewritten(spark, sf):
     """SNK2: per-file counts by ingest hour, a day replaced."""
-    return _rewritten(spark, "files processed", lambda mode: quality.file_quality(_parsed(spark, sf, mode)),
+    return _rewritten(spark, sf, "files processed", quality.file_quality,
                       ["filename", "file_line_count", "file_bad_lines", "file_regex_failed"])
 
 
@@ -533,7 +539,7 @@ def _samples_sql(mode_index: int) -> str:
 @register("failure_samples_rewritten", _rewritten_sql("filename, line_number, bad_line", _samples_sql(2), _samples_sql(1)))
 def q_failure_samples_rewritten(spark, sf):
     """SNK3: failing lines by ingest hour, a day replaced."""
-    return _rewritten(spark, "failure lines", lambda mode: quality.failure_samples(_parsed(spark, sf, mode)),
+    return _rewritten(spark, sf, "failure lines", quality.failure_samples,
                       ["filename", "line_number", "bad_line"])
 
 
