@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_FLAGS, PY_SPACE, java_pattern
+from .text import ASCII_FLAGS, PY_FLAGS, PY_SPACE, ascii_pattern, is_ascii, java_pattern
 
 _MARK = "\u0001"
 
@@ -30,7 +30,8 @@ _IP_LIST = r"(?:\d+\.\d+\.\d+\.\d+(?:,\s)?)+"
 _IP_LIST_CHARS = r"[\d.,\s]+"
 # A possessive repetition is matched in a loop. It takes no list of addresses that stand
 # without a separator, so only what it accepts is decided by it.
-_PLAIN_LIST = PY_FLAGS + r"^(?:\d+\.\d+\.\d+\.\d+(?:," + PY_SPACE + r")?)++\z"
+_PLAIN_BODY = r"^(?:\d+\.\d+\.\d+\.\d+(?:," + PY_SPACE + r")?)++\z"
+_PLAIN_LIST, _ASCII_LIST = PY_FLAGS + _PLAIN_BODY, ASCII_FLAGS + ascii_pattern(_PLAIN_BODY)
 
 
 def is_ip_list(ip: Column) -> Column:
@@ -53,7 +54,7 @@ def is_ip_list(ip: Column) -> Column:
 
     # a separator may end the list
     listed = F.when((F.size(pieces) > 1) & (F.element_at(pieces, -1) == ""), F.slice(pieces, F.lit(1), F.size(pieces) - 1)).otherwise(pieces)
-    return F.when(ip.rlike(_PLAIN_LIST), F.lit(True)).otherwise(F.forall(listed, run))
+    return F.when(ip.rlike(_ASCII_LIST), F.lit(True)).when(ip.rlike(_PLAIN_LIST), F.lit(True)).otherwise(F.forall(listed, run))
 
 
 class AccessPattern:
@@ -66,10 +67,15 @@ class AccessPattern:
         numbers = {n: i + 1 for i, n in enumerate(names)}
         self.order = [n for n in names if n != tail_group] + [tail_group]
         self.regex = PY_FLAGS + "^\\n" + body + "[\\s\\S]*"
+        self.ascii_regex = ASCII_FLAGS + "^\\n" + ascii_pattern(body) + "(?s:.*)"
         self.replacement = _MARK + "\n".join("$%d" % numbers[n] for n in self.order)
 
     def packed(self, log: Column) -> Column:
-        return F.regexp_replace(F.concat(F.lit("\n"), log), F.lit(self.regex), F.lit(self.replacement))
+        def by(regex: str) -> Column:
+            return F.regexp_replace(F.concat(F.lit("\n"), log), F.lit(regex), F.lit(self.replacement))
+
+        # Unicode classes cost several times as much a character and matter only to other text
+        return F.when(is_ascii(log), by(self.ascii_regex)).otherwise(by(self.regex))
 
     @staticmethod
     def matched(packed: Column) -> Column:

@@ -11,7 +11,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_FLAGS, PY_SPACE, py_strip
+from .text import ASCII_FLAGS, PY_FLAGS, PY_SPACE, ascii_pattern, is_ascii, py_strip
 
 # ---------------------------------------------------------------------------
 # digits: Python's int() (and strptime) take any Unicode decimal digit; Spark's
@@ -23,7 +23,7 @@ _THEIR_VALUES = "".join(str(unicodedata.decimal(ch)) for ch in _OTHER_DIGITS)
 
 
 def ascii_digits(text: Column) -> Column:
-    return F.when(F.octet_length(text) == F.length(text), text).otherwise(F.translate(text, _OTHER_DIGITS, _THEIR_VALUES))
+    return F.when(is_ascii(text), text).otherwise(F.translate(text, _OTHER_DIGITS, _THEIR_VALUES))
 
 
 # ---------------------------------------------------------------------------
@@ -32,7 +32,7 @@ def ascii_digits(text: Column) -> Column:
 # ---------------------------------------------------------------------------
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _CTIME = (
-    "(?i)" + PY_FLAGS + "^\\n(mon|tue|wed|thu|fri|sat|sun)" + PY_SPACE + "+"
+    "^\\n(mon|tue|wed|thu|fri|sat|sun)" + PY_SPACE + "+"
     "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)" + PY_SPACE + "+"
     "(3[01]|[12]\\d|0[1-9]|[1-9]| [1-9])" + PY_SPACE + "+"
     "(2[0-3]|[0-1]\\d|\\d):([0-5]\\d|\\d):(6[0-1]|[0-5]\\d|\\d)" + PY_SPACE + "+"
@@ -42,7 +42,10 @@ _CTIME = (
 
 def parse_ctime(text: Column) -> Column:
     """``datetime.strptime(text, "%c")`` as TIMESTAMP_NTZ; NULL where Python raises."""
-    packed = F.regexp_replace(F.concat(F.lit("\n"), text), F.lit(_CTIME), F.lit("\u0001$2,$3,$4,$5,$6,$7"))
+    def by(pattern: str) -> Column:
+        return F.regexp_replace(F.concat(F.lit("\n"), text), F.lit("(?i)" + pattern), F.lit("\u0001$2,$3,$4,$5,$6,$7"))
+
+    packed = F.when(is_ascii(text), by(ASCII_FLAGS + ascii_pattern(_CTIME))).otherwise(by(PY_FLAGS + _CTIME))
     parts = F.split(ascii_digits(F.substring(packed, 2, 1 << 30)), ",")
     month = ((F.instr(F.lit(_MONTHS), F.lower(parts.getItem(0))) + 2) / 3).cast("int")
     day = F.trim(parts.getItem(1)).try_cast("int")
@@ -81,10 +84,14 @@ def digits_value(text: Column) -> Column:
 
 def cookie_pairs(cookies: Column) -> Column:
     """ARRAY<STRUCT<k,v>> of the cookie items in order."""
-    items = F.transform(F.split(cookies, ";", -1), lambda x: F.split(x, "=", -1))
-    kept = F.filter(items, lambda a: F.size(a) > 1)
-    return F.transform(kept, lambda a: F.struct(py_strip(a.getItem(0)).alias("k"),
-                                                 py_strip(a.getItem(1)).alias("v")))
+    def pairs(strip) -> Column:
+        items = F.transform(F.split(cookies, ";", -1), lambda x: F.split(x, "=", -1))
+        kept = F.filter(items, lambda a: F.size(a) > 1)
+        return F.transform(kept, lambda a: F.struct(strip(a.getItem(0)).alias("k"), strip(a.getItem(1)).alias("v")))
+
+    # where the only white space is the plain space, trimming it is all that stripping does
+    plain = is_ascii(cookies) & ~cookies.rlike("[\\t-\\r\\x1C-\\x1F]")
+    return F.when(plain, pairs(F.trim)).otherwise(pairs(py_strip))
 
 
 def cookie_value(pairs: Column, key: str) -> Column:
@@ -118,6 +125,7 @@ def inet_text(ip: Column) -> Column:
     return F.when(ip.rlike(_CANONICAL_IPV4), ip).when(valid, F.array_join(F.transform(octets, lambda o: o.cast("string")), "."))
 
 
+_CANONICAL_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\\z"
 _UUID = "^(\\{[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7}\\}|[0-9a-fA-F]{4}(-?[0-9a-fA-F]{4}){7})$"
 
 
@@ -126,7 +134,7 @@ def uuid_text(value: Column) -> Column:
     hexes = F.lower(F.regexp_replace(value, "[{}-]", ""))
     canon = F.concat_ws("-", F.substring(hexes, 1, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4),
                         F.substring(hexes, 17, 4), F.substring(hexes, 21, 12))
-    return F.when(value.rlike(_UUID), canon)
+    return F.when(value.rlike(_CANONICAL_UUID), value).when(value.rlike(_UUID), canon)
 
 
 def first_forwarded_ip(ip: Column) -> Column:

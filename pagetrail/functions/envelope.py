@@ -33,7 +33,7 @@ _SLASH_ESCAPE = r"(?<!\\)((?:\\\\)*+)\\/"
 
 
 def _python_escapes(line: Column) -> Column:
-    return F.when(F.instr(line, "\\/") > 0,
+    return F.when(line.contains("\\/"),
                   F.regexp_replace(line, _SLASH_ESCAPE, "$1\\\\\\\\/")).otherwise(line)
 
 

@@ -26,6 +26,10 @@ PY_NOT_SPACE = r"[^\s\x1C-\x1F]"
 # Flags that make java.util.regex read a pattern the way Python's re does.
 PY_FLAGS = "(?dU)"
 
+# The same within ASCII text, for patterns without (?U): single characters, which Java looks up in a bitmap.
+_ASCII_SPACES = r" \t\n\x0B\f\r\x1C\x1D\x1E\x1F"
+ASCII_FLAGS = "(?d)"
+
 # Every character str.isspace() accepts, derived from the running Python.
 PY_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 
@@ -53,9 +57,21 @@ def java_pattern(py_pattern: str) -> tuple[str, list[str]]:
     return body, names
 
 
+def ascii_pattern(java_body: str) -> str:
+    """A pattern body for :data:`PY_FLAGS` as one for :data:`ASCII_FLAGS`: equal on text of ASCII characters only."""
+    body = java_body.replace(r"[\d.," + PY_SPACE + "]", f"[0123456789.,{_ASCII_SPACES}]")
+    return body.replace(PY_NOT_SPACE, f"[^{_ASCII_SPACES}]").replace(PY_SPACE, f"[{_ASCII_SPACES}]")
+
+
+def is_ascii(text: Column) -> Column:
+    return F.octet_length(text) == F.length(text)
+
+
 def py_strip(col: Column) -> Column:
     """``str.strip()`` with no argument: remove Unicode whitespace at both ends (no regex)."""
-    return F.trim(col, F.lit(PY_WHITESPACE))
+    # text with a printable ASCII character other than a space at both ends stays as it is
+    clean = F.substring(col, 1, 1).between("!", "~") & F.substring(col, -1, 1).between("!", "~")
+    return F.when(clean, col).otherwise(F.trim(col, F.lit(PY_WHITESPACE)))
 
 
 def has_nul(col: Column) -> Column:

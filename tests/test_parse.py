@@ -230,3 +230,48 @@ def test_address_lists_and_octets_on_both_ways(spark):
     assert {k: v[1] for k, v in got.items()} == {c[0]: c[2] for c in cases}
     model = re.compile(r"(?:\d+\.\d+\.\d+\.\d+(?:,\s)?)+")
     assert {k: bool(v[0]) for k, v in got.items()} == {c[0]: bool(model.fullmatch(c[0])) for c in cases}
+
+
+def test_ascii_lines_are_matched_without_unicode_classes(spark):
+    from pagetrail.functions import access, coerce, fixed, text
+
+    rng = random.Random(7)
+    seps = [" ", "\t", "\x1c", "\x0b", "\r", "\x1f"]
+    logs = [ACCESS + "\n", ACCESS, ACCESS.replace("1.2.3.4", "1.2.3.4, 5.6.7.8,\t9.9.9.9") + "\n\nrest\x1c\n", "\n" + ACCESS + "\n"]
+    for _ in range(200):
+        log = list(rng.choice(logs))
+        for i in rng.sample([i for i, ch in enumerate(log) if ch == " "], 2):
+            log[i] = rng.choice(seps + ["_"])
+        logs.append("".join(log))
+    assert all(x.isascii() for x in logs)
+    for py in (fixed.ACCESS_PATTERN_HOURLY, fixed.ACCESS_PATTERN_BACKFILL):
+        pattern = access.AccessPattern(py)
+        assert "(?dU)" not in pattern.ascii_regex and text.PY_SPACE not in pattern.ascii_regex
+        rows = spark.createDataFrame([(x,) for x in logs], "log string")
+        by = {r: F.regexp_replace(F.concat(F.lit("\n"), "log"), F.lit(r), F.lit(pattern.replacement)) for r in (pattern.regex, pattern.ascii_regex)}
+        out = rows.select(*[c.alias(n) for n, c in zip("ua", by.values(), strict=True)], pattern.packed(F.col("log")).alias("p")).collect()
+        assert any(r["p"].startswith("\x01") for r in out)
+        assert all(r["u"] == r["a"] == r["p"] for r in out)
+    cookies = ["a=1; b = 2 ;c=", " a =x=y;\tb\x1c= 3 ;b=4", "b=é; a", "=;;a==", ""]
+    rows = spark.createDataFrame([(x,) for x in cookies], "cookies string").select("cookies", coerce.cookie_pairs(F.col("cookies")).alias("p"))
+    for r in rows.collect():
+        want = [(i.split("=")[0].strip(), i.split("=")[1].strip()) for i in r["cookies"].split(";") if "=" in i]
+        assert [(p["k"], p["v"]) for p in r["p"]] == want
+
+
+def test_only_the_lines_of_a_rewritten_day_are_parsed_again(spark, monkeypatch):
+    from pagetrail.operators import parse
+    from pagetrail.plans import registry
+
+    days = [f"logs/2024/01/{d:02d}/{h:02d}/api-0.log" for d in (4, 5, 6) for h in (0, 23)]
+    lines = spark.createDataFrame([(f, i + 1, line) for f in days for i, line in enumerate((GOOD, "", env("x\n")))],
+                                  "filename string, line_number int, line string")
+    monkeypatch.setattr(registry, "_lines", lambda spark, sf: lines)
+    plain, seen = parse.parse_lines, []
+    monkeypatch.setattr(parse, "parse_lines", lambda rows, *a, **k: (seen.append(rows.count()), plain(rows, *a, **k))[1])
+    out = registry.q_files_processed_rewritten(spark, None).collect()
+    assert sorted((r["filename"], r["file_line_count"], r["file_bad_lines"], r["file_regex_failed"]) for r in out) == [(f, 3, 1, 1) for f in days]
+    failed = registry.q_failure_samples_rewritten(spark, None).collect()
+    assert sorted((r["filename"], r["line_number"]) for r in failed) == [(f, 3) for f in days]
+    assert registry.q_raw_log_rewritten(spark, None).count() == 6  # core 0 everywhere
+    assert seen == [18, 6, 18, 6, 18, 6]
