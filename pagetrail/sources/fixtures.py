@@ -22,10 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 class Dialect:
     """The few spellings that differ between Spark SQL and DuckDB."""
 
-    def __init__(self, engine: str):
+    def __init__(self, engine: str, tasks: int | None = None):
         if engine not in ("spark", "duckdb"):
             raise ValueError(engine)
         self.engine = engine
+        self.tasks = tasks
+
+    def dealt(self, sql: str, key: str) -> str:
+        """The rows of ``sql``; in Spark dealt by ``key`` to ``tasks`` tasks, however few bytes they are."""
+        return sql if self.tasks is None else f"SELECT /*+ REPARTITION({self.tasks}, {key}) */ * FROM ({sql}) rows_dealt"
 
     def ctime(self, ts: str) -> str:
         """``%c`` text (``Mon Jan 01 00:00:07 2024``) of a timestamp."""
@@ -246,7 +251,7 @@ def raw_lines_sql(d: Dialect, events: str = "events") -> str:
       ELSE '{{"log":"' || access || {nl} || '","stream":"stderr"}}' END"""
     # lines are numbered on the narrow per-event columns, before their text is built
     sql = f"""
-WITH base AS ({line_base_sql(d, events)}),
+WITH base AS ({d.dealt(line_base_sql(d, events), "filename")}),
 numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY filename ORDER BY event_id) AS INT) AS line_number
              FROM base),
 accessed AS (SELECT *, {access} AS access FROM numbered),
@@ -297,5 +302,8 @@ def bounties(spark: SparkSession, orders: DataFrame) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, events: DataFrame, with_case: bool = False) -> DataFrame:
-    df = _run(spark, raw_lines_sql(Dialect("spark"), "@events@"), events=events)
+    # a line's text is built and parsed after the exchange, so the work follows the rows; left to itself, adaptive
+    # execution would gather these narrow rows by their bytes and parse millions of lines in a few tasks
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = _run(spark, raw_lines_sql(Dialect("spark", tasks), "@events@"), events=events)
     return df if with_case else df.select("filename", "line_number", "line")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pagetrail.functions.fixed import PAGE_LOG_COLUMNS
 from pagetrail.operators import pages, readiness, snapshot, views, visitors, windows
+from pagetrail.sources import fixtures as fx
 
 PL_SCHEMA = ("time_received timestamp_ntz, uri string, referrer string, user_agent string, has_wallet boolean, "
              "ip string, session_id string, user_id int, user_id_uuid string, ga_ga string, ga_gid string")
@@ -248,3 +249,14 @@ def test_not_in_large_list_sends_only_possible_hits_to_the_join(spark):
     surely, possible = plan.split("Union", 1)[1].split("SortMergeJoin", 1)
     assert "hashpartitioning(user_agent" not in surely  # rows that are surely not listed are not moved
     assert possible.index("hashpartitioning(user_agent") < possible.index("getbit")  # tested below the exchange
+
+
+def test_lines_of_few_bytes_are_parsed_in_many_tasks(spark):
+    """The narrow rows from which lines are built are not gathered by their bytes: the work follows the lines."""
+    events = spark.range(0, 20000, 1, 3).selectExpr(
+        "id AS event_id", "CAST(date_add(DATE '2024-01-01', CAST(id % 20 AS INT)) AS TIMESTAMP_NTZ) AS ts", "id % 50 AS user_id", "'view' AS event_type")
+    lines = fx.raw_lines(spark, events)
+    tasks = lines.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.sum(F.length("line")))
+    counts = [r["n"] for r in tasks.collect()]
+    assert sum(counts) == 20000
+    assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
