@@ -202,6 +202,11 @@ def number_split_lines(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return numbered.unionByName(tails), splits.filter(F.col("_split") == 0).select("filename")
 
 
+def all_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
+    """(filename) of every file under ``root``, also those without bytes: one listing, no file is opened."""
+    return listed_files(spark, spark.read.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(root))
+
+
 def empty_files(spark: SparkSession, root: str, layout: str = SOURCE_LAYOUT, glob: str | None = None) -> DataFrame:
     """(filename) of the files without a line under ``root``: of no bytes, or of only a byte-order mark."""
     if glob is None:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import HOURLY
 from ..plans.staging import ParsedFiles
 from ..sinks import commits, tables
-from ..sources.logfiles import SOURCE_LAYOUT, empty_files, path_hour, placed_lines, split_columns
+from ..sources.logfiles import SOURCE_LAYOUT, _normal_path, all_files, empty_files, path_hour, placed_lines, split_columns
 
 
 def load_parsed(spark: SparkSession, parsed: ParsedFiles, warehouse: str, load: str, layout: str = SOURCE_LAYOUT) -> None:
@@ -88,6 +88,10 @@ def ingest_available(spark: SparkSession, root: str, warehouse: str, checkpoint:
 def _load_empty(spark: SparkSession, root: str, warehouse: str, stream: str, layout: str, glob: str, mode: str) -> None:
     """The files without lines that no load has brought, as one more load after the stream's last."""
     known = commits.committed_files(spark, warehouse).select("filename")
+    # as a rule every file listed has been loaded, and none need be opened to learn which are empty
+    path = lambda files: files.select(_normal_path(F.col("filename")).alias("filename"))
+    if not path(all_files(spark, root, glob)).join(path(known), "filename", "left_anti").limit(1).count():
+        return
     new = empty_files(spark, root, layout, glob).join(known, "filename", "left_anti")
     if not new.limit(1).count():
         return

@@ -12,7 +12,8 @@ from pagetrail.operators.quality import failure_samples, file_quality
 from pagetrail.plans import jobs
 from pagetrail.plans.staging import parse_files
 from pagetrail.sinks import commits, tables
-from pagetrail.sources.logfiles import read_log_lines
+from pagetrail.sources.logfiles import empty_files, read_log_lines
+from pagetrail.streaming import ingest
 from pagetrail.streaming.ingest import ingest_available
 
 LINE = env(ACCESS + "\n")
@@ -307,3 +308,23 @@ def test_writes_make_a_file_per_small_partition_whatever_the_tasks(spark, tmp_di
         assert len(files) == 6, name
         found = spark.read.parquet(f"{tmp_dir}/{name}").select("pid").collect()
         assert sorted(r["pid"] for r in found) == list(range(600)), name
+
+
+def test_loaded_files_are_not_looked_through_for_empty_ones(spark, tmp_dir, monkeypatch):
+    logs, warehouse, checkpoint = (os.path.join(tmp_dir, x) for x in ("logs", "wh", "state"))
+    write_file(logs, "2019/01/21/00/a.log", LINE + "\n")
+    write_file(logs, "2019/01/21/00/b.log", LINE)
+    calls = []
+    monkeypatch.setattr(ingest, "empty_files", lambda *a: calls.append(a) or empty_files(*a))
+    ingest_available(spark, logs, warehouse, checkpoint)
+    assert not calls  # all files that are listed have been loaded
+    write_file(logs, "2019/01/21/00/none.log", "")
+    write_file(logs, "2019/01/21/00/mark.log", b"\xef\xbb\xbf", binary=True)
+    write_file(logs, "2019/01/21/01/c d.log", LINE)
+    ingest_available(spark, logs, warehouse, checkpoint)
+    assert len(calls) == 1
+    ingest_available(spark, logs, warehouse, checkpoint)
+    assert len(calls) == 1
+    done = tables.read_table(spark, f"{warehouse}/files_processed", "ingest_date DATE, ingest_hour INT, load STRING")
+    assert sorted((os.path.basename(r.filename), r.file_line_count, r.file_bad_lines) for r in done.collect()) == [
+        ("a.log", 2, 1), ("b.log", 1, 0), ("c d.log", 1, 0), ("mark.log", 1, 1), ("none.log", 1, 1)]
