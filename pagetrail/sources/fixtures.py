@@ -303,7 +303,7 @@ def bounties(spark: SparkSession, orders: DataFrame) -> DataFrame:
 
 def raw_lines(spark: SparkSession, events: DataFrame, with_case: bool = False) -> DataFrame:
     # a line's text is built and parsed after the exchange, so the work follows the rows; left to itself, adaptive
-    # execution would gather these narrow rows by their bytes and parse millions of lines in a few tasks
+    # execution gathers these narrow rows by their bytes (and a query that drops the numbers keeps the scan's tasks)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = _run(spark, raw_lines_sql(Dialect("spark", tasks), "@events@"), events=events)
     return df if with_case else df.select("filename", "line_number", "line")

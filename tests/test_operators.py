@@ -252,7 +252,7 @@ def test_not_in_large_list_sends_only_possible_hits_to_the_join(spark):
 
 
 def test_lines_of_few_bytes_are_parsed_in_many_tasks(spark):
-    """The narrow rows from which lines are built are not gathered by their bytes: the work follows the lines."""
+    """Lines are built and parsed in all shuffle partitions, not in the tasks that read the narrow rows."""
     events = spark.range(0, 20000, 1, 3).selectExpr(
         "id AS event_id", "CAST(date_add(DATE '2024-01-01', CAST(id % 20 AS INT)) AS TIMESTAMP_NTZ) AS ts", "id % 50 AS user_id", "'view' AS event_type")
     lines = fx.raw_lines(spark, events)
