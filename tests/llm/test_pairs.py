@@ -160,6 +160,57 @@ def test_passages_of_lines_that_earlier_documents_hold_singly(spark):
     assert (70, 160) in got
 
 
+def test_passages_whose_seeds_are_first_held_by_different_documents(spark):
+    rng = random.Random(14)
+    text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    # no document but 900 and 901 holds 50 of the words; each run of 16 or fewer is held by earlier ones
+    for step, edit in ((10, 0), (2, 0), (10, 12)):
+        passage = text(120)
+        rows = [(i, " ".join(text(30) + passage[at : at + 40] + text(30))) for i, at in enumerate(range(-30, 120, step)) if passage[max(at, 0) : at + 40]]
+        edited = [text(1)[0] if edit and i % edit == edit - 1 else w for i, w in enumerate(passage)]
+        rows += [(900, " ".join(text(70) + passage + text(60))), (901, " ".join(text(80) + edited + text(70)))]
+        found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+        assert {(r.start_word, r.end_word, r.first_start_word, r.first_end_word) for r in found if (r.doc_id, r.first_doc_id) == (901, 900)} == {(80, 200 - bool(edit), 70, 190 - bool(edit))}
+
+
+def test_all_holders_of_a_seed_are_linked(monkeypatch):
+    rng = np.random.default_rng(15)
+    for holders, chunk in ((8, 2_000_000), (3, 50), (1, 7)):
+        monkeypatch.setattr(substring_dedup, "HOLDERS", holders)
+        monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
+        rows = sorted({(int(h), int(d), int(p)) for h, d, p in zip(rng.integers(1, 60, 300), rng.integers(0, 12, 300), rng.integers(0, 40, 300), strict=True)})
+        want, by_seed = set(), {}
+        for h, d, p in rows:
+            by_seed.setdefault(h, {}).setdefault(d, []).append(p)
+        for docs in by_seed.values():
+            ids = sorted(docs)
+            for i, d in enumerate(ids):
+                for hub in ids[:i] if len(ids) <= holders else ids[: min(i, 1)]:
+                    want |= {(d, hub, x, min(docs[hub])) for x in docs[d]}
+        got = set()
+        parts = []
+        for third in range(3):  # three chunks of documents
+            own = [r for r in rows if r[1] % 3 == third]
+            rng.shuffle(own)
+            h, d, p = (np.array(c) for c in zip(*own, strict=True))
+            sent, anchors = substring_dedup._packed_seeds(h.astype(np.uint64) << np.uint64(8), d, p)
+            parts.append(sent)
+            chunk_links = set(zip(*(c.tolist() for c in anchors[:4]), strict=True))
+            assert all(a[1] < a[0] for a in chunk_links)
+            got |= chunk_links
+        for anchors in substring_dedup._linked(*(np.concatenate(c) for c in zip(*parts, strict=True))):
+            got |= set(zip(*(c.tolist() for c in anchors[:4]), strict=True))
+        crowded = {h for h, docs in by_seed.items() if len(docs) > holders}
+        assert want <= got or crowded  # links of a crowded seed may go by its chunk's first holder
+        linked = {(d, hub) for d, hub, _, _ in got}
+        for h, docs in by_seed.items():
+            ids = sorted(docs)
+            if h not in crowded:
+                assert {(d, hub) for i, d in enumerate(ids) for hub in ids[:i]} <= linked
+            else:
+                assert all(any((d, hub) in linked for hub in ids[:i]) for i, d in enumerate(ids) if i)
+
+
 def test_passages_repeated_in_one_document(spark):
     rng = random.Random(9)
     text = lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
